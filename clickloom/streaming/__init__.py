@@ -1,0 +1 @@
+"""Left empty on purpose: the workload is batch only (no event time, no state), so no streaming operator exists."""
