@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,17 +88,11 @@ def null_audit(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlations of all column pairs from one aggregate: ``feature_a, feature_b, corr``, both directions."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = numbers.agg(*[F.corr(a, b).alias(f"{a}:{b}") for a, b in pairs])
-    rows = []
-    for a, b in pairs:
-        for x, y in {(a, b), (b, a)}:
-            rows.append(
-                F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"`{a}:{b}`").alias("corr"))
-            )
-    return rotate(wide, rows)
+    """Pearson correlations of all column pairs: ``feature_a, feature_b, corr``, both directions."""
+    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(df.select(columns)).select("v")
+    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
+    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
 def boxplot_stats(df: DataFrame, columns: list[str], label: str = LABEL, whisker: float = 1.5) -> DataFrame:

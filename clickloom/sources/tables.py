@@ -16,6 +16,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle a scan that would keep most cores idle, as a file with one large row group does.
+
+    A scan with at least half as many tasks as there are cores, so any large table, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -10,15 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import hash_bucket
-from clickloom.sources.tables import read_table
+from clickloom.sources.tables import read_table, spread
 
 KEY = "rk"
 NUMERIC = ["c01", "c02", "c03", "c04", "c05"]
 CATEGORICAL = ["b01", "b02", "b03", "b04", "b05", "b06", "b07", "b08"]
+LINE_COLUMNS = [
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_linestatus",
+]
 
 
 def training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = read_table(spark, sf_dir, "lineitem")
+    line = spread(read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), "l_orderkey", "l_linenumber")
     orders = read_table(spark, sf_dir, "orders")
     part = read_table(spark, sf_dir, "part")
     supplier = read_table(spark, sf_dir, "supplier")
