@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import signed_log
 from clickloom.operators.lookup import attach
-from clickloom.operators.profile import category_frequency
-from clickloom.sources.tables import stage
 
 # Tokens for blank categories, and for rare or unseen ones.
 BLANK_TOKENS = {
@@ -46,29 +44,58 @@ def log_transform(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: signed_log(c) for c in columns})
 
 
-def kept_categories(
-    df: DataFrame, columns: list[str], min_fraction: float | None = MIN_FRACTION, min_count: int | None = None
-) -> DataFrame:
-    """Categories frequent enough to stay: ``feature, value, n``. An explicit ``min_count`` replaces the fraction.
+# -- folding --------------------------------------------------------------------------------------------------------
+#
+# Everything below works on a stored table of category counts (``feature, value, n``, maybe ``n_positive``), so that one
+# scan of the rows serves folding, indexing and target means alike. Each row of the data counts once per feature.
 
-    Each row feeds every feature once, so a feature's counts add up to the row total and no second pass is needed.
-    """
-    counts = category_frequency(df, columns)
+
+def fill_counts(counts: DataFrame, columns: list[str], tokens: Mapping[str, list[str]] = BLANK_TOKENS) -> DataFrame:
+    """The counts that blank-filled rows would give."""
+    by_feature = F.lit(OTHER_BLANK_TOKEN)
+    for token in tokens:
+        by_feature = F.when(
+            F.col("feature").isin([c for c in columns if blank_token(c, tokens) == token]), F.lit(token)
+        ).otherwise(by_feature)
+    return _sum_counts(counts, F.when(F.col("value") != "", F.col("value")).otherwise(by_feature))
+
+
+def fold_counts(counts: DataFrame, threshold: float, token: str = RARE_TOKEN) -> DataFrame:
+    """The counts that folded rows would give."""
+    return _sum_counts(counts, F.when(F.col("n") >= threshold, F.col("value")).otherwise(token))
+
+
+def _sum_counts(counts: DataFrame, value: Column) -> DataFrame:
+    numbers = [c for c in counts.columns if c in ("n", "n_positive")]
+    return counts.groupBy("feature", value.alias("value")).agg(*[F.sum(c).alias(c) for c in numbers])
+
+
+def count_threshold(
+    counts: DataFrame, min_fraction: float | None = MIN_FRACTION, min_count: int | None = None
+) -> float:
+    """Smallest count of a kept category. An explicit ``min_count`` replaces the fraction of all rows."""
     if min_count is not None:
-        return counts.where(F.col("n") >= min_count)
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
-    share = F.col("n") >= F.lit(min_fraction) * F.col("total")
-    # One total per feature: the broadcast side has as many rows as the table has categorical columns.
-    return counts.join(F.broadcast(totals), "feature").where(share).select("feature", "value", "n")
+        return float(min_count)
+    total = counts.groupBy("feature").agg(F.sum("n").alias("total")).agg(F.max("total")).first()[0]
+    return min_fraction * (total or 0)
+
+
+def kept_categories(counts: DataFrame, threshold: float) -> DataFrame:
+    return counts.where(F.col("n") >= threshold)
 
 
 @dataclass
 class RareFolding:
-    """Fitted list of kept categories per column. Everything else becomes the rare token."""
+    """Kept categories per column; everything else becomes the rare token.
+
+    ``kept`` has the columns with a short list, ``large`` the number of kept categories of the others, which stay in
+    ``table``.
+    """
 
     kept: dict[str, list[str]]
     large: dict[str, int]
-    table: DataFrame | None
+    table: DataFrame
+    threshold: float
     token: str = RARE_TOKEN
 
     def apply(self, df: DataFrame) -> DataFrame:
@@ -76,43 +103,29 @@ class RareFolding:
             {c: F.when(F.col(c).isin(v), F.col(c)).otherwise(self.token) for c, v in self.kept.items()}
         )
         for c, rows in self.large.items():
-            known = self.table.where(F.col("feature") == c).select("value", "n", F.lit(True).alias("_known"))
+            known = self.table.where(F.col("feature") == c).withColumn("_known", F.lit(True))
             df = attach(df, c, known, {"_known": "_known"}, rows)
             df = df.withColumn(c, F.when(F.col("_known"), F.col(c)).otherwise(self.token)).drop("_known")
         return df
 
 
 def fit_folding(
-    df: DataFrame,
+    counts: DataFrame,
     columns: list[str],
     min_fraction: float | None = MIN_FRACTION,
     min_count: int | None = None,
     max_literals: int = MAX_LITERALS,
 ) -> RareFolding:
-    """Learn the kept categories from blank-filled rows.
+    """Learn the kept categories from the stored counts of blank-filled rows.
 
     By fraction, a column keeps at most ``1 / min_fraction`` categories, so the lists are short and ``apply`` needs no
     join. By count the lists may be long; a column with more than ``max_literals`` is looked up by a join instead.
     """
-    kept = kept_categories(df, columns, min_fraction, min_count)
-    table = None
-    if min_count is not None or min_fraction * max_literals < 1:
-        table = kept = stage(kept, "kept-categories")
-    sizes = {c: 0 for c in columns}
-    if table is not None:
-        sizes |= {r["feature"]: r["rows"] for r in kept.groupBy("feature").agg(F.count(F.lit(1)).alias("rows")).collect()}
-    large = {c: n for c, n in sizes.items() if n > max_literals}
-    lists: dict[str, list[str]] = {c: [] for c in columns if c not in large}
-    for row in kept.where(~F.col("feature").isin(list(large))).collect():
-        lists[row["feature"]].append(row["value"])
-    return RareFolding({c: sorted(v) for c, v in lists.items()}, large, table)
-
-
-def folded_counts(kept: DataFrame, counts: DataFrame) -> DataFrame:
-    """Category counts after folding: ``feature, value, n`` with rare values merged under the rare token.
-
-    ``kept`` and ``counts`` come from :func:`kept_categories` and ``category_frequency``; works on counts only.
-    """
-    rare = counts.join(kept.select("feature", "value"), ["feature", "value"], "left_anti")
-    rare = rare.groupBy("feature").agg(F.sum("n").alias("n")).withColumn("value", F.lit(RARE_TOKEN))
-    return kept.unionByName(rare.select("feature", "value", "n"))
+    threshold = count_threshold(counts, min_fraction, min_count)
+    table = kept_categories(counts, threshold)
+    sizes = {r["feature"]: r["rows"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    large = {c: sizes[c] for c in columns if sizes.get(c, 0) > max_literals}
+    kept: dict[str, list[str]] = {c: [] for c in columns if c not in large}
+    for row in table.where(F.col("feature").isin(list(kept))).collect():
+        kept[row["feature"]].append(row["value"])
+    return RareFolding({c: sorted(v) for c, v in kept.items()}, large, table, threshold)

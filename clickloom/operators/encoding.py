@@ -74,14 +74,20 @@ class TargetMeanEncoder:
         return df.na.fill(self.fill, subset=[c + MEAN_SUFFIX for c in self.columns])
 
 
-def fit_target_means(df: DataFrame, columns: list[str], label: str = LABEL, fill: float = 0.0) -> TargetMeanEncoder:
-    """All mean tables from the given rows at once, stored in the shared folder, and counted per column."""
-    means = stage(target_means(df, columns, label).sortWithinPartitions("feature"), "target-means")
+def encoder_from_counts(counts: DataFrame, columns: list[str], fill: float = 0.0) -> TargetMeanEncoder:
+    """An encoder from counts per category (``feature, value, n, n_positive``), stored and counted per column."""
+    means = counts.withColumn("mean", F.col("n_positive") / F.col("n")).sortWithinPartitions("feature")
+    means = stage(means, "target-means")
     sizes = {c: 0 for c in columns}
     sizes |= {r["feature"]: r["rows"] for r in means.groupBy("feature").agg(F.count(F.lit(1)).alias("rows")).collect()}
     return TargetMeanEncoder(columns, means, sizes, fill)
 
 
+def fit_target_means(df: DataFrame, columns: list[str], label: str = LABEL, fill: float = 0.0) -> TargetMeanEncoder:
+    """All mean tables from the given rows in one scan."""
+    return encoder_from_counts(target_means(df, columns, label).drop("mean"), columns, fill)
+
+
 # -- index and one-hot ----------------------------------------------------------------------------------------------
 
 
@@ -100,19 +106,46 @@ def index_table(df: DataFrame, columns: list[str], model: StringIndexerModel) ->
     return df.sparkSession.createDataFrame(rows, "feature string, value string, slot int")
 
 
-def fit_one_hot(df: DataFrame, columns: list[str], drop_last: bool = False) -> tuple[PipelineModel, list[str]]:
+def category_order(counts: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Categories of each column by falling count, ties by value: the order of a string index.
+
+    For folded counts, of which the folding rule leaves few.
+    """
+    order: dict[str, list[str]] = {c: [] for c in columns}
+    for row in counts.orderBy("feature", F.desc("n"), "value").collect():
+        order[row["feature"]].append(row["value"])
+    return order
+
+
+def indexers_from_order(order: dict[str, list[str]], handle_invalid: str = "error") -> list[StringIndexerModel]:
+    """String indexes from a known category order, without another pass over the rows.
+
+    One model per column: the multi-column constructor pads lists of unequal length.
+    """
+    return [
+        StringIndexerModel.from_labels(values, c, f"{c}_index", handle_invalid) for c, values in order.items()
+    ]
+
+
+def one_hot_from_order(
+    df: DataFrame, order: dict[str, list[str]], drop_last: bool = False
+) -> tuple[PipelineModel, list[str]]:
     """Index and one-hot ``c`` to ``c_vec``; returns the fitted stages and the vector columns they make.
 
     The full form has one slot per category, and an unseen category is all-zero: the index keeps a place for it, and
     that last place is the one the encoder drops. With ``drop_last`` the least frequent category is all-zero instead,
     and an unseen one is an error. A column with a single category then has no slot left, and makes no vector.
     """
-    indexer = string_indexer(columns, "error" if drop_last else "keep").fit(df)
-    sizes = dict(zip(columns, map(len, indexer.labelsArray)))
-    encoded = [c for c in columns if sizes[c] > 1 or not drop_last]
+    indexers = PipelineModel(indexers_from_order(order, "error" if drop_last else "keep"))
+    encoded = [c for c, values in order.items() if len(values) > 1 or not drop_last]
     vectors = [f"{c}_vec" for c in encoded]
     encoder = OneHotEncoder(inputCols=[f"{c}_index" for c in encoded], outputCols=vectors, dropLast=True)
-    return PipelineModel([indexer, encoder.fit(indexer.transform(df.limit(0)))]), vectors
+    return PipelineModel([*indexers.stages, encoder.fit(indexers.transform(df.limit(0)))]), vectors
+
+
+def fit_one_hot(df: DataFrame, columns: list[str], drop_last: bool = False) -> tuple[PipelineModel, list[str]]:
+    order = dict(zip(columns, string_indexer(columns).fit(df).labelsArray))
+    return one_hot_from_order(df, order, drop_last)
 
 
 def slot_sums(df: DataFrame, vector: str) -> DataFrame:
@@ -160,10 +193,10 @@ def _with_names(model: PipelineModel, df: DataFrame) -> FeaturePipeline:
 
 
 def fit_onehot_features(
-    df: DataFrame, categorical: list[str], numeric: list[str], drop_last: bool = False, with_mean: bool = True
+    df: DataFrame, order: dict[str, list[str]], numeric: list[str], drop_last: bool = False, with_mean: bool = True
 ) -> FeaturePipeline:
     """Index, one-hot, assemble (categories first) and standardise cleaned rows."""
-    encode, vectors = fit_one_hot(df, categorical, drop_last)
+    encode, vectors = one_hot_from_order(df, order, drop_last)
     finish = Pipeline(stages=[assembler(vectors + numeric), scaler(with_mean)]).fit(encode.transform(df))
     return _with_names(PipelineModel([*encode.stages, *finish.stages]), df)
 

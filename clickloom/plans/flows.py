@@ -9,18 +9,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import signed_log
-from clickloom.operators.cleaning import MIN_FRACTION, RareFolding, fit_folding, impute_blank, log_transform
+from clickloom.operators.cleaning import (
+    MIN_FRACTION,
+    RareFolding,
+    fit_folding,
+    fold_counts,
+    impute_blank,
+    log_transform,
+)
 from clickloom.operators.encoding import (
     MEAN_SUFFIX,
     SELECTED,
     FeaturePipeline,
     TargetMeanEncoder,
+    category_order,
+    encoder_from_counts,
     fit_mean_features,
     fit_onehot_features,
     fit_target_means,
+    slicer,
+    target_means,
 )
 from clickloom.operators.evaluate import evaluation_report
 from clickloom.operators.models import FULL_GBT, FULL_LOGISTIC, classifier, score_batch, train
+from clickloom.operators.profile import category_frequency
 from clickloom.operators.sampling import assign_split
 from clickloom.operators.tuning import GRIDS, best_params, cross_validate
 from clickloom.schema import LABEL, categorical_columns, numeric_columns
@@ -62,29 +74,39 @@ def prepare_onehot(
     """One-hot flow over a stored table: fold rare categories, index, one-hot, log, assemble, standardise.
 
     ``fit_on='train'`` learns from the training part only; 'all' learns from every row, as the published runs did.
+    The rows are read three times: to count categories, to learn the scaling, and to write the features.
     """
     categorical, numeric = categorical_columns(df, exclude=(key,)), numeric_columns(df)
     df = log_transform(impute_blank(assign_split(df, key, column=PART), categorical), numeric)
-    folding = fit_folding(_fit_rows(df, fit_on), categorical, min_fraction)
+    counts = stage(category_frequency(_fit_rows(df, fit_on), categorical), "category-counts")
+    folding = fit_folding(counts, categorical, min_fraction)
+    order = category_order(fold_counts(counts, folding.threshold), categorical)
     df = folding.apply(df)
-    features = fit_onehot_features(_fit_rows(df, fit_on), categorical, numeric, drop_last, with_mean)
+    features = fit_onehot_features(_fit_rows(df, fit_on), order, numeric, drop_last, with_mean)
     rows = stage(features.apply(df, [key, LABEL, PART]), "onehot-features", partition_by=(PART,))
     return Prepared(rows, features, folding=folding)
 
 
 def encode_means(
-    df: DataFrame, key: str = "rk", fold: bool = True, min_fraction: float = MIN_FRACTION
+    df: DataFrame, key: str = "rk", fold: bool = True, min_fraction: float = MIN_FRACTION, **options
 ) -> tuple[DataFrame, RareFolding | None, TargetMeanEncoder]:
-    """Split rows with every category replaced by its mean label in the training part."""
+    """Split rows with every category replaced by its mean label in the training part.
+
+    One scan of the training rows counts rows and positives per category; the kept categories and the means of the
+    folded ones both follow from those counts.
+    """
     categorical = categorical_columns(df, exclude=(key,))
     df = assign_split(df, key, column=PART)
-    folding = None
-    if fold:
-        df = impute_blank(df, categorical)
-        folding = fit_folding(df.where(F.col(PART) == "Train"), categorical, min_fraction)
-        df = folding.apply(df)
-    encoder = fit_target_means(df.where(F.col(PART) == "Train"), categorical)
-    return encoder.apply(df), folding, encoder
+    train_rows = df.where(F.col(PART) == "Train")
+    if not fold:
+        encoder = fit_target_means(train_rows, categorical)
+        return encoder.apply(df, **options), None, encoder
+    df = impute_blank(df, categorical)
+    counts = target_means(impute_blank(train_rows, categorical), categorical).drop("mean")
+    counts = stage(counts, "category-counts")
+    folding = fit_folding(counts, categorical, min_fraction)
+    encoder = encoder_from_counts(fold_counts(counts, folding.threshold), categorical)
+    return encoder.apply(folding.apply(df), **options), folding, encoder
 
 
 def prepare_means(
@@ -100,6 +122,13 @@ def prepare_means(
     return Prepared(rows, features, folding, encoder)
 
 
+def sliced(prepared: Prepared, slots: list[int]) -> Prepared:
+    """The same rows with only the given vector slots."""
+    rows = slicer(slots, SELECTED, "_sliced").transform(prepared.rows).drop(SELECTED)
+    features = FeaturePipeline(prepared.features.model, [prepared.features.names[i] for i in slots])
+    return Prepared(rows.withColumnRenamed("_sliced", SELECTED), features, prepared.folding, prepared.encoder)
+
+
 def report(model: Model, prepared: Prepared, name: str) -> DataFrame:
     """Train and test metrics of a fitted model, from one scoring pass."""
     return evaluation_report(score_batch(model, prepared.rows), name, PART)

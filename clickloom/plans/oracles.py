@@ -314,9 +314,9 @@ def oracle_sql() -> dict[str, str]:
               JOIN (SELECT feature, count(*) AS n_after,
                   coalesce(string_agg(value, ',' ORDER BY value) FILTER (value <> '{RARE_TOKEN}'), '') AS kept
                 FROM after GROUP BY feature) a ON a.feature = b.feature""",
-        "feature_space_size": f"""WITH {TV}, {CLEAN_TRAIN}
-            SELECT (SELECT count(*) FROM ({frequency('trained')})) AS n_categories, {len(NUMERIC)} AS n_numeric,
-              CAST((SELECT count(*) FROM ({frequency('trained')})) + {len(NUMERIC)} AS INTEGER) AS vector_size""",
+        "feature_space_size": f"""WITH {TV}, {CLEAN_ALL}, counts AS ({frequency('clean')})
+            SELECT (SELECT count(*) FROM counts) AS n_categories, {len(NUMERIC)} AS n_numeric,
+              CAST((SELECT count(*) FROM counts) + {len(NUMERIC)} AS INTEGER) AS vector_size""",
         "numeric_describe": f"WITH {TV} {describe(NUMERIC)}",
         "null_audit": f"WITH {TV} {audit}",
         "null_audit_encoded": f"""WITH {TV}, {CLEAN_TRAIN}, {mean_tables('trained')},

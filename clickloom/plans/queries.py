@@ -62,7 +62,19 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaning.impute_blank(stored_view(spark, sf_dir), CATEGORICAL)
-    return cleaning.fit_folding(rows, CATEGORICAL).apply(rows)
+    counts = tables.stage(profile.category_frequency(rows, CATEGORICAL), "category-counts")
+    return cleaning.fit_folding(counts, CATEGORICAL).apply(rows)
+
+
+def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and positives of every category, counted once from the view; profiles and folding follow from it."""
+    counts = encoding.target_means(training_view(spark, sf_dir), CATEGORICAL).drop("mean")
+    return tables.stage(counts, "category-counts")
+
+
+def folded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = cleaning.fill_counts(raw_counts(spark, sf_dir), CATEGORICAL)
+    return cleaning.fold_counts(counts, cleaning.count_threshold(counts))
 
 
 def toy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,25 +208,31 @@ def categorical_profile(spark, sf_dir):
 
 @query
 def kept_categories(spark, sf_dir):
-    return cleaning.kept_categories(filled(spark, sf_dir), CATEGORICAL)
+    counts = cleaning.fill_counts(raw_counts(spark, sf_dir), CATEGORICAL)
+    return cleaning.kept_categories(counts, cleaning.count_threshold(counts)).select("feature", "value", "n")
 
 
 @query
 def folding_profile(spark, sf_dir):
-    view = training_view(spark, sf_dir)
-    raw = profile.category_frequency(view, CATEGORICAL)
-    rows = filled(spark, sf_dir)
-    after = cleaning.folded_counts(
-        cleaning.kept_categories(rows, CATEGORICAL), profile.category_frequency(rows, CATEGORICAL)
-    )
+    raw = raw_counts(spark, sf_dir)
+    counts = cleaning.fill_counts(raw, CATEGORICAL)
+    after = cleaning.fold_counts(counts, cleaning.count_threshold(counts))
     return profile.folding_profile(raw, after, cleaning.RARE_TOKEN)
 
 
 @query
 def feature_space_size(spark, sf_dir):
-    features = onehot(spark, sf_dir)
-    after = profile.category_frequency(folded(spark, sf_dir), CATEGORICAL).agg(F.count(F.lit(1)).alias("n_categories"))
-    return after.select("n_categories", F.lit(len(NUMERIC)).alias("n_numeric"), F.lit(features.features.size).alias("vector_size"))
+    """Categories after folding, numerics, and the length of the vector they make, which must be the sum of both."""
+    counts = folded_counts(spark, sf_dir)
+    order = encoding.category_order(counts, CATEGORICAL)
+    rows = training_view(spark, sf_dir)
+    encode, vectors = encoding.one_hot_from_order(rows, order)
+    vector = encoding.assembler(vectors + NUMERIC).transform(encode.transform(rows.limit(0)))
+    return counts.agg(F.count(F.lit(1)).alias("n_categories")).select(
+        "n_categories",
+        F.lit(len(NUMERIC)).alias("n_numeric"),
+        F.lit(len(encoding.vector_names(vector))).alias("vector_size"),
+    )
 
 
 @query
@@ -376,7 +394,7 @@ def target_mean_encode_raw(spark, sf_dir):
 
 @query
 def chi_square_table(spark, sf_dir):
-    table = encoding.chi_square_table(encoding.target_means(folded(spark, sf_dir), CATEGORICAL))
+    table = encoding.chi_square_table(folded_counts(spark, sf_dir))
     return rounded(table, "statistic")
 
 
@@ -547,6 +565,21 @@ def train_comparison(spark, sf_dir):
     return evaluate.model_comparison([flows.train_and_report(k, p, n)[1] for k, p, n in runs])
 
 
+@query
+def train_sliced(spark, sf_dir):
+    """Tree and logistic model on the vector slots that a first tree uses."""
+    prepared = onehot(spark, sf_dir)
+    tree = models.train("decision_tree", prepared.train)
+    narrow = flows.sliced(prepared, explain.used_slots(tree))
+    return evaluate.model_comparison(
+        [
+            flows.report(tree, prepared, "DT"),
+            flows.train_and_report("decision_tree", narrow, "DT+S")[1],
+            flows.train_and_report("logistic", narrow, "LR+S")[1],
+        ]
+    )
+
+
 @query
 def score_batch(spark, sf_dir):
     prepared = means(spark, sf_dir)
