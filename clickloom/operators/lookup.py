@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 # Categories with at least this share of all rows are looked up by broadcast even when the table is large.
 HOT_SHARE = 0.001
+# Start of the key of rows that need no match. It is part of the key and not a second one, since a second key that is
+# constant on one side is no longer used for partitioning after optimisation.
+SPREAD_PREFIX = "\u0001"
 
 
 def attach(
@@ -27,35 +30,27 @@ def attach(
     ``table`` has ``value``, ``n`` (rows of that category) and the output columns, ``table_rows`` is its counted size.
     Above ``broadcast_rows`` the table is split. Hot categories, at most ``1 / hot_share`` of them, are broadcast, so
     the shuffle join only sees categories that are each a small share of the rows. Rows already served by the hot part,
-    and rows with a NULL category, get a NULL key plus a hash of the row, which spreads them over all tasks.
+    and rows with a NULL category, get a hash of the row as key, which spreads them over all tasks.
     """
     if table_rows <= broadcast_rows:
         side = table.select(F.col("value").alias("_value"), *[F.col(s).alias(t) for s, t in outputs.items()])
         return df.join(F.broadcast(side), F.col(column) == F.col("_value"), "left").drop("_value")
 
+    columns = df.columns
     total = table.agg(F.sum("n")).first()[0]
     is_hot = F.col("n") >= hot_share * total
-    columns = df.columns
     hot = table.where(is_hot).select(
         F.col("value").alias("_hot"), *[F.col(s).alias(f"_hot_{t}") for s, t in outputs.items()]
     )
     cold = table.where(~is_hot).select(
-        F.col("value").alias("_cold"),
-        F.lit(0).cast("bigint").alias("_cold_spread"),
-        *[F.col(s).alias(f"_cold_{t}") for s, t in outputs.items()],
+        F.col("value").alias("_cold"), *[F.col(s).alias(f"_cold_{t}") for s, t in outputs.items()]
     )
     rows = df.join(F.broadcast(hot), F.col(column) == F.col("_hot"), "left")
-    served = F.col("_hot").isNotNull() | F.col(column).isNull()
-    hashable = [c for c in columns if df.schema[c].dataType.typeName() != "map"]
-    rows = rows.withColumns(
-        {
-            "_key": F.when(~served, F.col(column)),
-            "_spread": F.when(served, F.xxhash64(*hashable)).otherwise(F.lit(0).cast("bigint")),
-        }
-    )
-    matched = rows.join(
-        cold, (F.col("_key") == F.col("_cold")) & (F.col("_spread") == F.col("_cold_spread")), "left"
-    )
+    rows = rows.withColumn("_served", F.col("_hot").isNotNull() | F.col(column).isNull())
+    spread = F.concat(F.lit(SPREAD_PREFIX), F.xxhash64(*columns).cast("string"))
+    rows = rows.withColumn("_key", F.when(F.col("_served"), spread).otherwise(F.col(column)))
+    matched = rows.join(cold, F.col("_key") == F.col("_cold"), "left")
+    # A served row never takes a value from the cold part, whatever its spread key may equal.
     return matched.select(
-        *columns, *[F.coalesce(f"_hot_{t}", f"_cold_{t}").alias(t) for t in outputs.values()]
+        *columns, *[F.when(F.col("_served"), F.col(f"_hot_{t}")).otherwise(F.col(f"_cold_{t}")).alias(t) for t in outputs.values()]
     )

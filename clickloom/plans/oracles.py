@@ -268,6 +268,9 @@ def roles() -> str:
 
 def oracle_sql() -> dict[str, str]:
     a, b = scores("a", SCORER_A), scores("b", SCORER_B)
+    raw_means = encode_query(
+        f"{SPLIT_TV}, trained AS (SELECT * FROM sv WHERE data = 'Train')", "trained", "sv", "t.data = 'Test'"
+    )
     cats, nums = ", ".join(CATEGORICAL), ", ".join(NUMERIC)
     missing = [(c, "isnan" if c in NUMERIC else None) for c in ["rk", "label", *NUMERIC, *CATEGORICAL]]
     audit = " UNION ALL ".join(
@@ -346,9 +349,8 @@ def oracle_sql() -> dict[str, str]:
             {R.format('avg(label)')} AS mean FROM ({long_rows('tv')}) GROUP BY feature, value""",
         "target_mean_encode": encode_query(CLEAN_TRAIN, "trained", "clean", "t.data = 'Train'"),
         "target_mean_encode_test": encode_query(CLEAN_TRAIN, "trained", "clean", "t.data = 'Test'"),
-        "target_mean_encode_raw": encode_query(
-            f"{SPLIT_TV}, trained AS (SELECT * FROM sv WHERE data = 'Train')", "trained", "sv", "t.data = 'Test'"
-        ),
+        "target_mean_encode_raw": raw_means,
+        "target_mean_encode_shuffled": raw_means,
         "chi_square_table": f"""WITH {TV}, {CLEAN_ALL}, c AS (SELECT feature, value, count(*) * 1e0 AS n,
               sum(label) * 1e0 AS pos FROM ({long_rows('clean')}) GROUP BY feature, value),
             t AS (SELECT feature, sum(n) AS rows, sum(pos) AS p FROM c GROUP BY feature)

@@ -28,6 +28,7 @@ SAMPLE_SHARE = 0.1
 SCORE_DIGITS = 9
 # The inputs have two decimals, so a mean has many exact ties at six.
 DESCRIBE_DIGITS = 4
+SMALL_BROADCAST = 50
 DEFAULT_THRESHOLD = 0.5
 
 
@@ -371,8 +372,8 @@ def target_means(spark, sf_dir):
     return rounded(rows, "mean")
 
 
-def _encoded(spark, sf_dir, part, fold=True):
-    rows, _, encoder = flows.encode_means(stored_view(spark, sf_dir), KEY, fold=fold)
+def _encoded(spark, sf_dir, part, fold=True, **options):
+    rows, _, encoder = flows.encode_means(stored_view(spark, sf_dir), KEY, fold=fold, **options)
     columns = [c + encoding.MEAN_SUFFIX for c in encoder.columns]
     return rounded(rows.where(F.col(flows.PART) == part).select(KEY, "label", *columns), *columns)
 
@@ -392,6 +393,12 @@ def target_mean_encode_raw(spark, sf_dir):
     return _encoded(spark, sf_dir, "Test", fold=False)
 
 
+@query
+def target_mean_encode_shuffled(spark, sf_dir):
+    """The raw encoding with a low broadcast limit, so that long category tables go through the skew-safe shuffle."""
+    return _encoded(spark, sf_dir, "Test", fold=False, broadcast_rows=SMALL_BROADCAST)
+
+
 @query
 def chi_square_table(spark, sf_dir):
     table = encoding.chi_square_table(folded_counts(spark, sf_dir))
