@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -9,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import signed_log
+from clickloom.operators.encoding import target_means
 from clickloom.operators.lookup import attach
+from clickloom.schema import LABEL
 
 # Tokens for blank categories, and for rare or unseen ones.
 BLANK_TOKENS = {
@@ -22,6 +25,8 @@ MIN_FRACTION = 0.01
 
 # Longest list of kept categories per column that goes into the plan as literals.
 MAX_LITERALS = 1000
+# Largest heavy-hitter sketch Spark allows, in items.
+MAX_TRACKED = 1_000_000
 
 
 def blank_token(column: str, tokens: Mapping[str, list[str]] = BLANK_TOKENS) -> str:
@@ -50,6 +55,35 @@ def log_transform(df: DataFrame, columns: list[str]) -> DataFrame:
 # scan of the rows serves folding, indexing and target means alike. Each row of the data counts once per feature.
 
 
+def frequent_counts(
+    df: DataFrame,
+    columns: list[str],
+    label: str = LABEL,
+    min_fraction: float = MIN_FRACTION,
+    token: str = RARE_TOKEN,
+) -> DataFrame:
+    """Counts that are exact for every category with at least ``min_fraction`` of the rows; the rest is summed under
+    the rare token. Serves folding by that fraction, or a larger one, as a full count would.
+
+    A full count shuffles almost one row per input row and long-tailed column. Here a first scan keeps a heavy-hitter
+    sketch per column, whose error is under a tenth of the fraction, so no such category is missed; a second scan counts
+    the few candidates exactly. Sketches are merged in two levels, so that no task takes one from every input split.
+    """
+    tracked = math.ceil(30 / min_fraction)
+    if tracked > MAX_TRACKED:
+        return target_means(df, columns, label).drop("mean")
+    k = math.ceil(1.5 / min_fraction)
+    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sketches = df.groupBy((F.spark_partition_id() % groups).alias("_group")).agg(
+        *[F.expr(f"approx_top_k_accumulate(`{c}`, {tracked})").alias(c) for c in columns]
+    )
+    merged = sketches.agg(*[F.expr(f"approx_top_k_combine(`{c}`, {tracked})").alias(c) for c in columns])
+    found = merged.select(*[F.expr(f"approx_top_k_estimate(`{c}`, {k})").alias(c) for c in columns]).first()
+    candidates = {c: [r["item"] for r in found[c] or [] if r["item"] is not None] for c in columns}
+    marked = {c: F.when(F.col(c).isin(v), F.col(c)).otherwise(token) for c, v in candidates.items()}
+    return target_means(df.select(label, *[e.alias(c) for c, e in marked.items()]), columns, label).drop("mean")
+
+
 def fill_counts(counts: DataFrame, columns: list[str], tokens: Mapping[str, list[str]] = BLANK_TOKENS) -> DataFrame:
     """The counts that blank-filled rows would give."""
     by_feature = F.lit(OTHER_BLANK_TOKEN)
@@ -122,7 +156,7 @@ def fit_folding(
     join. By count the lists may be long; a column with more than ``max_literals`` is looked up by a join instead.
     """
     threshold = count_threshold(counts, min_fraction, min_count)
-    table = kept_categories(counts, threshold)
+    table = kept_categories(counts, threshold).where(F.col("value") != RARE_TOKEN)
     sizes = {r["feature"]: r["rows"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("rows")).collect()}
     large = {c: sizes[c] for c in columns if sizes.get(c, 0) > max_literals}
     kept: dict[str, list[str]] = {c: [] for c in columns if c not in large}

@@ -14,6 +14,7 @@ from clickloom.operators.cleaning import (
     RareFolding,
     fit_folding,
     fold_counts,
+    frequent_counts,
     impute_blank,
     log_transform,
 )
@@ -28,11 +29,9 @@ from clickloom.operators.encoding import (
     fit_onehot_features,
     fit_target_means,
     slicer,
-    target_means,
 )
 from clickloom.operators.evaluate import evaluation_report
 from clickloom.operators.models import FULL_GBT, FULL_LOGISTIC, classifier, score_batch, train
-from clickloom.operators.profile import category_frequency
 from clickloom.operators.sampling import assign_split
 from clickloom.operators.tuning import GRIDS, best_params, cross_validate
 from clickloom.schema import LABEL, categorical_columns, numeric_columns
@@ -69,16 +68,17 @@ def prepare_onehot(
     fit_on: str = "train",
     min_fraction: float = MIN_FRACTION,
     drop_last: bool = False,
-    with_mean: bool = True,
+    with_mean: bool = False,
 ) -> Prepared:
     """One-hot flow over a stored table: fold rare categories, index, one-hot, log, assemble, standardise.
 
     ``fit_on='train'`` learns from the training part only; 'all' learns from every row, as the published runs did.
-    The rows are read three times: to count categories, to learn the scaling, and to write the features.
+    Without ``with_mean`` the vectors are scaled but not centred, and stay sparse. A centred one-hot vector is dense: it
+    takes several times the space of the raw row. Models with an intercept, and trees, do not depend on the centre.
     """
     categorical, numeric = categorical_columns(df, exclude=(key,)), numeric_columns(df)
     df = log_transform(impute_blank(assign_split(df, key, column=PART), categorical), numeric)
-    counts = stage(category_frequency(_fit_rows(df, fit_on), categorical), "category-counts")
+    counts = stage(frequent_counts(_fit_rows(df, fit_on), categorical, LABEL, min_fraction), "category-counts")
     folding = fit_folding(counts, categorical, min_fraction)
     order = category_order(fold_counts(counts, folding.threshold), categorical)
     df = folding.apply(df)
@@ -92,18 +92,17 @@ def encode_means(
 ) -> tuple[DataFrame, RareFolding | None, TargetMeanEncoder]:
     """Split rows with every category replaced by its mean label in the training part.
 
-    One scan of the training rows counts rows and positives per category; the kept categories and the means of the
-    folded ones both follow from those counts.
+    The kept categories and the means of the folded ones both follow from one small table of counts. Without folding,
+    every category is counted.
     """
     categorical = categorical_columns(df, exclude=(key,))
     df = assign_split(df, key, column=PART)
-    train_rows = df.where(F.col(PART) == "Train")
     if not fold:
-        encoder = fit_target_means(train_rows, categorical)
+        encoder = fit_target_means(df.where(F.col(PART) == "Train"), categorical)
         return encoder.apply(df, **options), None, encoder
     df = impute_blank(df, categorical)
-    counts = target_means(impute_blank(train_rows, categorical), categorical).drop("mean")
-    counts = stage(counts, "category-counts")
+    train_rows = df.where(F.col(PART) == "Train")
+    counts = stage(frequent_counts(train_rows, categorical, LABEL, min_fraction), "category-counts")
     folding = fit_folding(counts, categorical, min_fraction)
     encoder = encoder_from_counts(fold_counts(counts, folding.threshold), categorical)
     return encoder.apply(folding.apply(df), **options), folding, encoder

@@ -1,6 +1,9 @@
 import math
 
+from pyspark.sql import functions as F
+
 from clickloom.operators import cleaning, profile, sampling
+from clickloom.operators.encoding import target_means
 from clickloom.schema import categorical_names
 from clickloom.sources.tables import stage
 
@@ -96,3 +99,22 @@ def test_seeded_random_split_covers_every_row(spark):
     train, test = sampling.random_split(df)
     assert train.count() + test.count() == 1000
     assert train.intersect(test).count() == 0
+
+
+def test_frequent_counts_fold_like_full_counts(spark):
+    """One value with a third of the rows, some near the limit, and a long tail of single ones."""
+    value = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 < 8, (F.col("id") % 100).cast("string"))
+    df = spark.range(0, 30000, 1, 6).select(
+        value.otherwise(F.concat(F.lit("tail"), F.col("id"))).alias("b01"),
+        (F.col("id") % 97).cast("string").alias("b02"),
+        (F.col("id") % 4 == 0).cast("int").alias("label"),
+    )
+    columns = ["b01", "b02"]
+    full = stage(target_means(df, columns).drop("mean"), "test-full")
+    few = stage(cleaning.frequent_counts(df, columns), "test-few")
+    assert few.count() < 300
+    threshold = cleaning.count_threshold(full)
+    assert cleaning.count_threshold(few) == threshold
+    want, got = cleaning.fold_counts(full, threshold), cleaning.fold_counts(few, threshold)
+    assert sorted(map(tuple, want.collect())) == sorted(map(tuple, got.collect()))
+    assert cleaning.fit_folding(full, columns).kept == cleaning.fit_folding(few, columns).kept

@@ -41,8 +41,8 @@ def test_vector_length_is_categories_plus_numerics(onehot):
     assert [r["n"] for r in sizes] == [onehot.features.size]
 
 
-def test_training_part_is_standardised(onehot, means):
-    for prepared in (onehot, means):
+def test_training_part_is_standardised(view, means):
+    for prepared in (flows.prepare_onehot(view, with_mean=True), means):
         for r in moments(prepared.train):
             assert r["m"] == pytest.approx(0.0, abs=1e-9)
             assert r["s"] == pytest.approx(1.0, abs=1e-9) or r["s"] == 0.0
@@ -69,6 +69,16 @@ def test_models_rank_better_than_chance(means, kind):
     assert 0.3 < rows["Test"]["LogLoss"] < 0.69
 
 
+def test_centring_does_not_change_the_fitted_model(view, onehot):
+    centred = flows.prepare_onehot(view, with_mean=True)
+    reports = [
+        flows.train_and_report("logistic", p, "LR", **models.FULL_LOGISTIC)[1].orderBy("Data").collect()
+        for p in (onehot, centred)
+    ]
+    for a, b in zip(*reports):
+        assert tuple(a)[2:] == pytest.approx(tuple(b)[2:], abs=2e-3)
+
+
 def test_gbt_fits_and_reports(means):
     _, report = flows.train_and_report("gbt", means, "GBT", maxIter=3)
     assert report.count() == 2
