@@ -104,8 +104,16 @@ def auc_from_counts(counts: DataFrame, by: list[str] | None = None) -> DataFrame
     return joined.groupBy(*by).agg(F.try_divide(won, pairs).alias("auc"))
 
 
-def auc_roc(df: DataFrame, by: list[str] | None = None, score: str = "probability", label: str = LABEL) -> DataFrame:
-    counts = stage(score_counts(df, by or [], ranking_score(df, score), label), "score-counts")
+def auc_roc(
+    df: DataFrame,
+    by: list[str] | None = None,
+    score: str = "probability",
+    label: str = LABEL,
+    digits: int | None = None,
+) -> DataFrame:
+    """Area under the ROC curve. It is exact by default; ``digits`` rounds the scores first, which keeps the table of
+    distinct scores small and treats scores equal after rounding as ties."""
+    counts = stage(score_counts(df, by or [], ranking_score(df, score), label, digits), "score-counts")
     return auc_from_counts(counts, by)
 
 

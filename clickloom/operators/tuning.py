@@ -42,14 +42,14 @@ def cross_validate(
     df: DataFrame,
     fold_col: str | None = None,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    parallelism: int = 1,
     label: str = LABEL,
     seed: int = 8888,
 ) -> CrossValidatorModel:
     """Mean AUC over the folds for every grid point, then the best one refitted on all rows.
 
-    With ``fold_col`` the folds follow a column, such as a key hash, and do not depend on the partitioning. Up to
-    ``parallelism`` fits share the cluster.
+    With ``fold_col`` the folds follow a column, such as a key hash, and do not depend on the partitioning. Each fit
+    uses all cores, so fits run one after another; a higher ``parallelism`` only helps when the rows are few.
     """
     settings = {"foldCol": fold_col} if fold_col else {"seed": seed}
     return CrossValidator(

@@ -63,7 +63,7 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaning.impute_blank(stored_view(spark, sf_dir), CATEGORICAL)
-    counts = tables.stage(profile.category_frequency(rows, CATEGORICAL), "category-counts")
+    counts = tables.stage(cleaning.frequent_counts(rows, CATEGORICAL), "category-counts")
     return cleaning.fit_folding(counts, CATEGORICAL).apply(rows)
 
 

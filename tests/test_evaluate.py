@@ -1,5 +1,6 @@
 import math
 import random
+import tempfile
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import descent, evaluate, models, ordered
 from clickloom.operators.encoding import assembler
+from clickloom.sources.tables import read_parquet, write_parquet
 
 
 def scores(spark, n=400, digits=2, seed=3):
@@ -42,6 +44,12 @@ def test_auc_equals_the_exact_evaluator(spark):
     assert evaluate.auc_roc(df).first()["auc"] == pytest.approx(exact, abs=1e-12)
 
 
+def test_rounded_auc_treats_equal_scores_as_ties(spark):
+    df = scores(spark, digits=9)
+    rounded = df.withColumn("probability", F.round("probability", 1))
+    assert evaluate.auc_roc(df, digits=1).first()["auc"] == evaluate.auc_roc(rounded).first()["auc"]
+
+
 def test_auc_of_one_score_and_of_one_class(spark):
     constant = spark.createDataFrame([(1, 0.3), (0, 0.3), (0, 0.3)], "label int, probability double")
     assert evaluate.auc_roc(constant).first()["auc"] == 0.5
@@ -114,6 +122,10 @@ def test_report_equals_single_metrics(spark):
         assert (row["ROC"], row["LogLoss"], row["F1-Score"]) == pytest.approx(
             (auc[part], loss[part], f1[part]), abs=1e-6
         )
+    path = tempfile.mkdtemp(prefix="clickloom-test-") + "/reports"
+    for _ in range(2):
+        write_parquet(evaluate.evaluation_report(df, "m"), path, mode="append")
+    assert read_parquet(spark, path).count() == 4
     stacked = evaluate.model_comparison([evaluate.evaluation_report(df, "m")] * 2)
     assert stacked.count() == 4
 

@@ -131,7 +131,7 @@ def test_threshold_on_a_fitted_model_changes_its_predictions(means):
 def test_cross_validation_by_key_hash(means):
     rows = sampling.assign_fold(means.train, KEY)
     grid = {"maxDepth": [1, 3], "maxBins": [16]}
-    found = tuning.cross_validate(models.classifier("decision_tree"), grid, rows, fold_col="fold", parallelism=2)
+    found = tuning.cross_validate(models.classifier("decision_tree"), grid, rows, fold_col="fold")
     best = tuning.best_params(found, grid)
     table = tuning.cv_results(found, grid, rows).collect()
     assert len(table) == 2 and {r["rank"] for r in table} == {1, 2}
