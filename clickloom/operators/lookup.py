@@ -32,6 +32,11 @@ def attach(
     the shuffle join only sees categories that are each a small share of the rows. Rows already served by the hot part,
     and rows with a NULL category, get a hash of the row as key, which spreads them over all tasks.
     """
+    if table_rows == 1:
+        # A join on a column that folding made constant would become a nested loop.
+        row = table.first()
+        found = F.col(column) == row["value"]
+        return df.withColumns({t: F.when(found, F.lit(row[s])) for s, t in outputs.items()})
     if table_rows <= broadcast_rows:
         side = table.select(F.col("value").alias("_value"), *[F.col(s).alias(t) for s, t in outputs.items()])
         return df.join(F.broadcast(side), F.col(column) == F.col("_value"), "left").drop("_value")
