@@ -2,8 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
-
 from clickloom.operators import cleaning, evaluate, profile
 from clickloom.plans import queries
 from clickloom.plans.queries import QUERIES, scored
