@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +12,10 @@ from clickloom.sources.tables import stage
 #: White space that separates words: space and the five ASCII control characters from tab to carriage return.
 SPACE = r"\x20\x09-\x0D"
 
-#: A key with more rows than this is spread over several tasks by ``salted_lookup``. It changes the plan only.
+#: A key with more rows than this may be spread over several tasks by ``salted_lookup``. It changes the plan only.
 HOT_ROWS = 2000
-#: Largest number of tasks that one hot key is spread over.
-MOST_SALTS = 512
+#: ``salted_lookup`` raises that limit with the number of rows, so that at most so many keys are hot and broadcast.
+MOST_HOT = 5000
 
 
 def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,16 +36,18 @@ def bounded_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
 def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, spread_by: list[str]) -> DataFrame:
     """Left join of ``rows`` to ``table`` (one row a key), where a key with many rows is dealt to several tasks.
 
-    ``table`` has ``count``, its key's number of rows. Keys are compared null-safely only if the caller made them non-null.
-    The table is repeated for hot keys alone, once for each ``HOT_ROWS`` rows, so its growth stays in proportion to the rows.
+    ``table`` is a stored one and has ``count``, its key's number of rows; keys are not NULL. A key is hot if it has more than
+    ``HOT_ROWS`` rows and more than one in ``MOST_HOT`` of all rows; so at most ``MOST_HOT`` keys are, and their list is
+    broadcast. Only their entries are repeated, once for each share of rows, which adds at most ``MOST_HOT`` entries.
     """
-    salts = F.least(F.greatest(F.ceil(F.col(count) / HOT_ROWS), F.lit(1)), F.lit(MOST_SALTS)).cast("int")
-    hot = table.where(F.col(count) > HOT_ROWS).select(*keys, salts.alias("_salts"))
-    # At most rows / HOT_ROWS keys are hot, and each entry is a key and a number.
-    known = rows.join(hot, keys, "left")
+    total = table.agg(F.sum(count)).first()[0] or 0
+    limit = max(HOT_ROWS, math.ceil(total / MOST_HOT))
+    salts = F.when(F.col(count) > limit, F.ceil(F.col(count) / limit)).otherwise(1).cast("int")
+    hot = table.where(F.col(count) > limit).select(*keys, salts.alias("_salts"))
+    known = rows.join(F.broadcast(hot), keys, "left")
     salted = known.withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread_by), F.col("_salts"))).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col(count) > HOT_ROWS, salts).otherwise(F.lit(1)) - 1)))
-    return salted.drop("_salts").join(copies, [*keys, "_salt"], "left").drop("_salt", count)
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop(count)
+    return salted.drop("_salts").join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

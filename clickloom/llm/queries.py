@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import quality_rules
+from clickloom.llm import quality_rules, simhash
 from clickloom.sources.tables import read_table
 
 
@@ -13,7 +13,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "pattern", "quality")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, max_bits=4)
+
+
 QUERIES = {
+    "op6_simhash": op6_simhash,
     "op9_quality_rules": op9_quality_rules,
 }
 
