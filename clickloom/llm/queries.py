@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import quality_rules, simhash
+from clickloom.llm import decontamination, packing, quality_rules, simhash
 from clickloom.sources.tables import read_table
 
 
@@ -17,7 +17,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, max_bits=4)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_decontamination": op5_decontamination,
+    "op10_packing": op10_packing,
     "op6_simhash": op6_simhash,
     "op9_quality_rules": op9_quality_rules,
 }
