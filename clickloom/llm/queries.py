@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import decontamination, packing, quality_rules, simhash
+from clickloom.llm import decontamination, packing, quality_rules, secrets, simhash
 from clickloom.sources.tables import read_table
 
 
@@ -25,7 +25,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf_dir, "documents"), path_col="source")
+    return found.select("doc_id", "n_candidates", "n_secrets", "spans")
+
+
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op5_decontamination": op5_decontamination,
     "op10_packing": op10_packing,
     "op6_simhash": op6_simhash,

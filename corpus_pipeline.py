@@ -1,21 +1,75 @@
-"""The corpus pipeline: each stage's result is stored as Parquet and read again as the next stage's documents."""
+"""The corpus pipeline: five stages, each result stored as Parquet and read again as the next stage's documents.
+
+1. quality rules: documents that the rules reject go;
+2. SimHash near-duplicates: of each group the document with the smallest id stays, one row of it if it is repeated;
+3. benchmark decontamination: documents that hold a benchmark item go;
+4. secret scan: secrets in the text are replaced, and ``n_chars`` follows where there is such a column;
+5. packing: the remaining documents as pieces in length buckets and batches.
+
+Stages 1 to 4 return the columns of ``documents`` as they came, whatever other columns there are. Rows are told apart by a
+stored row number and not by ``doc_id``, so rows without an id, or with the same id, are judged each by its own text. An empty
+table passes through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickloom.llm import quality_rules
+from clickloom.llm import decontamination, packing, quality_rules, secrets, simhash
 from clickloom.llm.common import staged
 from clickloom.sources.tables import read_table
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``_uid``, a row number that is stored and so stays the same, and ``row``, the whole row."""
+    return staged(docs.select(F.monotonically_increasing_id().alias("_uid"), F.struct("*").alias("row")), "numbered")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep."""
-    kept = quality_rules.judge(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    # The row itself goes along as the id, so that no join has to bring it back.
+    judged = quality_rules.judge(docs.select(F.struct("*").alias("row")), "row", "row.text")
+    return judged.where("kept").select("doc_id.*")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = numbered(docs)
+    named = rows.select(F.struct("row.doc_id", "_uid").alias("id"), F.col("row.text").alias("text"))
+    groups = simhash.near_duplicates(named, "id", "text", words=4, max_bits=4)
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id._uid")
+    return rows.join(stay, "_uid", "left_semi").select("row.*")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = numbered(docs)
+    held = decontamination.matches(rows, read_table(spark, sf_dir, "benchmark"), "_uid", "row.text")
+    return rows.join(held.select(F.col("doc_id").alias("_uid")).distinct(), "_uid", "left_anti").select("row.*")
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = numbered(docs)
+    path = "row.source" if "source" in docs.columns else None
+    found = secrets.scan(rows, "_uid", "row.text", path).where("n_secrets > 0").select(F.col("doc_id").alias("_uid"), "positions")
+    joined = rows.join(found, "_uid", "left")
+    text = secrets.redacted(F.col("row.text"), F.col("positions"))
+    row = F.col("row").withField("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        row = row.withField("n_chars", F.when(F.col("positions").isNotNull(), F.length(text).cast(kind)).otherwise(F.col("row.n_chars")))
+    return joined.select(row.alias("row")).select("row.*")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
 
 
-STAGES = [("quality_rules", quality_stage)]
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("simhash_near_dedup", near_duplicate_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("secret_scan", secret_stage),
+    ("packing", packing_stage),
+]
 #: SQL cannot express the estimates inside the stages; tests compare the result with a brute-force version.
 ORACLE_SQL = None
 
