@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import decontamination, packing, quality_rules, secrets, simhash
+from clickloom.llm import decontamination, packing, quality_rules, secrets, simhash, url_filter
 from clickloom.sources.tables import read_table
 
 
@@ -30,7 +30,23 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_candidates", "n_secrets", "spans")
 
 
+URL_RULES = (
+    url_filter.Rule(True, "com", "/"),
+    url_filter.Rule(False, "example.com", "/en/"),
+    url_filter.Rule(True, "www.example.com", "/en/"),
+    url_filter.Rule(False, "net", "/es/"),
+    url_filter.Rule(False, "net", "/fr/"),
+)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    labelled = url_filter.outcomes(pages, read_table(spark, sf_dir, "labels"))
+    return url_filter.judge(pages, labelled, URL_RULES)
+
+
 QUERIES = {
+    "op7_url_filter": op7_url_filter,
     "op1_secrets": op1_secrets,
     "op5_decontamination": op5_decontamination,
     "op10_packing": op10_packing,
