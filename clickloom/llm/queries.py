@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickloom.llm import decontamination, packing, quality_rules, secrets, simhash, url_filter
+from clickloom.llm import decontamination, packing, pii, quality_rules, secrets, simhash, url_filter
 from clickloom.sources.tables import read_table
 
 
@@ -45,7 +46,13 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, labelled, URL_RULES)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {
+    "op3_pii": op3_pii,
     "op7_url_filter": op7_url_filter,
     "op1_secrets": op1_secrets,
     "op5_decontamination": op5_decontamination,
