@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontamination, packing, pii, quality_rules, secrets, simhash, url_filter
+from clickloom.llm import decontamination, packing, pii, quality_rules, secrets, simhash, toxicity, url_filter
 from clickloom.sources.tables import read_table
 
 
@@ -51,7 +51,13 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op3_pii": op3_pii,
     "op7_url_filter": op7_url_filter,
     "op1_secrets": op1_secrets,
