@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontamination, packing, pii, quality_rules, secrets, simhash, toxicity, url_filter
+from clickloom.llm import decontamination, line_quality, packing, pii, quality_rules, secrets, simhash, toxicity, url_filter
 from clickloom.sources.tables import read_table
 
 
@@ -56,7 +56,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return line_quality.predict(docs, line_quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
+    "op8_line_quality": op8_line_quality,
     "op4_toxicity": op4_toxicity,
     "op3_pii": op3_pii,
     "op7_url_filter": op7_url_filter,
