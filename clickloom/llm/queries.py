@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontamination, line_quality, packing, pii, quality_rules, secrets, simhash, toxicity, url_filter
+from clickloom.llm import decontamination, line_quality, packing, pii, quality_rules, repeats, secrets, simhash, toxicity, url_filter
 from clickloom.sources.tables import read_table
 
 
@@ -61,7 +61,13 @@ def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.predict(docs, line_quality.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op2_repeats": op2_repeats,
     "op8_line_quality": op8_line_quality,
     "op4_toxicity": op4_toxicity,
     "op3_pii": op3_pii,
