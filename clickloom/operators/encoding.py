@@ -10,13 +10,12 @@ from pyspark.ml.feature import (
     StandardScaler,
     StringIndexer,
     StringIndexerModel,
-    UnivariateFeatureSelector,
     VectorAssembler,
     VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.lookup import BROADCAST_ROWS, attach
@@ -25,6 +24,7 @@ from clickloom.schema import LABEL
 from clickloom.sources.tables import stage
 
 MEAN_SUFFIX = "_bm"
+GLOBAL_MEAN = "global_mean"
 FEATURES = "features"
 SELECTED = "selected_features"
 
@@ -73,17 +73,39 @@ class TargetMeanEncoder:
                     df = stage(df, "mean-encoded")
         return df.na.fill(self.fill, subset=[c + MEAN_SUFFIX for c in self.columns])
 
+    def apply_leave_one_out(self, df: DataFrame, label: str = LABEL, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+        """For the rows that the encoder was fitted on: each takes the mean of the other rows of its category.
 
-def encoder_from_counts(counts: DataFrame, columns: list[str], fill: float = 0.0) -> TargetMeanEncoder:
+        A category with one row, and one without a mean, gets ``fill``.
+        """
+        for c in self.columns:
+            table = self.means.where(F.col("feature") == c)
+            df = attach(df, c, table, {"n": "_n", "n_positive": "_p"}, self.sizes[c], broadcast_rows)
+            mean = F.try_divide(F.col("_p") - F.col(label), F.col("_n") - 1)
+            df = df.withColumn(c + MEAN_SUFFIX, F.coalesce(mean, F.lit(self.fill))).drop(c, "_n", "_p")
+        return df
+
+
+def encoder_from_counts(counts: DataFrame, columns: list[str], fill: float | str = 0.0) -> TargetMeanEncoder:
     """An encoder from counts per category (``feature, value, n, n_positive``), stored and counted per column."""
     means = counts.withColumn("mean", F.col("n_positive") / F.col("n")).sortWithinPartitions("feature")
-    means = stage(means, "target-means")
-    sizes = {c: 0 for c in columns}
-    sizes |= {r["feature"]: r["rows"] for r in means.groupBy("feature").agg(F.count(F.lit(1)).alias("rows")).collect()}
-    return TargetMeanEncoder(columns, means, sizes, fill)
+    return encoder_of(stage(means, "target-means"), columns, fill)
 
 
-def fit_target_means(df: DataFrame, columns: list[str], label: str = LABEL, fill: float = 0.0) -> TargetMeanEncoder:
+def encoder_of(means: DataFrame, columns: list[str], fill: float | str = 0.0) -> TargetMeanEncoder:
+    """An encoder from a stored table ``feature, value, n, n_positive, mean``. ``fill`` is a number or ``'global_mean'``."""
+    bytes_of = F.coalesce(F.sum(F.octet_length("value")), F.lit(0)) + 24 * F.count(F.lit(1))
+    measured = means.groupBy("feature").agg(
+        F.greatest(F.count(F.lit(1)), F.ceil(bytes_of / 100)).alias("rows"), F.sum("n").alias("n"), F.sum("n_positive").alias("p")
+    ).collect()
+    sizes = {c: 0 for c in columns} | {r["feature"]: r["rows"] for r in measured}
+    if fill == GLOBAL_MEAN:
+        rows = max((r["n"] for r in measured), default=0)
+        fill = max((r["p"] for r in measured if r["n"] == rows), default=0) / rows if rows else 0.0
+    return TargetMeanEncoder(columns, means, sizes, float(fill))
+
+
+def fit_target_means(df: DataFrame, columns: list[str], label: str = LABEL, fill: float | str = 0.0) -> TargetMeanEncoder:
     """All mean tables from the given rows in one scan."""
     return encoder_from_counts(target_means(df, columns, label).drop("mean"), columns, fill)
 
@@ -233,12 +255,12 @@ def chi_square_table(means: DataFrame) -> DataFrame:
     )
 
 
-def select_by_chi_square(df: DataFrame, columns: list[str], label: str = LABEL, top: int = 50) -> list[str]:
-    """The ``top`` folded columns that depend most on the label by chi-square test."""
-    prepared = Pipeline(stages=[string_indexer(columns), assembler([f"{c}_index" for c in columns])]).fit(df)
-    selector = UnivariateFeatureSelector(
-        featuresCol=FEATURES, labelCol=label, outputCol="chosen", selectionMode="numTopFeatures"
-    )
-    selector.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(top)
-    model = selector.fit(prepared.transform(df))
-    return [columns[i] for i in model.selectedFeatures]
+def select_by_chi_square(table: DataFrame, top: int = 50) -> DataFrame:
+    """The ``top`` features of a :func:`chi_square_table`, by statistic per degree of freedom (ties by name): ``feature, rank``.
+
+    P-values would all be 0.0 on large data, and leave the choice to the column order.
+    """
+    strength = F.coalesce(F.try_divide("statistic", "dof"), F.lit(0.0))
+    best = table.select("feature", strength.alias("strength")).orderBy(F.desc("strength"), "feature").limit(top)
+    # One row per column of the data.
+    return best.select("feature", F.row_number().over(Window.orderBy(F.desc("strength"), "feature")).alias("rank"))

@@ -9,13 +9,10 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import positive_probability, round6
 from clickloom.operators.descent import log_loss_of
-from clickloom.operators.ordered import bucketed, slice_starts
+from clickloom.operators.ordered import bucketed, slice_starts, with_running_totals
 from clickloom.schema import LABEL
 from clickloom.sources.tables import stage
 
-# Decimal places of a score in curve tables: at most 1001 thresholds, whatever the number of rows.
-CURVE_DIGITS = 3
-
 
 def confusion_columns(prediction: Column, label: Column) -> dict[str, Column]:
     return {
@@ -73,10 +70,12 @@ def log_loss(df: DataFrame, by: list[str] | None = None, label: str = LABEL) ->
 def score_counts(
     df: DataFrame, by: list[str], score: Column, label: str = LABEL, digits: int | None = None
 ) -> DataFrame:
-    """Positives and negatives per distinct score: ``score, pos, neg``."""
+    """Positives and negatives per distinct score: ``score, pos, neg``. Rows whose score is NULL or NaN are left out; a
+    ``null_audit`` of the score reports their number."""
     score = F.round(score, digits) if digits is not None else score
     return (
         df.select(*by, score.alias("score"), F.col(label).alias("_y"))
+        .where(F.col("score").isNotNull() & ~F.isnan("score"))
         .groupBy(*by, "score")
         .agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
     )
@@ -122,37 +121,39 @@ def ranking_score(df: DataFrame, score: str = "probability") -> Column:
     return positive_probability(df, score if score in df.columns else "rawPrediction")
 
 
-def _curve(df: DataFrame, label: str, digits: int) -> DataFrame:
-    """Counts at or above each threshold. Rounding bounds the rows of this window to ``10**digits + 1``."""
-    counts = score_counts(df, [], positive_probability(df), label, digits)
-    down = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return counts.select(
-        F.col("score").alias("threshold"),
-        F.sum("pos").over(down).alias("tp"),
-        F.sum("neg").over(down).alias("fp"),
-        F.sum("pos").over(everything).alias("p"),
-        F.sum("neg").over(everything).alias("n"),
-    )
+def _curve(df: DataFrame, label: str, bins: int | None) -> DataFrame:
+    """Counts at or above each distinct score, exact at any number of them: running totals go slice by slice.
 
+    With ``bins`` only the scores at which the number of rows passes a further ``1 / bins`` of all rows are returned; their
+    counts are exact as well.
+    """
+    counts = stage(score_counts(df, [], positive_probability(df), label), "score-counts")
+    curve = with_running_totals(bucketed(counts, "score"), [], "score", ["pos", "neg"], descending=True)
+    if bins is not None:
+        upto, own, rows = F.col("pos_upto") + F.col("neg_upto"), F.col("pos") + F.col("neg"), F.col("pos_all") + F.col("neg_all")
+        curve = curve.where(F.floor(upto * bins / rows) > F.floor((upto - own) * bins / rows))
+    names = {"score": "threshold", "pos_upto": "tp", "neg_upto": "fp", "pos_all": "p", "neg_all": "n"}
+    return curve.select(*[F.col(c).alias(n) for c, n in names.items()])
 
-def roc_curve(df: DataFrame, label: str = LABEL, digits: int = CURVE_DIGITS) -> DataFrame:
+
+def roc_curve(df: DataFrame, label: str = LABEL, bins: int | None = None) -> DataFrame:
     """False and true positive rate per threshold, with the end points (0, 0) and (1, 1)."""
-    points = _curve(df, label, digits).select(
+    points = _curve(df, label, bins).select(
         _ratio(F.col("fp"), F.col("n")).alias("FPR"), _ratio(F.col("tp"), F.col("p")).alias("TPR")
     )
     ends = df.sparkSession.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "FPR double, TPR double")
     return points.unionByName(ends)
 
 
-def f_by_threshold(df: DataFrame, label: str = LABEL, digits: int = CURVE_DIGITS) -> DataFrame:
-    curve = _curve(df, label, digits)
+def f_by_threshold(df: DataFrame, label: str = LABEL, bins: int | None = None) -> DataFrame:
+    """F1 of calling rows positive whose score is at least the threshold."""
+    curve = _curve(df, label, bins)
     return curve.select("threshold", f1_of(F.col("tp"), F.col("fp"), F.col("p") - F.col("tp")).alias("F-Measure"))
 
 
 def best_threshold(f_curve: DataFrame) -> DataFrame:
-    """The threshold of the largest F-measure; the lowest one on ties."""
-    rank = F.struct(F.col("F-Measure"), -F.col("threshold"))
+    """The threshold of the largest F-measure; the highest one on ties, as a curve in falling order meets it first."""
+    rank = F.struct("F-Measure", "threshold")
     return f_curve.agg(
         F.max_by("threshold", rank).alias("threshold"), F.max("F-Measure").alias("f_measure")
     )
@@ -162,14 +163,17 @@ def apply_threshold(df: DataFrame, threshold: float) -> DataFrame:
     return df.withColumn("prediction", (positive_probability(df) >= threshold).cast("double"))
 
 
-def threshold_effect(df: DataFrame, thresholds: list[float], label: str = LABEL) -> DataFrame:
-    """Precision, recall and F1 at each threshold, from a single scan."""
+def threshold_effect(
+    df: DataFrame, thresholds: list[float], by: list[str] | None = None, label: str = LABEL
+) -> DataFrame:
+    """Precision, recall and F1 at each threshold, from a single scan. A score equal to the threshold counts as positive."""
+    by = by or []
     p, y = positive_probability(df), F.col(label)
     cells = {}
     for i, t in enumerate(thresholds):
         prediction = F.when(p >= t, 1).otherwise(0)
         cells |= {f"{n}{i}": c for n, c in confusion_columns(prediction, y).items()}
-    wide = df.agg(*[c.alias(n) for n, c in cells.items()])
+    wide = df.groupBy(*by).agg(*[c.alias(n) for n, c in cells.items()])
     rows = [
         F.struct(
             F.lit(float(t)).alias("threshold"),
@@ -177,7 +181,7 @@ def threshold_effect(df: DataFrame, thresholds: list[float], label: str = LABEL)
         )
         for i, t in enumerate(thresholds)
     ]
-    return f1_metrics(wide.select(F.inline(F.array(*rows))), ["threshold"])
+    return f1_metrics(wide.select(*by, F.inline(F.array(*rows))), [*by, "threshold"])
 
 
 # -- reports --------------------------------------------------------------------------------------------------------
@@ -186,39 +190,26 @@ def threshold_effect(df: DataFrame, thresholds: list[float], label: str = LABEL)
 def evaluation_report(scored: DataFrame, name: str, part: str = "data", label: str = LABEL) -> DataFrame:
     """``Name, Data, ROC, LogLoss, F1-Score`` per part, rounded to 6 places.
 
-    Loss, confusion cells and score counts share one aggregate per distinct score, so the rows are scored and scanned
-    once. Without probabilities the loss is NULL.
+    The distinct scores are shuffled with two counts each and nothing else; loss and confusion cells are totals of a second,
+    map-side aggregate. Without probabilities the loss is NULL. Rows without a score count in neither the area nor the loss.
     """
     has_p = "probability" in scored.columns
-    y = F.col("_y")
     loss = log_loss_of(positive_probability(scored), F.col(label)) if has_p else F.lit(None).cast("double")
     rows = scored.select(
-        F.col(part).alias("Data"),
-        F.col(label).alias("_y"),
-        "prediction",
-        ranking_score(scored).alias("score"),
-        loss.alias("_loss"),
-    )
-    cells = confusion_columns(F.col("prediction"), y)
-    counts = rows.groupBy("Data", "score").agg(
-        F.count_if(y == 1).alias("pos"),
-        F.count_if(y == 0).alias("neg"),
-        F.sum("_loss").alias("loss"),
-        *[c.alias(n) for n, c in cells.items()],
+        F.col(part).alias("Data"), F.col(label).alias("_y"), "prediction", ranking_score(scored).alias("score"), loss.alias("_loss")
     )
-    counts = stage(counts, "score-counts")
-    totals = counts.groupBy("Data").agg(
-        F.sum("loss").alias("loss"),
-        (F.sum("pos") + F.sum("neg")).alias("rows"),
-        *[F.sum(n).alias(n) for n in ("tp", "fp", "fn")],
+    counts = stage(score_counts(rows, ["Data"], F.col("score"), "_y"), "score-counts")
+    cells = confusion_columns(F.col("prediction"), F.col("_y"))
+    totals = rows.groupBy("Data").agg(
+        F.sum("_loss").alias("loss"), F.count("_loss").alias("rows"), *[cells[n].alias(n) for n in ("tp", "fp", "fn")]
     )
-    auc = auc_from_counts(counts.select("Data", "score", "pos", "neg"), ["Data"])
+    auc = auc_from_counts(counts, ["Data"])
     # One row per part on both sides.
     return totals.join(F.broadcast(auc), "Data").select(
         F.lit(name).alias("Name"),
         "Data",
         round6("auc").alias("ROC"),
-        round6(F.col("loss") / F.col("rows")).alias("LogLoss"),
+        round6(F.try_divide("loss", "rows")).alias("LogLoss"),
         round6(f1_of(F.col("tp"), F.col("fp"), F.col("fn"))).alias("F1-Score"),
     )
 
@@ -229,11 +220,19 @@ def model_comparison(reports: list[DataFrame]) -> DataFrame:
 
 
 def prediction_agreement(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """How close two scorers are on the same rows, matched by a unique key."""
+    """How close two stored prediction sets are on the same rows, matched by key.
+
+    The key must be unique: ``n_repeated`` is the number of matched pairs beyond one for each key, 0 for a sound result.
+    """
     left = a.select(key, positive_probability(a).alias("p_a"), F.col("prediction").alias("y_a"))
     right = b.select(key, positive_probability(b).alias("p_b"), F.col("prediction").alias("y_b"))
-    return left.join(right, key).agg(
+    pairs = left.join(right, key).groupBy(key).agg(
+        F.count(F.lit(1)).alias("pairs"),
+        *[F.first(c).alias(c) for c in ("p_a", "p_b", "y_a", "y_b")],
+    )
+    return pairs.agg(
         F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.col("pairs") - 1), F.lit(0)).alias("n_repeated"),
         F.corr("p_a", "p_b").alias("corr"),
         F.max(F.abs(F.col("p_a") - F.col("p_b"))).alias("max_abs_diff"),
         F.count_if(F.col("y_a") == F.col("y_b")).alias("n_same_class"),

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 # Categories with at least this share of all rows are looked up by broadcast even when the table is large.
 HOT_SHARE = 0.001
+# Tables up to this many rows become a literal map inside a projection, and need no join.
+LITERAL_ROWS = 200
 # Start of the key of rows that need no match. It is part of the key and not a second one, since a second key that is
 # constant on one side is no longer used for partitioning after optimisation.
 SPREAD_PREFIX = "\u0001"
@@ -27,16 +29,18 @@ def attach(
 ) -> DataFrame:
     """Adds ``outputs`` (table column -> new column) of the ``table`` row whose ``value`` equals ``column``; else NULL.
 
-    ``table`` has ``value``, ``n`` (rows of that category) and the output columns, ``table_rows`` is its counted size.
+    ``table`` has ``value``, ``n`` (rows of that category) and the output columns, ``table_rows`` is its counted size in rows of
+    at most 100 bytes, so that long categories count as several.
     Above ``broadcast_rows`` the table is split. Hot categories, at most ``1 / hot_share`` of them, are broadcast, so
     the shuffle join only sees categories that are each a small share of the rows. Rows already served by the hot part,
     and rows with a NULL category, get a hash of the row as key, which spreads them over all tasks.
     """
-    if table_rows == 1:
-        # A join on a column that folding made constant would become a nested loop.
-        row = table.first()
-        found = F.col(column) == row["value"]
-        return df.withColumns({t: F.when(found, F.lit(row[s])) for s, t in outputs.items()})
+    if table_rows <= min(LITERAL_ROWS, broadcast_rows):
+        rows = table.where(F.col("value").isNotNull()).select("value", *outputs).collect()
+        if not rows:
+            return df.withColumns({t: F.lit(None).cast(table.schema[s].dataType) for s, t in outputs.items()})
+        literal = {s: F.create_map(*[F.lit(x) for r in rows for x in (r["value"], r[s])]) for s in outputs}
+        return df.withColumns({t: F.try_element_at(literal[s], F.col(column)) for s, t in outputs.items()})
     if table_rows <= broadcast_rows:
         side = table.select(F.col("value").alias("_value"), *[F.col(s).alias(t) for s, t in outputs.items()])
         return df.join(F.broadcast(side), F.col(column) == F.col("_value"), "left").drop("_value")
@@ -54,7 +58,7 @@ def attach(
     rows = rows.withColumn("_served", F.col("_hot").isNotNull() | F.col(column).isNull())
     spread = F.concat(F.lit(SPREAD_PREFIX), F.xxhash64(*columns).cast("string"))
     rows = rows.withColumn("_key", F.when(F.col("_served"), spread).otherwise(F.col(column)))
-    matched = rows.join(cold, F.col("_key") == F.col("_cold"), "left")
+    matched = rows.join(cold.hint("merge"), F.col("_key") == F.col("_cold"), "left")
     # A served row never takes a value from the cold part, whatever its spread key may equal.
     return matched.select(
         *columns, *[F.when(F.col("_served"), F.col(f"_hot_{t}")).otherwise(F.col(f"_cold_{t}")).alias(t) for t in outputs.values()]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,11 +86,21 @@ def null_audit(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlations of all column pairs: ``feature_a, feature_b, corr``, both directions."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(df.select(columns)).select("v")
-    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
-    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+    """Pearson correlations of all column pairs, ``feature_a, feature_b, corr``, both directions, in one pass over the rows.
+
+    A pair takes the rows that have both values; a column without spread has a NULL correlation.
+    """
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    wide = df.agg(*[F.corr(a, b).alias(f"{a}:{b}") for a, b in pairs])
+    at = {**{(b, a): f"{a}:{b}" for a, b in pairs}, **{(a, b): f"{a}:{b}" for a, b in pairs}}
+    return rotate(
+        wide,
+        [
+            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"`{at[a, b]}`").alias("corr"))
+            for a in columns
+            for b in columns
+        ],
+    )
 
 
 def boxplot_stats(df: DataFrame, columns: list[str], label: str = LABEL, whisker: float = 1.5) -> DataFrame:
@@ -104,7 +112,7 @@ def boxplot_stats(df: DataFrame, columns: list[str], label: str = LABEL, whisker
     keys = ["feature", label]
     counts = (
         melt(df, [label], columns, "feature", "value")
-        .where(F.col("value").isNotNull())
+        .where(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy(*keys, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -14,10 +14,11 @@ SPLIT_SEED = 2018
 FULL_ROWS = 34095179 + 11745438
 SAMPLE_ROWS = 100000
 TRAIN_SHARE = 0.7
+SPLIT_SALT = "p|"
 
 
-def sample_fraction(df: DataFrame, fraction: float = SAMPLE_ROWS / FULL_ROWS, seed: int = SAMPLE_SEED) -> DataFrame:
-    """Seeded Bernoulli sample. The rows taken depend on the partitioning of ``df``."""
+def sample_fraction(df: DataFrame, fraction: float, seed: int = SAMPLE_SEED) -> DataFrame:
+    """Seeded Bernoulli sample. The rows taken depend on the partitioning of ``df``; ``sample_hash`` does not."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
@@ -50,14 +51,8 @@ def random_split(
 
 
 def assign_split(df: DataFrame, key: str, train_share: float = TRAIN_SHARE, column: str = "data") -> DataFrame:
-    """Adds 'Train' or 'Test' by key hash, in tenths."""
-    train = hash_bucket(key, 10) < round(train_share * 10)
-    return df.withColumn(column, F.when(train, "Train").otherwise("Test"))
-
-
-def split_hash(df: DataFrame, key: str, train_share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    train = hash_bucket(key, 10) < round(train_share * 10)
-    return df.where(train), df.where(~train)
+    """Adds 'Train' or 'Test' by key hash, for any share from 0 to 1; 'Test' for a NULL key."""
+    return df.withColumn(column, F.when(hash_fraction(key, SPLIT_SALT) < train_share, "Train").otherwise("Test"))
 
 
 def assign_fold(df: DataFrame, key: str, folds: int = 3, column: str = "fold") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, field
 
-from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.ml import Model, PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import signed_log
@@ -25,6 +26,7 @@ from clickloom.operators.encoding import (
     TargetMeanEncoder,
     category_order,
     encoder_from_counts,
+    encoder_of,
     fit_mean_features,
     fit_onehot_features,
     fit_target_means,
@@ -35,7 +37,7 @@ from clickloom.operators.models import FULL_GBT, FULL_LOGISTIC, classifier, scor
 from clickloom.operators.sampling import assign_split
 from clickloom.operators.tuning import GRIDS, best_params, cross_validate
 from clickloom.schema import LABEL, categorical_columns, numeric_columns
-from clickloom.sources.tables import stage
+from clickloom.sources.tables import read_parquet, stage, write_parquet
 
 PART = "data"
 
@@ -44,10 +46,12 @@ PART = "data"
 class Prepared:
     """Stored feature rows ``key, label, selected_features``, in one folder per part, and what made them."""
 
-    rows: DataFrame
+    rows: DataFrame | None
     features: FeaturePipeline
     folding: RareFolding | None = None
     encoder: TargetMeanEncoder | None = None
+    categorical: list[str] = field(default_factory=list)
+    numeric: list[str] = field(default_factory=list)
 
     @property
     def train(self) -> DataFrame:
@@ -57,6 +61,37 @@ class Prepared:
     def test(self) -> DataFrame:
         return self.rows.where(F.col(PART) == "Test")
 
+    def apply(self, new_rows: DataFrame, keep: list[str]) -> DataFrame:
+        """Feature vectors of raw rows with what was learned before, next to the columns ``keep``. No statistic of the new rows is used."""
+        df = new_rows
+        if self.folding is not None:
+            df = self.folding.apply(impute_blank(df, self.categorical))
+        if self.encoder is None:
+            return self.features.apply(log_transform(df, self.numeric), keep)
+        means = [c + MEAN_SUFFIX for c in self.encoder.columns]
+        return self.features.apply(self.encoder.apply(df).withColumns({c: signed_log(c) for c in means + self.numeric}), keep)
+
+    def save(self, path: str) -> None:
+        """Everything that ``apply`` needs, as Parquet and Spark ML folders under ``path``; not the prepared rows."""
+        spark = SparkSession.getActiveSession()
+        self.features.model.write().save(f"{path}/pipeline")
+        settings = {"names": self.features.names, "categorical": self.categorical, "numeric": self.numeric}
+        if self.folding is not None:
+            settings["folding"] = {"kept": self.folding.kept, "large": self.folding.large, "threshold": self.folding.threshold, "token": self.folding.token}
+            write_parquet(self.folding.table, f"{path}/folding")
+        if self.encoder is not None:
+            settings["encoder"] = {"columns": self.encoder.columns, "fill": self.encoder.fill}
+            write_parquet(self.encoder.means, f"{path}/means")
+        write_parquet(spark.createDataFrame([(json.dumps(settings),)], "settings string"), f"{path}/settings")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Prepared:
+        """What ``save`` stored, without prepared rows."""
+        s = json.loads(read_parquet(spark, f"{path}/settings").first()["settings"])
+        folding = RareFolding(table=read_parquet(spark, f"{path}/folding"), **s["folding"]) if "folding" in s else None
+        encoder = encoder_of(read_parquet(spark, f"{path}/means"), s["encoder"]["columns"], s["encoder"]["fill"]) if "encoder" in s else None
+        return Prepared(None, FeaturePipeline(PipelineModel.load(f"{path}/pipeline"), s["names"]), folding, encoder, s["categorical"], s["numeric"])
+
 
 def _fit_rows(df: DataFrame, fit_on: str) -> DataFrame:
     return df if fit_on == "all" else df.where(F.col(PART) == "Train")
@@ -84,7 +119,7 @@ def prepare_onehot(
     df = folding.apply(df)
     features = fit_onehot_features(_fit_rows(df, fit_on), order, numeric, drop_last, with_mean)
     rows = stage(features.apply(df, [key, LABEL, PART]), "onehot-features", partition_by=(PART,))
-    return Prepared(rows, features, folding=folding)
+    return Prepared(rows, features, folding, None, categorical, numeric)
 
 
 def encode_means(
@@ -118,14 +153,14 @@ def prepare_means(
     logged = encoded.withColumns({c: signed_log(c) for c in columns + numeric})
     features = fit_mean_features(logged.where(F.col(PART) == "Train"), columns, numeric, with_mean)
     rows = stage(features.apply(logged, [key, LABEL, PART]), "mean-features", partition_by=(PART,))
-    return Prepared(rows, features, folding, encoder)
+    return Prepared(rows, features, folding, encoder, encoder.columns, numeric)
 
 
 def sliced(prepared: Prepared, slots: list[int]) -> Prepared:
     """The same rows with only the given vector slots."""
     rows = slicer(slots, SELECTED, "_sliced").transform(prepared.rows).drop(SELECTED)
     features = FeaturePipeline(prepared.features.model, [prepared.features.names[i] for i in slots])
-    return Prepared(rows.withColumnRenamed("_sliced", SELECTED), features, prepared.folding, prepared.encoder)
+    return Prepared(rows.withColumnRenamed("_sliced", SELECTED), features, prepared.folding, prepared.encoder, prepared.categorical, prepared.numeric)
 
 
 def report(model: Model, prepared: Prepared, name: str) -> DataFrame:

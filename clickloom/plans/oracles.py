@@ -31,7 +31,7 @@ def h(text: str, digits: int = 4, kind: str = "INTEGER") -> str:
 
 
 TV = f"""base AS (
-  SELECT concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rk, *
+  SELECT concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS rk, *
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
   JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey
 ), tv AS (
@@ -46,7 +46,7 @@ TV = f"""base AS (
   FROM base
 )"""
 
-SPLIT = f"CASE WHEN {h('rk')} % 10 < 7 THEN 'Train' ELSE 'Test' END"
+SPLIT = f"""CASE WHEN {h("'p|' || rk", 8, "BIGINT")} / 4294967296e0 < 0.7e0 THEN 'Train' ELSE 'Test' END"""
 SPLIT_TV = f"sv AS (SELECT *, {SPLIT} AS data FROM tv)"
 
 
@@ -160,12 +160,14 @@ def report(name: str, source: str) -> str:
       JOIN ({auc(source, 'data')}) a ON m.data = a.data"""
 
 
-CURVE = """curve AS (
+CURVE_OF = """curve AS (
     SELECT threshold, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n
-    FROM (SELECT round(probability, 3) AS threshold, sum(label) AS pos, sum(1 - label) AS neg FROM a GROUP BY 1)
+    FROM (SELECT probability AS threshold, sum(label) AS pos, sum(1 - label) AS neg FROM {} GROUP BY 1)
     WINDOW w AS (ORDER BY threshold DESC))"""
+CURVE = CURVE_OF.format("a")
+CURVE_TRAIN = CURVE_OF.format("(SELECT * FROM a WHERE data = 'Train')")
 CURVE_F = "CASE WHEN tp + p = 0 THEN 0e0 ELSE 2e0 * tp / (2 * tp + fp + (p - tp)) END"
-BEST = f"SELECT threshold, f FROM (SELECT threshold, {CURVE_F} AS f FROM curve) ORDER BY f DESC, threshold LIMIT 1"
+BEST = f"SELECT threshold, f FROM (SELECT threshold, {CURVE_F} AS f FROM curve) ORDER BY f DESC, threshold DESC LIMIT 1"
 
 TOY = """lt AS (SELECT rk, label, b03, ln(1 + c01) AS c01_t FROM tv),
   toy AS (SELECT rk, label, c01_t, (c01_t - m) / s AS c01_ts, CASE WHEN b03 = 'O' THEN 1 ELSE 0 END AS b03_t1
@@ -235,6 +237,16 @@ def features_mean() -> str:
       {scaler_rows(parts, 'enc')}"""
 
 
+def score_new_rows() -> str:
+    parts = [(c, LOG.format(c)) for c in [f"{c}_bm" for c in CATEGORICAL] + NUMERIC]
+    stats = ", ".join(f"avg({x}) AS m_{n}, stddev_samp({x}) AS s_{n}" for n, x in parts)
+    z = ", ".join(f"{R.format(f'CASE WHEN s_{n} = 0 THEN 0e0 ELSE (({x}) - m_{n}) / s_{n} END')} AS z_{n}" for n, x in parts)
+    return f"""WITH {TV}, {CLEAN_TRAIN}, {mean_tables('trained')}, enc AS ({encoded('clean', 'true')}),
+      every AS (SELECT *, {SPLIT} AS data FROM enc),
+      stats AS (SELECT {stats} FROM every WHERE data = 'Train')
+      SELECT rk, data, {z} FROM every, stats"""
+
+
 def correlations() -> str:
     names = [*NUMERIC, "label"]
     return f"WITH {TV} " + " UNION ALL ".join(
@@ -269,7 +281,7 @@ def roles() -> str:
 def oracle_sql() -> dict[str, str]:
     a, b = scores("a", SCORER_A), scores("b", SCORER_B)
     raw_means = encode_query(
-        f"{SPLIT_TV}, trained AS (SELECT * FROM sv WHERE data = 'Train')", "trained", "sv", "t.data = 'Test'"
+        f"{SPLIT_TV}, trained AS (SELECT * FROM sv WHERE data = 'Train')", "trained", "sv", "true"
     )
     cats, nums = ", ".join(CATEGORICAL), ", ".join(NUMERIC)
     missing = [(c, "isnan" if c in NUMERIC else None) for c in ["rk", "label", *NUMERIC, *CATEGORICAL]]
@@ -284,7 +296,7 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         "load_tsv": f"""WITH {TV} SELECT CAST(label AS BIGINT) AS label,
-            {", ".join(f"CAST(floor({c}) AS DOUBLE) + 0e0 AS {c}" for c in NUMERIC)}, {cats} FROM tv""",
+            {", ".join(f"round({c} * 100) + 0e0 AS {c}" for c in NUMERIC)}, {cats} FROM tv""",
         "sql_view": f"""WITH {TV} SELECT b02, label, count(*) AS n, {R.format('avg(c02)')} AS mean_c02
             FROM tv GROUP BY b02, label""",
         "parquet_roundtrip": f"""WITH {TV} SELECT b01, label, count(*) AS n, sum(c01) AS sum_c01, min(c02) AS min_c02,
@@ -345,12 +357,27 @@ def oracle_sql() -> dict[str, str]:
             FROM tv) SELECT rk, {", ".join(f"{R.format(f'({c} - m_{c}) / s_{c}')} AS {c}" for c in NUMERIC)} FROM tv, s""",
         "features_onehot": features_onehot(),
         "features_mean": features_mean(),
+        "score_new_rows": score_new_rows(),
         "target_means": f"""WITH {TV} SELECT feature, value, count(*) AS n, CAST(sum(label) AS BIGINT) AS n_positive,
             {R.format('avg(label)')} AS mean FROM ({long_rows('tv')}) GROUP BY feature, value""",
         "target_mean_encode": encode_query(CLEAN_TRAIN, "trained", "clean", "t.data = 'Train'"),
         "target_mean_encode_test": encode_query(CLEAN_TRAIN, "trained", "clean", "t.data = 'Test'"),
         "target_mean_encode_raw": raw_means,
         "target_mean_encode_shuffled": raw_means,
+        "chi_square_select": f"""WITH {TV}, {CLEAN_ALL}, c AS (SELECT feature, value, count(*) * 1e0 AS n,
+              sum(label) * 1e0 AS pos FROM ({long_rows('clean')}) GROUP BY feature, value),
+            t AS (SELECT feature, sum(n) AS rows, sum(pos) AS p FROM c GROUP BY feature),
+            s AS (SELECT c.feature, sum(pow(pos - n * p / rows, 2) / (n * p / rows) +
+              pow(n - pos - n * (rows - p) / rows, 2) / (n * (rows - p) / rows)) / greatest(count(*) - 1, 1) AS strength
+              FROM c JOIN t ON c.feature = t.feature GROUP BY c.feature)
+            SELECT feature, CAST(row_number() OVER (ORDER BY strength DESC, feature) AS INTEGER) AS rank
+            FROM s ORDER BY strength DESC, feature LIMIT 4""",
+        "target_mean_encode_loo": f"""WITH {TV}, {SPLIT_TV}, trained AS (SELECT * FROM sv WHERE data = 'Train'),
+            g AS (SELECT avg(label) AS mean FROM trained)
+            SELECT rk, label, {", ".join(R.format(
+              f"CASE WHEN n_{c} > 1 THEN (p_{c} - label) * 1e0 / (n_{c} - 1) ELSE mean END") + f" AS {c}_bm" for c in CATEGORICAL)}
+            FROM (SELECT *, {", ".join(f"count(*) OVER (PARTITION BY {c}) AS n_{c}, sum(label) OVER (PARTITION BY {c}) AS p_{c}"
+              for c in CATEGORICAL)} FROM trained), g""",
         "chi_square_table": f"""WITH {TV}, {CLEAN_ALL}, c AS (SELECT feature, value, count(*) * 1e0 AS n,
               sum(label) * 1e0 AS pos FROM ({long_rows('clean')}) GROUP BY feature, value),
             t AS (SELECT feature, sum(n) AS rows, sum(pos) AS p FROM c GROUP BY feature)
@@ -374,15 +401,15 @@ def oracle_sql() -> dict[str, str]:
         "roc_curve": f"""WITH {TV}, {a}, {CURVE} SELECT {R.format('fp * 1e0 / n')} AS "FPR",
             {R.format('tp * 1e0 / p')} AS "TPR" FROM curve UNION ALL SELECT 0e0, 0e0 UNION ALL SELECT 1e0, 1e0""",
         "f_by_threshold": f"""WITH {TV}, {a}, {CURVE} SELECT threshold, {R.format(CURVE_F)} AS "F-Measure" FROM curve""",
-        "best_threshold": f"WITH {TV}, {a}, {CURVE} SELECT threshold, {R.format('f')} AS f_measure FROM ({BEST})",
-        "threshold_effect": f"""WITH {TV}, {a}, {CURVE}, ts AS (SELECT 0.5e0 AS threshold UNION ALL
+        "best_threshold": f"WITH {TV}, {a}, {CURVE_TRAIN} SELECT threshold, {R.format('f')} AS f_measure FROM ({BEST})",
+        "threshold_effect": f"""WITH {TV}, {a}, {CURVE_TRAIN}, ts AS (SELECT 0.5e0 AS threshold UNION ALL
               SELECT threshold FROM ({BEST})),
-            cut AS (SELECT threshold, label, CASE WHEN probability >= threshold THEN 1 ELSE 0 END AS prediction FROM a, ts)
-            SELECT threshold, {METRICS} FROM (SELECT threshold, {CELLS} FROM cut GROUP BY threshold)""",
+            cut AS (SELECT data, threshold, label, CASE WHEN probability >= threshold THEN 1 ELSE 0 END AS prediction FROM a, ts)
+            SELECT data, threshold, {METRICS} FROM (SELECT data, threshold, {CELLS} FROM cut GROUP BY data, threshold)""",
         "evaluation_report": f"WITH {TV}, {a} {report('A', 'a')}",
         "model_comparison": f"WITH {TV}, {a}, {b} {report('A', 'a')} UNION ALL {report('B', 'b')}",
         "prediction_agreement": f"""WITH {TV}, {a}, {b} SELECT count(*) AS n,
-            {R.format('corr(a.probability, b.probability)')} AS corr,
+            CAST(count(*) - count(DISTINCT a.rk) AS BIGINT) AS n_repeated, {R.format('corr(a.probability, b.probability)')} AS corr,
             {R.format('max(abs(a.probability - b.probability))')} AS max_abs_diff,
             count(*) FILTER (a.prediction = b.prediction) AS n_same_class FROM a JOIN b ON a.rk = b.rk""",
     }

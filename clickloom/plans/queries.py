@@ -100,7 +100,8 @@ def means(spark: SparkSession, sf_dir: str, fold: bool = True) -> flows.Prepared
 
 @query
 def load_tsv(spark, sf_dir):
-    whole = training_view(spark, sf_dir).drop(KEY).withColumns({c: F.floor(c).cast("double") for c in NUMERIC})
+    # Whole numbers that are not all zero: hundredths where the column has decimals.
+    whole = training_view(spark, sf_dir).drop(KEY).withColumns({c: F.round(F.col(c) * 100) for c in NUMERIC})
     path = tables.stage_path(spark, "click-log")
     click_log.write_click_log(whole, path)
     return click_log.read_click_log(spark, path, numeric=len(NUMERIC), categorical=len(CATEGORICAL))
@@ -143,7 +144,7 @@ def column_roles(spark, sf_dir):
 
 @query
 def sample_fraction(spark, sf_dir):
-    return sampling.sample_fraction(training_view(spark, sf_dir))
+    return sampling.sample_fraction(training_view(spark, sf_dir), SAMPLE_SHARE)
 
 
 @query
@@ -375,7 +376,8 @@ def target_means(spark, sf_dir):
 def _encoded(spark, sf_dir, part, fold=True, **options):
     rows, _, encoder = flows.encode_means(stored_view(spark, sf_dir), KEY, fold=fold, **options)
     columns = [c + encoding.MEAN_SUFFIX for c in encoder.columns]
-    return rounded(rows.where(F.col(flows.PART) == part).select(KEY, "label", *columns), *columns)
+    rows = rows if part is None else rows.where(F.col(flows.PART) == part)
+    return rounded(rows.select(KEY, "label", *columns), *columns)
 
 
 @query
@@ -390,13 +392,22 @@ def target_mean_encode_test(spark, sf_dir):
 
 @query
 def target_mean_encode_raw(spark, sf_dir):
-    return _encoded(spark, sf_dir, "Test", fold=False)
+    return _encoded(spark, sf_dir, None, fold=False)
 
 
 @query
 def target_mean_encode_shuffled(spark, sf_dir):
     """The raw encoding with a low broadcast limit, so that long category tables go through the skew-safe shuffle."""
-    return _encoded(spark, sf_dir, "Test", fold=False, broadcast_rows=SMALL_BROADCAST)
+    return _encoded(spark, sf_dir, None, fold=False, broadcast_rows=SMALL_BROADCAST)
+
+
+@query
+def target_mean_encode_loo(spark, sf_dir):
+    """Training rows with the mean of the other rows of their category; the mean of all rows where there is no other."""
+    rows = sampling.assign_split(stored_view(spark, sf_dir), KEY, column=flows.PART).where(F.col(flows.PART) == "Train")
+    encoder = encoding.fit_target_means(rows, CATEGORICAL, fill=encoding.GLOBAL_MEAN)
+    columns = [c + encoding.MEAN_SUFFIX for c in CATEGORICAL]
+    return rounded(encoder.apply_leave_one_out(rows).select(KEY, "label", *columns), *columns)
 
 
 @query
@@ -407,8 +418,7 @@ def chi_square_table(spark, sf_dir):
 
 @query
 def chi_square_select(spark, sf_dir):
-    chosen = encoding.select_by_chi_square(folded(spark, sf_dir), CATEGORICAL, top=4)
-    return spark.createDataFrame([(c,) for c in chosen], "feature string")
+    return encoding.select_by_chi_square(encoding.chi_square_table(folded_counts(spark, sf_dir)), top=4)
 
 
 @query
@@ -496,14 +506,15 @@ def f_by_threshold(spark, sf_dir):
 
 @query
 def best_threshold(spark, sf_dir):
-    return rounded(evaluate.best_threshold(evaluate.f_by_threshold(scored(spark, sf_dir))), "f_measure")
+    train = scored(spark, sf_dir).where("data = 'Train'")
+    return rounded(evaluate.best_threshold(evaluate.f_by_threshold(train)), "f_measure")
 
 
 @query
 def threshold_effect(spark, sf_dir):
     rows = scored(spark, sf_dir)
-    best = evaluate.best_threshold(evaluate.f_by_threshold(rows)).first()["threshold"]
-    table = evaluate.threshold_effect(rows, [DEFAULT_THRESHOLD, best])
+    best = evaluate.best_threshold(evaluate.f_by_threshold(rows.where("data = 'Train'"))).first()["threshold"]
+    table = evaluate.threshold_effect(rows, [DEFAULT_THRESHOLD, best], ["data"])
     return rounded(table, "accuracy", "precision", "recall", "f1")
 
 
@@ -561,17 +572,24 @@ def train_linear_svc(spark, sf_dir):
 
 @query
 def train_comparison(spark, sf_dir):
-    """The four one-hot and target-mean variants side by side, folded and raw."""
+    """One-hot, and the four variants of logistic model and boosted trees on target means, folded and raw."""
     folded_means, raw_means = means(spark, sf_dir), means(spark, sf_dir, fold=False)
     runs = [
         ("logistic", onehot(spark, sf_dir), "LR"),
         ("logistic", folded_means, "LR+BM"),
         ("logistic", raw_means, "LR+BM Raw"),
-        ("decision_tree", folded_means, "DT+BM"),
+        ("gbt", folded_means, "GBT+BM"),
+        ("gbt", raw_means, "GBT+BM Raw"),
     ]
     return evaluate.model_comparison([flows.train_and_report(k, p, n)[1] for k, p, n in runs])
 
 
+@query
+def train_gbt_onehot(spark, sf_dir):
+    """The published run with the best result: one-hot and numeric features, 50 boosting steps."""
+    return flows.train_and_report("gbt", onehot(spark, sf_dir), "GBT", **models.FULL_GBT)[1]
+
+
 @query
 def train_sliced(spark, sf_dir):
     """Tree and logistic model on the vector slots that a first tree uses."""
@@ -595,6 +613,17 @@ def score_batch(spark, sf_dir):
     return rows.select(KEY, "label", round6(vector_to_array("probability")[1]).alias("probability"), "prediction")
 
 
+@query
+def score_new_rows(spark, sf_dir):
+    """A preparation fitted on the training part, stored, loaded and applied to all rows: every standardised feature."""
+    path = tables.stage_path(spark, "preparation")
+    means(spark, sf_dir).save(path)
+    loaded = flows.Prepared.load(spark, path)
+    rows = sampling.assign_split(training_view(spark, sf_dir), KEY, column=flows.PART)
+    ready = loaded.apply(rows, [KEY, flows.PART]).withColumn("z", vector_to_array(encoding.SELECTED))
+    return ready.select(KEY, flows.PART, *[round6(F.col("z")[i]).alias(f"z_{n}") for i, n in enumerate(loaded.features.names)])
+
+
 @query
 def feature_importance(spark, sf_dir):
     prepared = onehot(spark, sf_dir)

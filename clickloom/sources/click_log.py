@@ -24,10 +24,15 @@ def parse_click_log(
 ) -> DataFrame:
     """Typed rows from a ``value`` text column. A blank numeric is 0.0, a blank category stays ''.
 
-    Strict mode raises on a missing or malformed label or number. Lenient mode gives NULL there, which
-    :func:`count_rejects` reports.
+    Strict mode raises on a line with another number of fields, and on a missing or malformed label or number. Lenient mode
+    gives NULL there, in all fields of a line of the wrong length, which :func:`count_rejects` reports.
     """
-    fields = lines.select(F.split("value", "\t").alias("p"))
+    expected = 1 + numeric + categorical
+    p = F.split("value", "\t", -1)
+    whole = F.size(p) == expected
+    message = F.concat(F.lit(f"{expected} fields expected, line has "), F.size(p).cast("string"))
+    other = F.raise_error(message).cast("array<string>") if strict else F.lit(None).cast("array<string>")
+    fields = lines.select(F.when(whole, p).otherwise(other).alias("p"))
     columns = [_integer(F.get("p", F.lit(0)), LABEL, strict).alias(LABEL)]
     for i, name in enumerate(numeric_names(numeric), start=1):
         text = F.get("p", F.lit(i))
@@ -51,13 +56,22 @@ def count_rejects(parsed: DataFrame) -> DataFrame:
 
 
 def write_click_log(df: DataFrame, path: str) -> None:
-    """The inverse of the reader, for whole-number numerics: zero is written as blank."""
-    fields = [F.col(LABEL).cast("string")]
+    """The inverse of the reader, for whole-number numerics: zero and NULL numbers, and NULL categories, are written as blank.
+
+    Raises on what the format cannot hold: a fraction, a missing label, and a tab or line break inside a category.
+    """
+    fields = []
     for f in df.schema:
+        c = F.col(f"`{f.name}`")
         if f.name == LABEL:
-            continue
-        if f.dataType.simpleString() == "double":
-            fields.append(F.when(F.col(f.name) == 0, "").otherwise(F.col(f.name).cast("bigint").cast("string")))
+            text = F.coalesce(c.cast("string"), F.raise_error(F.lit("missing label")).cast("string"))
+        elif f.dataType.simpleString() in ("double", "float"):
+            whole = F.when(c == F.floor(c), c.cast("bigint").cast("string"))
+            fraction = F.raise_error(F.concat(F.lit(f"not a whole number in {f.name}: "), c.cast("string"))).cast("string")
+            text = F.when(c.isNull() | (c == 0), "").otherwise(F.coalesce(whole, fraction))
         else:
-            fields.append(F.col(f.name))
+            text = F.coalesce(c.cast("string"), F.lit(""))
+            broken = F.raise_error(F.lit(f"tab or line break in {f.name}")).cast("string")
+            text = F.when(text.rlike("[\\t\\r\\n]"), broken).otherwise(text)
+        fields.insert(0, text) if f.name == LABEL else fields.append(text)
     df.select(F.concat_ws("\t", *fields).alias("value")).write.text(path)

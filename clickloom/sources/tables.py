@@ -16,15 +16,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle a scan that would keep most cores idle, as a file with one large row group does.
+def deal_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals a scan by key over as many tasks as the session's ``clickloom.scan.partitions`` says; unset, it stays as it is.
 
-    A scan with at least half as many tasks as there are cores, so any large table, is left as it is.
+    For files of one large row group, which Spark reads in one task. It is for the caller to say so, and no key-hashed
+    sample or split depends on it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores, *keys)
+    partitions = df.sparkSession.conf.get("clickloom.scan.partitions", None)
+    return df.repartition(int(partitions), *keys) if partitions else df
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

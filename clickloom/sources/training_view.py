@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import hash_bucket
-from clickloom.sources.tables import read_table, spread
+from clickloom.sources.tables import deal_rows, read_table
 
 KEY = "rk"
 NUMERIC = ["c01", "c02", "c03", "c04", "c05"]
@@ -28,18 +28,19 @@ LINE_COLUMNS = [
 
 
 def training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = spread(read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), "l_orderkey", "l_linenumber")
+    line = deal_rows(read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), "l_orderkey", "l_linenumber")
     orders = read_table(spark, sf_dir, "orders")
     part = read_table(spark, sf_dir, "part")
     supplier = read_table(spark, sf_dir, "supplier")
     customer = read_table(spark, sf_dir, "customer")
 
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")  # order, line, part and supplier alone are not unique
     joined = (
         line.join(orders, line.l_orderkey == orders.o_orderkey)
         .join(part, line.l_partkey == part.p_partkey)
         .join(supplier, line.l_suppkey == supplier.s_suppkey)
         .join(customer, orders.o_custkey == customer.c_custkey)
-        .withColumn(KEY, F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+        .withColumn(KEY, F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents.cast("string")))
     )
     clicked = hash_bucket(KEY, 100, salt="y|") < F.lit(10) + F.lit(0.6) * F.col("l_quantity")
     return joined.select(

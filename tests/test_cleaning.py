@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import cleaning, profile, sampling
@@ -83,15 +84,18 @@ def test_hash_samples_do_not_depend_on_partitioning(spark):
     df = spark.range(5000).selectExpr("cast(id as string) rk", "cast(id % 3 = 0 as int) label")
     for pick in (
         lambda d: sampling.sample_hash(d, "rk", 0.2),
-        lambda d: sampling.split_hash(d, "rk")[0],
+        lambda d: sampling.assign_split(d, "rk"),
         lambda d: sampling.sample_n(d, "rk", 50),
     ):
         one, many = pick(df.repartition(1)), pick(df.repartition(7))
         assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
-    train, test = sampling.split_hash(df, "rk")
-    assert train.count() + test.count() == 5000
-    parts = sampling.count_parts(sampling.assign_split(df, "rk"), "data").collect()
-    assert {r["data"]: r["n_rows"] for r in parts} == {"Train": train.count(), "Test": test.count()}
+
+
+@pytest.mark.parametrize("share", [0.05, 0.25, 0.7, 0.75, 0.95])
+def test_split_takes_any_share(spark, share):
+    df = spark.range(20000).selectExpr("cast(id as string) rk", "0 label")
+    parts = {r["data"]: r["n_rows"] for r in sampling.count_parts(sampling.assign_split(df, "rk", share), "data").collect()}
+    assert sum(parts.values()) == 20000 and abs(parts["Train"] / 20000 - share) < 0.012
 
 
 def test_seeded_random_split_covers_every_row(spark):

@@ -66,10 +66,43 @@ def test_hot_and_null_keys_are_spread_over_tasks(spark):
 
 def test_broadcast_encoding_does_not_shuffle_rows(spark):
     df = skewed(spark)
-    plan = encoding.fit_target_means(df, ["b01", "b02"]).apply(df)._jdf.queryExecution().sparkPlan().toString()
+    encoder = encoding.fit_target_means(df, ["b01", "b02"])
+    small = encoding.fit_target_means(df, ["b02"])
+    assert "Join" not in small.apply(df)._jdf.queryExecution().sparkPlan().toString()  # a small table is a literal
+    encoder.sizes = {c: 1000 for c in encoder.sizes}
+    plan = encoder.apply(df)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
 
 
+def test_large_tables_go_through_a_shuffle_even_if_they_would_fit(spark):
+    df = skewed(spark)
+    encoder = encoding.fit_target_means(df, ["b01", "b02"])
+    wide = sorted(map(tuple, encoder.apply(df).collect()), key=str)
+    shuffled = encoder.apply(df, broadcast_rows=10)
+    assert "SortMergeJoin" in shuffled._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(tuple, shuffled.collect()), key=str) == wide
+
+
+def test_leave_one_out_and_global_mean(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 0), ("a", 0), ("b", 1)], "b01 string, label int")
+    encoder = encoding.fit_target_means(df, ["b01"], fill="global_mean")
+    assert encoder.fill == 0.5
+    got = sorted((r["label"], r["b01_bm"]) for r in encoder.apply_leave_one_out(df).collect())
+    assert got == [(0, 0.5), (0, 0.5), (1, 0.0), (1, 0.5)]
+    unseen = spark.createDataFrame([("z", 0), (None, 1)], "b01 string, label int")
+    assert [r["b01_bm"] for r in encoder.apply(unseen).collect()] == [0.5, 0.5]
+
+
+def test_means_of_seen_categories_equal_sparks_target_encoder(spark):
+    from pyspark.ml.feature import TargetEncoder
+
+    df = spark.range(300).selectExpr("cast(id % 7 as double) c", "cast(id % 7 as string) b01", "cast(id % 3 = 0 as double) y", "cast(id % 3 = 0 as int) label")
+    ours = {r["b01"]: r["mean"] for r in encoding.fit_target_means(df, ["b01"]).means.withColumnRenamed("value", "b01").collect()}
+    model = TargetEncoder(inputCols=["c"], outputCols=["e"], labelCol="y", targetType="binary").fit(df)
+    theirs = {r["b01"]: r["e"] for r in model.transform(df).select("b01", "e").distinct().collect()}
+    assert theirs == pytest.approx(ours)
+
+
 def test_string_index_order_and_tie_break(spark):
     df = spark.createDataFrame([("a",), ("a",), ("c",), ("b",)], "b01 string")
     model = encoding.string_indexer(["b01"]).fit(df)
@@ -127,7 +160,13 @@ def test_chi_square_selection_finds_the_dependent_column(spark):
     df = spark.range(400).selectExpr(
         "cast(id % 2 as int) label", "cast(id % 2 as string) b01", "cast(floor(id / 2) % 2 as string) b02"
     )
-    assert encoding.select_by_chi_square(df, ["b02", "b01"], top=1) == ["b01"]
+    table = encoding.chi_square_table(encoding.target_means(df, ["b02", "b01"]))
+    assert [tuple(r) for r in encoding.select_by_chi_square(table, top=1).collect()] == [("b01", 1)]
+
+
+def test_chi_square_selection_does_not_fall_to_the_column_order(spark):
+    table = spark.createDataFrame([("b01", 127591.0, 1), ("b02", 200000.0, 1), ("b03", 210000.0, 30)], "feature string, statistic double, dof long")
+    assert [r["feature"] for r in encoding.select_by_chi_square(table, top=2).collect()] == ["b02", "b01"]
 
 
 def test_slot_sums_count_categories(spark):

@@ -94,21 +94,46 @@ def test_f1_without_true_positives_is_zero(spark):
     assert evaluate.f1_metrics(evaluate.confusion_matrix(nothing)).first()["f1"] == 0.0
 
 
-def test_best_threshold_takes_the_lowest_on_ties(spark):
+def test_best_threshold_takes_the_highest_on_ties(spark):
     curve = spark.createDataFrame([(0.2, 0.5), (0.4, 0.7), (0.3, 0.7)], ["threshold", "F-Measure"])
-    assert tuple(evaluate.best_threshold(curve).first()) == (0.3, 0.7)
+    assert tuple(evaluate.best_threshold(curve).first()) == (0.4, 0.7)
 
 
-def test_curve_at_a_threshold_equals_the_metrics_there(spark):
-    df = scores(spark)
+@pytest.mark.parametrize("scale", [1.0, 1 / 500])
+def test_curve_at_a_threshold_equals_the_metrics_there(spark, scale):
+    df = scores(spark, digits=16).withColumn("probability", F.col("probability") * scale)
     curve = {r["threshold"]: r["F-Measure"] for r in evaluate.f_by_threshold(df).collect()}
-    for t in (0.25, 0.5, 0.75):
+    assert len(curve) == df.select("probability").distinct().count()
+    best = tuple(evaluate.best_threshold(evaluate.f_by_threshold(df)).first())
+    assert best == max(curve.items(), key=lambda x: (x[1], x[0]))
+    for t in sorted(curve)[::50] + [best[0]]:
         cut = evaluate.apply_threshold(df, t)
         direct = evaluate.f1_metrics(evaluate.confusion_matrix(cut)).first()["f1"]
         effect = evaluate.threshold_effect(df, [t]).first()["f1"]
         assert curve[t] == pytest.approx(direct) and effect == pytest.approx(direct)
 
 
+def test_curve_bins_take_exact_points_of_the_curve(spark):
+    df = scores(spark, digits=16)
+    whole = {tuple(r) for r in evaluate.f_by_threshold(df).collect()}
+    few = {tuple(r) for r in evaluate.f_by_threshold(df, bins=20).collect()}
+    assert few < whole and len(few) == 20 and evaluate.roc_curve(df, bins=20).count() == 22
+
+
+def test_missing_scores_are_left_out_of_curves_and_area(spark):
+    rows = [(0.9, 1, 1.0), (0.1, 0, 0.0), (None, 1, 0.0), (float("nan"), 0, 0.0)]
+    df = spark.createDataFrame(rows, "probability double, label int, prediction double")
+    assert evaluate.auc_roc(df).first()["auc"] == 1.0
+    assert {r["threshold"] for r in evaluate.f_by_threshold(df).collect()} == {0.1, 0.9}
+
+
+def test_agreement_reports_repeated_keys(spark):
+    a = spark.createDataFrame([("x", 0.2, 0.0), ("x", 0.2, 0.0), ("y", 0.9, 1.0)], "rk string, probability double, prediction double")
+    b = a.dropDuplicates(["rk"])
+    got = evaluate.prediction_agreement(a, b, "rk").first()
+    assert (got["n"], got["n_repeated"], got["n_same_class"]) == (2, 1, 2)
+
+
 def test_report_equals_single_metrics(spark):
     df = scores(spark)
     report = {r["Data"]: r for r in evaluate.evaluation_report(df, "m").collect()}

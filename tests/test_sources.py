@@ -41,6 +41,29 @@ def test_strict_mode_raises_on_bad_numbers(spark, row):
         click_log.parse_click_log(lines(spark, row), numeric=1, categorical=1).collect()
 
 
+@pytest.mark.parametrize("row", [["1", "5", "a"], ["1", "5", "a", "b", "c"], ["1"]])
+def test_lines_of_another_length_are_refused(spark, row):
+    with pytest.raises(Exception, match="fields expected"):
+        click_log.parse_click_log(lines(spark, row), numeric=1, categorical=2).collect()
+    lenient = click_log.parse_click_log(lines(spark, row), numeric=1, categorical=2, strict=False)
+    assert click_log.count_rejects(lenient).first()["n_rejected"] == 1
+
+
+def test_writer_keeps_missing_values_in_their_place(spark):
+    path = tempfile.mkdtemp(prefix="clickloom-test-") + "/log"
+    df = spark.createDataFrame([(1, None, "x", "y"), (0, 3.0, None, "z")], "label int, c01 double, b01 string, b02 string")
+    click_log.write_click_log(df, path)
+    back = click_log.read_click_log(spark, path, numeric=1, categorical=2)
+    assert sorted(map(tuple, back.collect())) == [(0, 3.0, "", "z"), (1, 0.0, "x", "y")]
+
+
+@pytest.mark.parametrize("row, said", [((1, 3.7, "x"), "not a whole number"), ((1, 3.0, "x\ty"), "tab or line break"), ((1, 3.0, "x\ny"), "tab or line break")])
+def test_writer_refuses_what_the_format_cannot_hold(spark, row, said):
+    path = tempfile.mkdtemp(prefix="clickloom-test-") + "/log"
+    with pytest.raises(Exception, match=said):
+        click_log.write_click_log(spark.createDataFrame([row], "label int, c01 double, b01 string"), path)
+
+
 def test_lenient_mode_counts_rejects(spark):
     parsed = click_log.parse_click_log(
         lines(spark, ["1", "x", "a"], ["1", "2", "a"], ["0", "3"]), numeric=1, categorical=1, strict=False
