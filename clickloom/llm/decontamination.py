@@ -70,29 +70,31 @@ class Templates:
 
     MOST_CACHED = 500_000
 
-    def __init__(self, vocabulary: Bitmap | None, size: int) -> None:
+    def __init__(self, vocabulary: Bitmap, size: int) -> None:
         self.vocabulary, self.size, self.cache = vocabulary, size, {}
+        self.numbers, self.units = frozenset(NUMBER_WORDS), frozenset(UNITS)
         self.factors = np.array([pow(0x9E3779B97F4A7C15, size - k, 1 << 64) for k in range(size)], dtype=np.uint64)
 
-    def token(self, word: str) -> int:
-        """A placeholder's number, the hash of the word, or 0 for a word that the benchmark does not have."""
-        low = word.lower()
-        if word[0].isdigit() or low in NUMBER_WORDS:
-            return NUMBER
-        if low in UNITS:
-            return UNIT
-        h = _word_hash(low)
-        if self.vocabulary.has(np.array([h], dtype=np.uint64))[0]:
-            return h
-        return NAME if word[0].isupper() else 0
+    def learn(self, words: list[str]) -> None:
+        """Token of each new word: a placeholder's number, the hash of the word, or 0 for a word that the benchmark does not have."""
+        lows = [w.lower() for w in words]
+        hashes = [_word_hash(x) for x in lows]
+        known = self.vocabulary.has(np.array(hashes, dtype=np.uint64)).tolist()
+        for word, low, h, has in zip(words, lows, hashes, known):
+            if word[0].isdigit() or low in self.numbers:
+                self.cache[word] = NUMBER
+            elif low in self.units:
+                self.cache[word] = UNIT
+            else:
+                self.cache[word] = h if has else NAME if word[0].isupper() else 0
 
     def tokens(self, text: str) -> tuple[list[str], np.ndarray]:
         words, cache = TOKEN.findall(text), self.cache
         if len(cache) > self.MOST_CACHED:
             cache.clear()
-        for w in set(words):
-            if w not in cache:
-                cache[w] = self.token(w)
+        new = [w for w in set(words) if w not in cache]
+        if new:
+            self.learn(new)
         return words, np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
     def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,15 +102,14 @@ class Templates:
         n = len(ids) - self.size + 1
         if n < 1:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
-        known, plain, h = np.ones(n, bool), np.zeros(n, bool), np.zeros(n, np.uint64)
+        unknown, plain = np.r_[0, np.cumsum(ids == 0)], np.r_[0, np.cumsum(ids > NAME)]
+        at = np.flatnonzero((unknown[self.size :] == unknown[:n]) & (plain[self.size :] > plain[:n]))
+        h = np.zeros(len(at), np.uint64)
         for k in range(self.size):
-            part = ids[k : k + n]
-            known &= part != 0
-            plain |= part > NAME
+            part = ids[at + k]
             h = (h + (part ^ part >> np.uint64(29)) * self.factors[k]) * np.uint64(0xBF58476D1CE4E5B9)
             h ^= h >> np.uint64(31)
-        at = np.flatnonzero(known & plain)
-        return at, h[at]
+        return at, h
 
     def slots(self, words: list[str], ids: np.ndarray, at: int) -> list[str]:
         return [words[k].lower() for k in range(at, at + self.size) if ids[k] <= NAME]
