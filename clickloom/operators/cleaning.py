@@ -25,6 +25,8 @@ MIN_FRACTION = 0.01
 
 # Longest list of kept categories per column that goes into the plan as literals.
 MAX_LITERALS = 1000
+# Name of the note, on a table of counts, of the smallest fraction of the rows for which it is exact.
+EXACT_FROM = "exact_from"
 # Largest heavy-hitter sketch Spark allows, in items.
 MAX_TRACKED = 1_000_000
 
@@ -73,7 +75,7 @@ def frequent_counts(
     if tracked > MAX_TRACKED:
         return target_means(df, columns, label).drop("mean")
     k = math.ceil(1.5 / min_fraction)
-    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = math.ceil(math.sqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     sketches = df.groupBy((F.spark_partition_id() % groups).alias("_group")).agg(
         *[F.expr(f"approx_top_k_accumulate(`{c}`, {tracked})").alias(c) for c in columns]
     )
@@ -81,7 +83,8 @@ def frequent_counts(
     found = merged.select(*[F.expr(f"approx_top_k_estimate(`{c}`, {k})").alias(c) for c in columns]).first()
     candidates = {c: [r["item"] for r in found[c] or [] if r["item"] is not None] for c in columns}
     marked = {c: F.when(F.col(c).isin(v), F.col(c)).otherwise(token) for c, v in candidates.items()}
-    return target_means(df.select(label, *[e.alias(c) for c, e in marked.items()]), columns, label).drop("mean")
+    counts = target_means(df.select(label, *[e.alias(c) for c, e in marked.items()]), columns, label).drop("mean")
+    return counts.withColumn("n", F.col("n").alias("n", metadata={EXACT_FROM: min_fraction}))
 
 
 def fill_counts(counts: DataFrame, columns: list[str], tokens: Mapping[str, list[str]] = BLANK_TOKENS) -> DataFrame:
@@ -156,6 +159,9 @@ def fit_folding(
     join. By count the lists may be long; a column with more than ``max_literals`` is looked up by a join instead.
     """
     threshold = count_threshold(counts, min_fraction, min_count)
+    exact_from = counts.schema["n"].metadata.get(EXACT_FROM)
+    if exact_from is not None and threshold < count_threshold(counts, exact_from) * (1 - 1e-9):
+        raise ValueError(f"these counts are exact from a fraction of {exact_from} of the rows only; count again for a lower threshold")
     table = kept_categories(counts, threshold).where(F.col("value") != RARE_TOKEN)
     sizes = {r["feature"]: r["rows"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("rows")).collect()}
     large = {c: sizes[c] for c in columns if sizes.get(c, 0) > max_literals}

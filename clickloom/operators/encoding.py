@@ -25,6 +25,8 @@ from clickloom.sources.tables import stage
 
 MEAN_SUFFIX = "_bm"
 GLOBAL_MEAN = "global_mean"
+# Most categories, over all columns, whose list is held on the driver.
+MAX_VOCABULARY = 1_000_000
 FEATURES = "features"
 SELECTED = "selected_features"
 
@@ -123,6 +125,11 @@ def string_indexer(columns: list[str], handle_invalid: str = "error") -> StringI
     )
 
 
+def _check_vocabulary(categories: int) -> None:
+    if categories > MAX_VOCABULARY:
+        raise ValueError(f"{categories} categories are too many for the driver: fold the columns first, or encode them by target means")
+
+
 def index_table(df: DataFrame, columns: list[str], model: StringIndexerModel) -> DataFrame:
     rows = [(c, v, i) for c, values in zip(columns, model.labelsArray) for i, v in enumerate(values)]
     return df.sparkSession.createDataFrame(rows, "feature string, value string, slot int")
@@ -133,6 +140,7 @@ def category_order(counts: DataFrame, columns: list[str]) -> dict[str, list[str]
 
     For folded counts, of which the folding rule leaves few.
     """
+    _check_vocabulary(counts.count())
     order: dict[str, list[str]] = {c: [] for c in columns}
     for row in counts.orderBy("feature", F.desc("n"), "value").collect():
         order[row["feature"]].append(row["value"])
@@ -166,6 +174,8 @@ def one_hot_from_order(
 
 
 def fit_one_hot(df: DataFrame, columns: list[str], drop_last: bool = False) -> tuple[PipelineModel, list[str]]:
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    _check_vocabulary(sum(sizes))
     order = dict(zip(columns, string_indexer(columns).fit(df).labelsArray))
     return one_hot_from_order(df, order, drop_last)
 

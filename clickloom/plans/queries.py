@@ -661,6 +661,29 @@ def cross_validate(spark, sf_dir):
     return _tree_search(spark, sf_dir)[3]
 
 
+@query
+def cross_validate_sliced(spark, sf_dir):
+    """The tree grid on the vector slots that a first tree uses."""
+    prepared = onehot(spark, sf_dir)
+    narrow = flows.sliced(prepared, explain.used_slots(models.train("decision_tree", prepared.train)))
+    narrow.rows = sampling.assign_fold(narrow.rows, KEY)
+    return flows.grid_search("decision_tree", narrow, "DT+S+CV", grid="decision_tree_sliced", fold_col="fold")[2]
+
+
+@query
+def cross_validate_gbt(spark, sf_dir):
+    prepared = means(spark, sf_dir)
+    prepared.rows = sampling.assign_fold(prepared.rows, KEY)
+    return flows.grid_search("gbt", prepared, "GBT+CV", fold_col="fold")[2]
+
+
+@query
+def cross_validate_logistic(spark, sf_dir):
+    prepared = means(spark, sf_dir)
+    prepared.rows = sampling.assign_fold(prepared.rows, KEY)
+    return flows.grid_search("logistic", prepared, "LR+CV", fold_col="fold")[2]
+
+
 @query
 def cv_results(spark, sf_dir):
     prepared, found, _, _ = _tree_search(spark, sf_dir)

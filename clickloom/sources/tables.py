@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -71,8 +73,26 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/staged/{name}-{uuid.uuid4().hex}"
 
 
+_staged: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, all that was staged inside it. What is to stay, or to be read later, is written elsewhere before."""
+    _staged.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _staged.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor re-reads a file."""
     path = stage_path(df.sparkSession, name)
+    for paths in _staged[-1:]:
+        paths.append(path)
     write_parquet(df, path, partition_by=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -122,3 +122,12 @@ def test_frequent_counts_fold_like_full_counts(spark):
     want, got = cleaning.fold_counts(full, threshold), cleaning.fold_counts(few, threshold)
     assert sorted(map(tuple, want.collect())) == sorted(map(tuple, got.collect()))
     assert cleaning.fit_folding(full, columns).kept == cleaning.fit_folding(few, columns).kept
+
+
+def test_counts_refuse_a_threshold_below_what_they_are_exact_for(spark):
+    df = spark.range(3000).selectExpr("cast(id % 3 = 0 as int) label", "cast(pow(id, 0.7) as int) as x").selectExpr("label", "cast(x as string) b01")
+    counts = stage(cleaning.frequent_counts(df, ["b01"], min_fraction=0.05), "counts")
+    cleaning.fit_folding(counts, ["b01"], min_fraction=0.05)
+    cleaning.fit_folding(counts, ["b01"], min_count=200)
+    with pytest.raises(ValueError, match="exact from"):
+        cleaning.fit_folding(counts, ["b01"], min_count=3)

@@ -1,4 +1,5 @@
 import tempfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,11 @@ def test_column_roles(spark):
     df = spark.createDataFrame([("k", 1, 0.5, "a"), ("l", 0, None, "b")], "rk string, label int, c01 double, b01 string")
     rows = {r["name"]: (r["role"], r["n_values"]) for r in schema.column_roles(df).collect()}
     assert rows == {"rk": ("key", 2), "label": ("label", 2), "c01": ("numeric", 1), "b01": ("categorical", 2)}
+
+
+def test_staged_tables_of_a_flow_can_be_deleted(spark):
+    with tables.staging(spark):
+        inner = tables.stage(spark.range(5), "inner")
+        files = [f.removeprefix("file://").removeprefix("file:") for f in inner.inputFiles()]
+        assert inner.count() == 5 and all(Path(f).exists() for f in files)
+    assert files and not any(Path(f).exists() for f in files)
