@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 WINDOW = 100
 GRAM = 16
 LEFT = WINDOW - GRAM
-#: Bytes of text in a run. Positions within a run have 24 bits.
+#: Bytes of text in a run.
 RUN_BYTES = 12_000_000
-#: Longer documents are taken in pieces of this many window starts.
-PIECE = 8_000_000
+#: Longer documents are taken in pieces of this many window starts, and anchors are found in about as much text at a time.
+PIECE = 2_000_000
 #: Bytes of text for each part.
 PART_BYTES = 8_000_000
 #: Merged suffixes that are settled together.
@@ -175,7 +175,8 @@ def settle(block: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     right = np.array([len(b[1]) for b in block])
     left = np.array([len(b[2]) for b in block])
     at = np.array([b[5] for b in block], dtype=np.int64)
-    order = np.lexsort((at, np.array([b[4] for b in block]), np.array([b[3] for b in block])))
+    ids, hashes = np.array([b[3] for b in block]), np.array([b[4] for b in block])
+    order = np.lexsort((at, hashes, ids))
     bytes_before = np.frombuffer(b"".join(b[2].rjust(LEFT, b"\0") for b in block), np.uint8).reshape(n, LEFT)
     hashed = np.zeros(n, np.uint64)
     repeat = np.zeros((n, LEFT + 2), bool)
@@ -195,13 +196,14 @@ def settle(block: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         again = np.flatnonzero(~first)
         a, b = rows[again], source[again]
         same = (group[a] == group[b]) & (bytes_before[a, LEFT - o :] == bytes_before[b, LEFT - o :]).all(axis=1)
-        repeat[a[same], o] = True
+        other = (ids[a] != ids[b]) | (hashes[a] != hashes[b]) | (at[a] != at[b])  # a repeated row in two runs meets itself
+        repeat[a[same & other], o] = True
         if not same.all():  # a hash that meets by chance: those few keys are compared by their bytes
-            seen: set[tuple[int, bytes]] = set()
+            seen: dict[tuple[int, bytes], tuple] = {}
             for r in rows[np.isin(key, key[again[~same]])].tolist():
-                exact = (int(group[r]), bytes_before[r, LEFT - o :].tobytes())
-                repeat[r, o] = exact in seen
-                seen.add(exact)
+                place = (ids[r], hashes[r], at[r])
+                source_of = seen.setdefault((int(group[r]), bytes_before[r, LEFT - o :].tobytes()), place)
+                repeat[r, o] = source_of != place
     edge = np.diff(repeat.astype(np.int8), axis=1, prepend=0)
     row, begin = np.nonzero(edge == 1)
     _, end = np.nonzero(edge == -1)
@@ -216,48 +218,64 @@ def _marks(ids: list, hashes: list, begins: list, stops: list) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(begins, pa.int32()), pa.array(stops, pa.int32())], names=["id", "text_hash", "begin", "stop"])
 
 
-def make_runs(pieces: list[tuple[int, int, int, bytes]], n_parts: int) -> Iterator[tuple[int, bytes]]:
-    """Pieces (id, text hash, offset in the document, bytes) as front-coded parts. Part -1 has repeats within the run."""
-    pieces = sorted(pieces)
+def _anchored(pieces: list[tuple[int, int, int, bytes]]) -> list[np.ndarray]:
+    """Of each run of windows with the same anchor: number of the piece, first and last window start and anchor in it, hash of the anchor's 16 bytes."""
     buffer = b"".join(p[3] for p in pieces)
     if len(buffer) < WINDOW:
-        return
-    ids, hashes, offsets = (np.array([p[k] for p in pieces], dtype=np.int64) for k in range(3))
+        return [np.empty(0, np.int64)] * 4 + [np.empty(0, np.uint64)]
     ends = np.cumsum([len(p[3]) for p in pieces])
     begins = np.r_[0, ends[:-1]]
     anchor, h = anchors(buffer)
-    doc = np.repeat(np.arange(len(pieces)), ends - begins)[: len(anchor)]
-    inside = np.flatnonzero(np.arange(len(anchor)) + WINDOW <= ends[doc])
-    if not len(inside):
-        return
-    a, d = anchor[inside], doc[inside]
-    new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])])
-    low, high = inside[new], inside[np.r_[new[1:], len(inside)] - 1]
+    piece = np.repeat(np.arange(len(pieces)), ends - begins)[: len(anchor)]
+    inside = np.flatnonzero(np.arange(len(anchor)) + WINDOW <= ends[piece])
+    a, d = anchor[inside], piece[inside]
+    new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])][: len(a)])
+    low, high = inside[new], inside[np.r_[new[1:], len(inside)][: len(new)] - 1]
     a, d = a[new], d[new]
-    part = (h[a] % np.uint64(n_parts)).astype(np.int64)
-    parts: list[list[Suffix]] = [[] for _ in range(n_parts)]
-    seen: set[tuple[bytes, bytes]] = set()
-    again: list[int] = []
-    where = (a - begins[d] + offsets[d]).tolist()
-    for k, (p, lo, hi, q, i, w) in enumerate(zip(part.tolist(), low.tolist(), high.tolist(), a.tolist(), d.tolist(), where)):
-        text = (buffer[q : hi + WINDOW], buffer[lo:q])
-        if text in seen:
-            again.append(k)
-        else:
-            seen.add(text)
-            parts[p].append((*text, i, w))
-    for p, suffixes in enumerate(parts):
-        if suffixes:
-            suffixes.sort()
-            yield p, Run.write(suffixes, ids, hashes)
+    return [d, low - begins[d], high - begins[d], a - begins[d], h[a]]
+
+
+def make_runs(pieces: list[tuple[int, int, int, bytes]], n_parts: int) -> Iterator[tuple[int, bytes]]:
+    """Pieces (id, text hash, offset in the document, bytes) as front-coded parts. Part -1 has repeats within the run.
+
+    Anchors are found in a bounded stretch of text at a time, and suffixes are cut out for one part at a time.
+    """
+    ordered = sorted(pieces)
+    pieces = [p for p, before in zip(ordered, [None, *ordered]) if before is None or p[:3] != before[:3]]  # a repeated row is one document
+    ids, hashes = (np.array([p[k] for p in pieces], dtype=np.int64) for k in range(2))
+    found, first, size = [], 0, 0
+    for k, p in enumerate(pieces):
+        size += len(p[3])
+        if size >= PIECE or k == len(pieces) - 1:
+            d, *rest = _anchored(pieces[first : k + 1])
+            found.append([d + first, *rest])
+            first, size = k + 1, 0
+    d, low, high, at, h = (np.concatenate(x) for x in zip(*found))
+    part = (h % np.uint64(n_parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    bounds = np.searchsorted(part[order], np.arange(n_parts + 1))
+    again: list[tuple[int, int, int]] = []
+    for p in range(n_parts):
+        rows = order[bounds[p] : bounds[p + 1]]
+        suffixes = []
+        for i, lo, hi, q in zip(d[rows].tolist(), low[rows].tolist(), high[rows].tolist(), at[rows].tolist()):
+            text = pieces[i][3]
+            suffixes.append((text[q : hi + WINDOW], text[lo:q], i, q + pieces[i][2]))
+        suffixes.sort()  # of equal ones, the earliest comes first
+        kept: list[Suffix] = []
+        for s in suffixes:
+            if kept and s[0] == kept[-1][0] and s[1] == kept[-1][1]:
+                again.append((s[2], s[3] - len(s[1]), s[3] + len(s[0])))
+            else:
+                kept.append(s)
+        if kept:
+            yield p, Run.write(kept, ids, hashes)
     if again:
-        k = np.array(again)
-        shift = offsets[d[k]] - begins[d[k]]
-        begin, stop, doc_of = low[k] + shift, high[k] + WINDOW + shift, d[k]
-        starts = np.flatnonzero(np.r_[True, (doc_of[1:] != doc_of[:-1]) | (begin[1:] > stop[:-1])])
-        last = np.r_[starts[1:], len(k)] - 1
-        rows = np.stack([ids[doc_of[starts]], hashes[doc_of[starts]], begin[starts], stop[last]]).astype("<i8")
-        yield -1, rows.tobytes()
+        again.sort()
+        of, begin, stop = (np.array(x, dtype=np.int64) for x in zip(*again))
+        starts = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (begin[1:] > stop[:-1])])
+        last = np.r_[starts[1:], len(of)] - 1
+        yield -1, np.stack([ids[of[starts]], hashes[of[starts]], begin[starts], stop[last]]).astype("<i8").tobytes()
 
 
 def repeated(docs: DataFrame, n_parts: int) -> DataFrame:

@@ -56,6 +56,16 @@ def test_repeats_over_many_runs_and_pieces(spark, monkeypatch, run, piece, block
     assert answers(out) == removed(rows)
 
 
+def test_repeated_rows_are_one_document(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "RUN_BYTES", 900)
+    text = "".join(chr(97 + i * i % 26) + str(i) for i in range(200))
+    n = len(text)
+    rows = [(1, text), (1, text), (2, text + text), (None, text[:150]), (None, text[:150])] * 3
+    out = repeats.remove(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).distinct().collect()
+    second = removed([(0, text[:150]), (1, text), (2, text + text)])[2][1]
+    assert {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in out} == {(None, 150, 0), (1, n, 150), (2, 2 * n, second)}
+
+
 def test_merge_gives_sorted_suffixes_with_their_common_prefixes():
     rng = random.Random(2)
     for k in (1, 2, 5, 8):
