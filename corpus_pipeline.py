@@ -6,9 +6,10 @@
 4. secret scan: secrets in the text are replaced, and ``n_chars`` follows where there is such a column;
 5. packing: the remaining documents as pieces in length buckets and batches.
 
-Stages 1 to 4 return the columns of ``documents`` as they came, whatever other columns there are. Rows are told apart by a
-stored row number and not by ``doc_id``, so rows without an id, or with the same id, are judged each by its own text. An empty
-table passes through all stages.
+Stages 1 to 4 return the columns of ``documents`` as they came, whatever other columns there are. Rows are told apart by their
+number in the stored table and not by ``doc_id``, so rows without an id, or with the same id, are judged each by its own text.
+An empty table passes through all stages. Neither the texts nor copies of them are shuffled or stored between the stages'
+results, as long as the list of rows that a stage changes is short enough to be broadcast; a longer one is joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -21,42 +22,56 @@ from clickloom.llm.common import staged
 from clickloom.sources.tables import read_table
 
 
+#: Longest list of row numbers that is sent to every executor.
+BROADCAST_ROWS = 300_000
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """``_uid``, a row number that is stored and so stays the same, and ``row``, the whole row."""
-    return staged(docs.select(F.monotonically_increasing_id().alias("_uid"), F.struct("*").alias("row")), "numbered")
+    """``_uid``, the number of a row, and ``row``, the whole row.
+
+    ``docs`` reads a stored table, as each stage is given: partitions of a file scan, and so the numbers, are the same at every
+    reading, also by a task that runs again.
+    """
+    return docs.select(F.monotonically_increasing_id().alias("_uid"), F.struct("*").alias("row"))
+
+
+def joined(rows: DataFrame, listed: DataFrame, how: str) -> DataFrame:
+    """``rows`` with what is listed for their ``_uid``. The list is stored and counted: a short one is broadcast."""
+    listed = staged(listed, "listed-rows")
+    return rows.join(F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed, "_uid", how)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # The row itself goes along as the id, so that no join has to bring it back.
-    judged = quality_rules.judge(docs.select(F.struct("*").alias("row")), "row", "row.text")
-    return judged.where("kept").select("doc_id.*")
+    rows = numbered(docs)
+    judged = quality_rules.judge(rows, "_uid", "row.text")
+    return joined(rows, judged.where("not kept").select(F.col("doc_id").alias("_uid")), "left_anti").select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
     named = rows.select(F.struct("row.doc_id", "_uid").alias("id"), F.col("row.text").alias("text"))
     groups = simhash.near_duplicates(named, "id", "text", words=4, max_bits=4)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id._uid")
-    return rows.join(stay, "_uid", "left_semi").select("row.*")
+    go = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id._uid")
+    return joined(rows, go, "left_anti").select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
     held = decontamination.matches(rows, read_table(spark, sf_dir, "benchmark"), "_uid", "row.text")
-    return rows.join(held.select(F.col("doc_id").alias("_uid")).distinct(), "_uid", "left_anti").select("row.*")
+    return joined(rows, held.select(F.col("doc_id").alias("_uid")).distinct(), "left_anti").select("row.*")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
     path = "row.source" if "source" in docs.columns else None
     found = secrets.scan(rows, "_uid", "row.text", path).where("n_secrets > 0").select(F.col("doc_id").alias("_uid"), "positions")
-    joined = rows.join(found, "_uid", "left")
+    known = joined(rows, found, "left")
     text = secrets.redacted(F.col("row.text"), F.col("positions"))
     row = F.col("row").withField("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         row = row.withField("n_chars", F.when(F.col("positions").isNotNull(), F.length(text).cast(kind)).otherwise(F.col("row.n_chars")))
-    return joined.select(row.alias("row")).select("row.*")
+    return known.select(row.alias("row")).select("row.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
