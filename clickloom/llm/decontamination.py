@@ -2,8 +2,9 @@
 
 Words become template tokens: numbers, units and names are typed placeholders, other words their lower-cased form. Windows
 of template tokens of the documents are hash-joined with those of the benchmark; then the slots are checked: all places where
-a benchmark item has the same number, unit or name must have one and the same value in the document too, which may be
-another one. So a question is found again with other names and numbers, but only if they are exchanged consistently.
+a benchmark item has the same number, unit or name must have one and the same value in its copy too, which may be another one.
+So a question is found again with other names and numbers, but only if they are exchanged consistently. Each occurrence in a
+document is checked by itself, so variants of a question that stand beside it do not hide it.
 
 A capitalised word counts as a name if its lower-cased form is no word of the benchmark. Whether a word or a window can occur
 in the benchmark is asked of two bitmaps of a fixed size, made from all of it; the join then decides.
@@ -13,11 +14,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import documents_of, staged
@@ -115,35 +118,35 @@ class Templates:
         return [words[k].lower() for k in range(at, at + self.size) if ids[k] <= NAME]
 
 
-WINDOW_SCHEMA = "h bigint, pos int, slots array<string>"
+WINDOW_SCHEMA = "part bigint, h bigint, at array<int>, slots array<string>"
 
 
 def _windows(rows: DataFrame, templates: Templates, wanted: Bitmap | None) -> DataFrame:
-    """``doc_id`` and the windows of each row that ``wanted`` may have. Repeats within a row come once."""
+    """``doc_id``, the hash ``part`` of the text, and the windows of each row that ``wanted`` may have. Repeats within a row come once, with all their positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hs, pos, slots = [], [], [], []
+            ids, parts, hs, places, slots = [], [], [], [], []
             for name, text in zip(batch.column(0), batch.column(1).to_pylist()):
                 words, tokens = templates.tokens(text)
                 at, h = templates.windows(tokens)
                 if wanted is not None:
                     keep = wanted.has(h)
                     at, h = at[keep], h[keep]
-                seen = set()
+                seen: dict[tuple, list[int]] = {}
                 for p, x in zip(at.tolist(), h.view(np.int64).tolist()):
-                    s = templates.slots(words, tokens, p)
-                    if wanted is None or (x, *s) not in seen:
-                        seen.add((x, *s))
-                        ids.append(name)
-                        hs.append(x)
-                        pos.append(p)
-                        slots.append(s)
+                    seen.setdefault((x, *templates.slots(words, tokens, p)), []).append(p)
+                part = _word_hash(text) if seen else 0
+                for (x, *s), where in seen.items():
+                    ids.append(name)
+                    parts.append(part)
+                    hs.append(x)
+                    places.append(where)
+                    slots.append(s)
             kind = batch.schema.field(0).type
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i.as_py() for i in ids], kind), pa.array(hs, pa.int64()), pa.array(pos, pa.int32()), pa.array(slots, pa.list_(pa.string()))],
-                names=["doc_id", "h", "pos", "slots"],
-            )
+            columns = [pa.array([i.as_py() for i in ids], kind), pa.array(parts, pa.uint64()).cast(pa.int64(), safe=False), pa.array(hs, pa.int64())]
+            columns += [pa.array(places, pa.list_(pa.int32())), pa.array(slots, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "h", "at", "slots"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {WINDOW_SCHEMA}")
 
@@ -160,8 +163,10 @@ def matches(
 ) -> DataFrame:
     """``doc_id``, ``item_id``, ``n_windows`` (of the item), ``n_found`` and ``coverage``: pairs with a coverage of at least ``similarity``.
 
-    A window is found if it is in the document and its slots agree with the document's value that is most frequent for the
-    item's value (ties: the smallest). Items shorter than a window cannot match, nor can empty or NULL texts. Rows with
+    Windows are taken together that stand in one text at the same distance from their place in the item, or at nearly the same
+    one (words may be put in or left out: within half of the item's windows), or anywhere in the document. In each such group a
+    window is found if its slots agree with the group's value that is most frequent for the item's value (ties: the smallest);
+    the group with the most windows counts. Items shorter than a window cannot match, nor can empty or NULL texts. Rows with
     the same id count as one document, and so do rows without an id, which appear with a NULL id. Empty tables: no rows.
     """
     items = documents_of(benchmark, item_col, item_text_col)
@@ -174,25 +179,40 @@ def matches(
 
     vocabulary = _bitmap(items.mapInArrow(words, "h bigint"))
     templates = Templates(vocabulary, window)
-    known = staged(_windows(items, templates, None).withColumnRenamed("doc_id", "item_id").withColumnRenamed("slots", "item_slots"), "benchmark-windows")
-    total = known.groupBy("item_id").agg(F.countDistinct("pos").alias("n_windows"))
+    known = _windows(items, templates, None).select(F.col("doc_id").alias("item_id"), "h", F.explode("at").alias("pos"), F.col("slots").alias("item_slots"))
+    known = staged(known, "benchmark-windows")
+    total = known.groupBy(F.col("item_id").alias("_item")).agg(F.count_distinct("pos").alias("n_windows"))
     n_known = known.count()
     wanted = _bitmap(known.select("h"))
-    found = _windows(documents_of(docs, id_col, text_col), templates, wanted).drop("pos")
-    side = F.broadcast(known) if n_known <= BROADCAST_WINDOWS else known
-    pairs = staged(found.join(side, "h").select("doc_id", "item_id", "pos", "slots", "item_slots"), "benchmark-matches")
-    slots = pairs.select("doc_id", "item_id", "pos", F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
-    slots = slots.select("doc_id", "item_id", "pos", F.col("s.item_slots").alias("a"), F.col("s.slots").alias("b"))
-    votes = slots.groupBy("doc_id", "item_id", "a", "b").agg(F.count_distinct("pos").alias("n"))
-    chosen = votes.groupBy("doc_id", "item_id", "a").agg(F.min(F.struct(-F.col("n"), F.col("b"))).alias("best"))
-    chosen = chosen.groupBy("doc_id", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("a", F.col("best.b")))).alias("values"))
-    checked = pairs.join(
-        chosen.withColumnsRenamed({"doc_id": "_doc", "item_id": "_item"}),
-        F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("item_id").eqNullSafe(F.col("_item")),
-        "left",
-    )
+    found = _windows(documents_of(docs, id_col, text_col), templates, wanted)
+    side = known.join(total, F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
+    side = F.broadcast(side) if n_known <= BROADCAST_WINDOWS else side
+    pairs = staged(found.join(side, "h").select("doc_id", "item_id", "part", "at", "pos", "slots", "item_slots", "n_windows"), "benchmark-matches")
+    # Most pairs have too few windows in common, whatever their slots, and are not grouped.
+    coverage = lambda n: F.col(n) / F.col("n_windows")
+    able = pairs.groupBy("doc_id", "item_id", "n_windows").agg(F.count_distinct("pos").alias("n")).where(coverage("n") >= similarity)
+    pairs = pairs.join(able.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item")), _same("doc_id", "item_id"), "left_semi")
+    group = lambda kind, part, k: F.struct(F.lit(kind).alias("kind"), part.cast("bigint").alias("part"), k.cast("bigint").alias("k"))
+    part, step = F.col("part"), F.greatest(F.lit(1), F.floor(F.col("n_windows") / 4))
+    exact = F.transform("at", lambda p: group(1, part, p - F.col("pos")))
+    close = [F.transform("at", lambda p: group(2, part, F.floor((p - F.col("pos")) / step) - back)) for back in (0, 1)]
+    groups = F.array_distinct(F.concat(F.array(group(0, F.lit(0), F.lit(0))), exact, *close))
+    pairs = pairs.select("doc_id", "item_id", "n_windows", "pos", "slots", "item_slots", F.explode(groups).alias("group"))
+    able = pairs.groupBy("doc_id", "item_id", "group", "n_windows").agg(F.count_distinct("pos").alias("n")).where(coverage("n") >= similarity)
+    able = able.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"), F.col("group").alias("_group"))
+    pairs = staged(pairs.join(able, _same("doc_id", "item_id", "group"), "left_semi"), "benchmark-groups")
+    slots = pairs.select("doc_id", "item_id", "group", "pos", F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
+    slots = slots.select("doc_id", "item_id", "group", "pos", F.col("s.item_slots").alias("a"), F.col("s.slots").alias("b"))
+    votes = slots.groupBy("doc_id", "item_id", "group", "a", "b").agg(F.count_distinct("pos").alias("n"))
+    chosen = votes.groupBy("doc_id", "item_id", "group", "a").agg(F.min(F.struct(-F.col("n"), F.col("b"))).alias("best"))
+    chosen = chosen.groupBy("doc_id", "item_id", "group").agg(F.map_from_entries(F.collect_list(F.struct("a", F.col("best.b")))).alias("values"))
+    checked = pairs.join(chosen.withColumnsRenamed({"doc_id": "_doc", "item_id": "_item", "group": "_group"}), _same("doc_id", "item_id", "group"), "left")
     agree = F.forall(F.arrays_zip("item_slots", "slots"), lambda s: F.coalesce(F.col("values")[s["item_slots"]] == s["slots"], F.lit(False)))
-    counts = checked.where((F.size("slots") == 0) | agree).groupBy("doc_id", "item_id").agg(F.count_distinct("pos").alias("n_found"))
-    counts = counts.join(total.withColumnRenamed("item_id", "_item"), F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
-    coverage = F.col("n_found") / F.col("n_windows")
-    return counts.withColumn("coverage", coverage).where(F.col("coverage") >= similarity).select("doc_id", "item_id", "n_windows", "n_found", "coverage")
+    counts = checked.where((F.size("slots") == 0) | agree).groupBy("doc_id", "item_id", "group", "n_windows").agg(F.count_distinct("pos").alias("n_found"))
+    counts = counts.groupBy("doc_id", "item_id", "n_windows").agg(F.max("n_found").alias("n_found")).withColumn("coverage", coverage("n_found"))
+    return counts.where(F.col("coverage") >= similarity).select("doc_id", "item_id", "n_windows", "n_found", "coverage")
+
+
+def _same(*names: str) -> Column:
+    """A join's condition: each of the columns is the one that has the first part of its name behind an underscore, or both are NULL."""
+    return reduce(and_, [F.col(n).eqNullSafe(F.col(f"_{n.removesuffix('_id')}")) for n in names])

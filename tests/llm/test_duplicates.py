@@ -163,3 +163,25 @@ def test_reparameterised_questions(spark, text, held):
     items = spark.createDataFrame([(1, QUESTION)], "item_id bigint, text string")
     docs = spark.createDataFrame([(5, f"Some words before. {text} And more after that.")], "doc_id bigint, text string")
     assert (decontamination.matches(docs, items).count() == 1) == held
+
+
+def variant(name, ducks, eggs, days):
+    return QUESTION.replace("Janet", name).replace("16", ducks).replace("3 eggs", f"{eggs} eggs").replace("7 days", f"{days} days")
+
+
+def test_question_beside_its_variants(spark):
+    items = spark.createDataFrame([(1, QUESTION)], "item_id bigint, text string")
+    others = [variant("Oleg", "21", "5", "9"), variant("Mira", "12", "2", "4"), variant("Abel", "40", "8", "6")]
+    mixed = QUESTION.replace("Janet", "Oleg", 1).replace("3 eggs", "9 eggs", 1).replace("so Janet", "so Mira")
+    rows = [
+        (1, " ".join([QUESTION, *others[:2]])),
+        (2, " ".join([others[0], QUESTION.replace("so Janet", "so every week Janet"), others[1]])),
+        (3, " ".join(others)),
+        (4, f"{mixed} {mixed}"),
+        (5, QUESTION),
+        (5, others[0]),
+        (5, others[1]),
+    ]
+    found = decontamination.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()
+    assert {r["doc_id"] for r in found} == {1, 2, 3, 5}
+    assert all(r["coverage"] == 1.0 for r in found if r["doc_id"] != 2)
