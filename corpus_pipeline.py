@@ -6,8 +6,8 @@
 4. secret scan: secrets in the text are replaced, and ``n_chars`` follows where there is such a column;
 5. packing: the remaining documents as pieces in length buckets and batches.
 
-Stages 1 to 4 return the columns of ``documents`` as they came, whatever other columns there are. Rows are told apart by their
-number in the stored table and not by ``doc_id``, so rows without an id, or with the same id, are judged each by its own text.
+Stages 1 to 4 return the columns of ``documents`` as they came, whatever other columns there are. Rows are told apart by a hash
+of all their columns and not by ``doc_id``, so rows without an id, or with the same id, are judged each by its own text.
 An empty table passes through all stages. Neither the texts nor copies of them are shuffled or stored between the stages'
 results, as long as the list of rows that a stage changes is short enough to be broadcast; a longer one is joined by a shuffle.
 """
@@ -22,17 +22,21 @@ from clickloom.llm.common import staged
 from clickloom.sources.tables import read_table
 
 
-#: Longest list of row numbers that is sent to every executor.
+#: Longest list of rows that is sent to every executor.
 BROADCAST_ROWS = 300_000
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``_uid``, the number of a row, and ``row``, the whole row.
+    """``_uid``, a hash of 128 bits of the row, and ``row``, the whole row.
 
-    ``docs`` reads a stored table, as each stage is given: partitions of a file scan, and so the numbers, are the same at every
-    reading, also by a task that runs again.
+    It comes from the row's content alone, so it is the same however files are split and whatever executors there are. Equal rows
+    have the same one, and the same verdict.
     """
-    return docs.select(F.monotonically_increasing_id().alias("_uid"), F.struct("*").alias("row"))
+    # Maps cannot be hashed; NULLs leave a hash as it is, so where they are is hashed too.
+    columns = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+    content = [*[c.isNull() for c in columns], *columns]
+    uid = F.concat_ws("-", F.hex(F.xxhash64(*content)), F.hex(F.xxhash64(F.lit("second"), *content)))
+    return docs.select(uid.alias("_uid"), F.struct("*").alias("row"))
 
 
 def joined(rows: DataFrame, listed: DataFrame, how: str) -> DataFrame:
@@ -52,7 +56,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     named = rows.select(F.struct("row.doc_id", "_uid").alias("id"), F.col("row.text").alias("text"))
     groups = simhash.near_duplicates(named, "id", "text", words=4, max_bits=4)
     go = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id._uid")
-    return joined(rows, go, "left_anti").select("row.*")
+    left = joined(rows, go, "left_anti")
+    again = staged(rows.groupBy("_uid").count().where("count > 1").select("_uid", F.lit(True).alias("again")), "repeated-rows")
+    if again.isEmpty():
+        return left.select("row.*")
+    left = joined(left, again, "left")
+    return left.where("again is null").unionByName(left.where("again").dropDuplicates(["_uid"])).select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +73,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
     path = "row.source" if "source" in docs.columns else None
-    found = secrets.scan(rows, "_uid", "row.text", path).where("n_secrets > 0").select(F.col("doc_id").alias("_uid"), "positions")
+    found = secrets.scan(rows, "_uid", "row.text", path).where("n_secrets > 0").select(F.col("doc_id").alias("_uid"), "positions").dropDuplicates(["_uid"])
     known = joined(rows, found, "left")
     text = secrets.redacted(F.col("row.text"), F.col("positions"))
     row = F.col("row").withField("text", text)

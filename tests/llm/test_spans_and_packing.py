@@ -139,3 +139,20 @@ def test_stages_take_messy_and_empty_tables(spark, messy, nothing, name):
         assert stage(spark, messy, SF).where("doc_id = 1 or n_chars = 783").count() <= 1
     if name == "secret_scan":
         assert stage(spark, messy, SF).count() == messy.count()
+
+
+def test_rows_are_named_alike_however_files_are_split(spark, tmp_path):
+    text = F.concat_ws(" ", F.lit("word"), F.col("id"), F.lit("password=abcdef012345678901"))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), text.alias("text"), F.create_map(F.lit("k"), "id").alias("more"))
+    docs = docs.unionByName(docs.where("doc_id < 5"))
+    docs.repartition(7).write.parquet(str(tmp_path / "d"))
+    seen = []
+    for size in ("1b", "128m"):
+        spark.conf.set("spark.sql.files.openCostInBytes", size)
+        rows = corpus_pipeline.numbered(spark.read.parquet(str(tmp_path / "d"))).select("_uid", "row.doc_id").collect()
+        seen.append({(r["doc_id"], r["_uid"]) for r in rows})
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0] == seen[1] and len({u for _, u in seen[0]}) == 3000
+    stored = spark.read.parquet(str(tmp_path / "d")).where("doc_id < 5")
+    assert corpus_pipeline.near_duplicate_stage(spark, stored, SF).groupBy("doc_id").count().where("count > 1").isEmpty()
+    assert corpus_pipeline.secret_stage(spark, stored, SF).count() == 10
