@@ -77,6 +77,19 @@ def test_personal_data_equals_brute_force(spark):
         assert [r[f"n_{k}"] for k in pii.KINDS] == [want.count(f"{k}:") for k in pii.KINDS]
 
 
+def test_wide_spans_are_added(spark):
+    rows = []
+    for i in range(400):
+        n = f"{200 + i % 700}-{(i * 37) % 900 + 100}-{(i * 7919) % 10000:04d}"
+        name = "".join("anbecolidu"[int(c)] for c in str(i * 7))
+        rows.append((i, f"Please call +1-{n} today."))
+        rows.append((2000 + i, f"You may write to {name}@{name[::-1]}s.org for more."))
+        rows.append((1000 + i, f"Please call or write: the order {n} of version {i % 9}.{i}.300.{i % 11} costs {4000000000000000 + i * 7919 * 13}."))
+    rows += [(5000, "Please call (212) 555-0123 today."), (5001, "You may write to ann [at] site.org for more."), (5002, "The order 212-555-0123 is late.")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).where("doc_id >= 5000").collect()}
+    assert got == {5000: "phone:12:26", 5001: "email:17:34", 5002: ""}
+
+
 def test_boundaries_have_the_least_padding():
     histogram = {3: 5, 4: 1, 9: 7, 10: 2, 11: 9, 30: 1, 31: 4}
     for k in (1, 2, 3, 4, 7, 9):
