@@ -17,8 +17,10 @@ from clickloom.llm.common import salted_lookup, staged
 
 # Second-level names under which a two-letter country suffix is registered one level deeper.
 SECOND_LEVEL = ("co", "com", "org", "net", "ac", "gov", "edu")
-#: Words in a host that mark a page as a bad outcome where no reviewed label says so.
+#: Parts of a host, between dots and hyphens, that make weak bad outcomes where no page of the host has a reviewed label.
 BAD_HOST_WORDS = ("spam", "casino", "pills", "warez", "porn")
+#: A host without labels counts at most so many of its pages as bad for its name.
+WORD_OUTCOMES = 20
 MOST_RULES = 1000
 
 
@@ -109,15 +111,18 @@ def reputation(hosts: DataFrame, z: float = 1.2816) -> DataFrame:
 def outcomes(pages: DataFrame, labels: DataFrame, page_col: str = "page_id", url_col: str = "url", label_col: str = "doc_id") -> DataFrame:
     """``host`` and ``bad`` (0 or 1) of labelled pages: bad if a reviewed label of the same id says low quality or toxic.
 
-    Pages on a host with one of ``BAD_HOST_WORDS`` are bad too. Labels that are NULL say nothing.
+    A host without such labels, of which a whole part is one of ``BAD_HOST_WORDS``, has a bad outcome for each of its pages, at
+    most ``WORD_OUTCOMES``. Labels that are NULL say nothing.
     """
     marked = labels.where(F.col("quality").isNotNull() | F.col("toxic").isNotNull())
     wrong = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
     marked = marked.groupBy(F.col(label_col).alias("_page")).agg(F.max(wrong.cast("int")).alias("bad"))
     urls = pages.select(F.col(page_col).alias("_page"), host_of(F.col(url_col)).alias("host"))
-    named = F.col("host").rlike("|".join(BAD_HOST_WORDS))
-    by_label = urls.where(~named).join(marked, "_page").select("host", "bad")
-    return by_label.unionByName(urls.where(named).select("host", F.lit(1).alias("bad")))
+    by_label = staged(urls.join(marked, "_page").select("host", "bad"), "url-outcomes")
+    named = urls.where(F.col("host").rlike(rf"(?:^|[.-])(?:{'|'.join(BAD_HOST_WORDS)})(?:[.-]|$)")).groupBy("host").count()
+    named = named.join(by_label.select("host").distinct(), "host", "left_anti")
+    weak = named.select("host", F.explode(F.array_repeat(F.lit(1), F.least("count", F.lit(WORD_OUTCOMES)).cast("int"))).alias("bad"))
+    return by_label.unionByName(weak)
 
 
 def judge(

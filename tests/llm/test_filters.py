@@ -123,3 +123,13 @@ def test_reputation_shrinks_to_the_level_above(spark):
     got = {r["host"]: r for r in url_filter.reputation(spark.createDataFrame(rows, "host string, n bigint, bad bigint")).collect()}
     assert got["a.bad.com"]["low"] > 0.85 and got["new.bad.com"]["rate"] > 0.5 > got["new.good.com"]["rate"]
     assert got["new.good.com"]["rate"] < got["one.good.com"]["rate"] < 1 and all(r["low"] < r["rate"] < r["high"] for r in got.values())
+
+
+def test_labels_go_before_words_in_hosts(spark):
+    hosts = ["antispam.example"] * 50 + ["spam.example"] * 50 + ["spills.example"] * 50 + ["best-pills.test"] * 50
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}") for i, h in enumerate(hosts)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], "doc_id bigint, quality int, toxic int")
+    got = url_filter.outcomes(pages, labels).groupBy("host").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad")).collect()
+    assert {tuple(r) for r in got} == {("antispam.example", 50, 0), ("spam.example", 50, 0), ("best-pills.test", url_filter.WORD_OUTCOMES, url_filter.WORD_OUTCOMES)}
+    verdicts = {r["host"]: r["verdict"] for r in url_filter.judge(pages, url_filter.outcomes(pages, labels)).collect()}
+    assert verdicts == {"antispam.example": "allow", "spam.example": "allow", "spills.example": "allow", "best-pills.test": "block"}
