@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontamination, line_quality, packing, pii, quality_rules, repeats, secrets, simhash, toxicity, url_filter
+from clickloom.llm import conversation_trie, decontamination, line_quality, packing, pii, quality_rules, repeats, secrets, simhash, toxicity, url_filter
 from clickloom.sources.tables import read_table
 
 
@@ -66,7 +66,16 @@ def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = conversation_trie.rebuilt(conversation_trie.turns_of(read_table(spark, sf_dir, "conversations")))
+    trie = conversation_trie.build(turns, members)
+    nodes = trie.nodes.join(conversation_trie.ends_digest(trie.ends), conversation_trie.KEY, "left")
+    digest = F.coalesce("ends_sha256", F.lit(conversation_trie.EMPTY_SHA256)).alias("ends_sha256")
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", digest)
+
+
 QUERIES = {
+    "op11_conversation_trie": op11_conversation_trie,
     "op2_repeats": op2_repeats,
     "op8_line_quality": op8_line_quality,
     "op4_toxicity": op4_toxicity,
