@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import conversation_trie, decontamination, line_quality, packing, pii, quality_rules, repeats, secrets, simhash, toxicity, url_filter
+from clickloom.llm import alignment, conversation_trie, decontamination, language_id, line_quality, packing, pii, quality_rules, repeats, secrets, simhash, toxicity, url_filter
 from clickloom.sources.tables import read_table
 
 
@@ -74,7 +74,19 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", digest)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.alignment(read_table(spark, sf_dir, "documents"), digest=True)
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 QUERIES = {
+    "op12_alignment": op12_alignment,
+    "op13_language_id": op13_language_id,
     "op11_conversation_trie": op11_conversation_trie,
     "op2_repeats": op2_repeats,
     "op8_line_quality": op8_line_quality,
