@@ -7,6 +7,7 @@ from clickloom.functions.columns import (
     round6,
     sigmoid,
     signed_log,
+    vector_dot,
     z_score,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "round6",
     "sigmoid",
     "signed_log",
+    "vector_dot",
     "z_score",
 ]

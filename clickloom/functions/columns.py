@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from functools import reduce
 
@@ -50,6 +51,15 @@ def dot(weights: Mapping[str, float], bias: float = 0.0) -> Column:
     return reduce(lambda acc, item: acc + F.lit(float(item[1])) * F.col(item[0]), weights.items(), F.lit(float(bias)))
 
 
+def vector_dot(vector: Column | str, weights: list[float], bias: float = 0.0) -> Column:
+    """bias + the product of a vector column, sparse or dense, with the weights; only a sparse vector's own entries are visited."""
+    parts, start = F.unwrap_udt(_col(vector)), F.lit(float(bias))
+    table = F.from_json(F.lit(json.dumps([float(w) for w in weights])), "array<double>")  # folded to one literal, however long
+    sparse = F.zip_with(parts["indices"], parts["values"], lambda i, v: F.get(table, i) * v)
+    dense = F.zip_with(parts["values"], table, lambda v, w: v * w)
+    return F.aggregate(F.when(parts["indices"].isNull(), dense).otherwise(sparse), start, lambda total, x: total + x)
+
+
 def round6(x: Column | str) -> Column:
     return F.round(x, 6)
 

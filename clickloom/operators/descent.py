@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions import dot, sigmoid
+from clickloom.functions import dot, sigmoid, vector_dot
 from clickloom.schema import LABEL
 
 # Guard inside the logarithms, learning rate, gradient factor and number of steps.
@@ -84,3 +87,62 @@ def descend(
 def trace_table(df: DataFrame, trace: list[tuple]) -> DataFrame:
     names = ", ".join(f"w{k} double" for k in range(len(trace[0]) - 2))
     return df.sparkSession.createDataFrame(trace, f"step int, loss double, {names}")
+
+
+# -- feature vectors ------------------------------------------------------------------------------------------------
+
+
+def vector_score(df: DataFrame, weights: list[float], features: str, threshold: float = 0.5) -> DataFrame:
+    """:func:`logistic_score` for a vector column; ``weights`` has the bias first."""
+    scored = df.withColumn("probability", sigmoid(vector_dot(features, weights[1:], weights[0])))
+    return scored.withColumn("prediction", (F.col("probability") > threshold).cast("double"))
+
+
+def vector_gradient(df: DataFrame, weights: list[float], features: str, label: str = LABEL) -> tuple[float, list[float]]:
+    """The loss at ``weights`` and the gradient, bias first, from one aggregate of sparse vectors.
+
+    The gradient is a sum of the vectors weighted by their errors. Errors of rows with label 0 are positive, those of label 1
+    negative, and each kind is summed for itself. Sums of tasks are merged in two levels, so that no task takes one from every other.
+    """
+    p = sigmoid(vector_dot(features, weights[1:], weights[0]))
+    rows = df.select(F.col(label).alias("y"), F.col(features).alias("x"), p.alias("p"))
+    # A weight of exactly 0 for all rows would leave the sum undefined.
+    error = F.greatest(F.abs(F.col("p") - F.col("y")), F.lit(1e-300))
+    groups = math.ceil(math.sqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    first = rows.groupBy("y", (F.spark_partition_id() % groups).alias("group")).agg(
+        Summarizer.sum(F.col("x"), error).alias("v"), F.sum(error).alias("e"), F.sum(log_loss_of(F.col("p"), F.col("y"))).alias("loss"), F.count(F.lit(1)).alias("n")
+    )
+    sums = first.groupBy("y").agg(Summarizer.sum(F.col("v")).alias("v"), F.sum("e").alias("e"), F.sum("loss").alias("loss"), F.sum("n").alias("n")).collect()
+    n, slopes = sum(r["n"] for r in sums), [0.0] * len(weights)
+    for r in sums:
+        sign = -1.0 if r["y"] == 1 else 1.0
+        for i, x in enumerate([r["e"], *r["v"].toArray()]):
+            slopes[i] += sign * float(x)
+    return sum(r["loss"] for r in sums) / n, [GRADIENT_FACTOR * x / n for x in slopes]
+
+
+def descend_vectors(
+    df: DataFrame, features: str, size: int, steps: int = STEPS, rate: float = LEARNING_RATE, label: str = LABEL, centre: bool = False
+) -> tuple[list[float], list[tuple]]:
+    """:func:`descend` over vectors of ``size`` slots: weights, bias first, and the trace ``(step, loss, weights...)``.
+
+    With ``centre`` the steps are those on centred vectors, which fall faster, while the stored vectors stay sparse: the means enter
+    the margin and the gradient as numbers. The weights returned are for the vectors as they are; the trace has the centred bias.
+    """
+    weights, trace = [0.0] * (size + 1), []
+    rows = df.select(label, features).persist()
+    try:
+        means = rows.agg(Summarizer.mean(F.col(features)).alias("m")).first()["m"].toArray().tolist() if centre else [0.0] * size
+
+        def plain(centred: list[float]) -> list[float]:
+            return [centred[0] - sum(w * m for w, m in zip(centred[1:], means)), *centred[1:]]
+
+        for i in range(steps + 1):
+            loss_now, slopes = vector_gradient(rows, plain(weights), features, label)
+            trace.append((i, loss_now, *weights))
+            if i < steps:
+                slopes = [slopes[0], *[g - m * slopes[0] for g, m in zip(slopes[1:], means)]]
+                weights = [w - rate * g for w, g in zip(weights, slopes)]
+    finally:
+        rows.unpersist()
+    return plain(weights), trace

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
+    Bucketizer,
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
@@ -18,7 +19,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.operators.lookup import BROADCAST_ROWS, attach
+from clickloom.operators.lookup import BROADCAST_ROWS, attach, attach_many
+from clickloom.operators.ordered import bucketed, exact_quantiles, numbered_within
 from clickloom.operators.profile import melt
 from clickloom.schema import LABEL
 from clickloom.sources.tables import stage
@@ -56,24 +58,25 @@ class TargetMeanEncoder:
     sizes: dict[str, int]
     fill: float = 0.0
 
-    def apply(
-        self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS, stage_every: int | None = 5
-    ) -> DataFrame:
+    def apply(self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
         """Replaces each column ``c`` by ``c_bm``; categories without a mean get ``fill``.
 
-        Tables up to ``broadcast_rows`` are broadcast, so that the rows are not shuffled at all. Each larger one costs a
-        shuffle of the rows; after every ``stage_every`` of those the rows are written out, which bounds what a lost
-        executor makes Spark redo.
+        Tables up to ``broadcast_rows`` are broadcast, so that the rows are not shuffled at all. All larger ones together cost one
+        shuffle of the rows (see ``attach_many``).
         """
-        shuffled = 0
+        long = [c for c in self.columns if self.sizes[c] > broadcast_rows]
         for c in self.columns:
-            table = self.means.where(F.col("feature") == c)
-            df = attach(df, c, table, {"mean": c + MEAN_SUFFIX}, self.sizes[c], broadcast_rows).drop(c)
-            if self.sizes[c] > broadcast_rows:
-                shuffled += 1
-                if stage_every and shuffled % stage_every == 0:
-                    df = stage(df, "mean-encoded")
-        return df.na.fill(self.fill, subset=[c + MEAN_SUFFIX for c in self.columns])
+            if c not in long or len(long) == 1:
+                table = self.means.where(F.col("feature") == c)
+                df = attach(df, c, table, {"mean": c + MEAN_SUFFIX}, self.sizes[c], broadcast_rows)
+        if len(long) > 1:
+            df = attach_many(df, long, self.means, "mean", MEAN_SUFFIX, sum(self.sizes[c] for c in long))
+        kept = [c for c in df.columns if c not in self.columns and c not in self._outputs]
+        return df.select(*kept, *self._outputs).na.fill(self.fill, subset=self._outputs)
+
+    @property
+    def _outputs(self) -> list[str]:
+        return [c + MEAN_SUFFIX for c in self.columns]
 
     def apply_leave_one_out(self, df: DataFrame, label: str = LABEL, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
         """For the rows that the encoder was fitted on: each takes the mean of the other rows of its category.
@@ -135,6 +138,35 @@ def index_table(df: DataFrame, columns: list[str], model: StringIndexerModel) ->
     return df.sparkSession.createDataFrame(rows, "feature string, value string, slot int")
 
 
+def long_index(counts: DataFrame) -> DataFrame:
+    """``feature, value, n, slot``: the string index of columns of any number of categories, as a table. ``slot`` goes by falling count,
+    ties by value. ``counts`` is stored (``feature, value, n``). No category reaches the driver."""
+    return numbered_within(counts.select("feature", "value", "n"), "feature", [F.desc("n"), F.asc("value")], "slot")
+
+
+def one_hot_long(df: DataFrame, columns: list[str], index: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, list[str]]:
+    """``df`` with a sparse vector ``<c>_vec`` for each column, by a stored :func:`long_index`; and the names of these columns.
+
+    One slot for each category; one that the index does not have is all-zero. The rows are shuffled at most once.
+    """
+    sizes = {r["feature"]: r["count"] for r in index.groupBy("feature").count().collect()}
+    sizes = {c: sizes.get(c, 0) for c in columns}
+    long = [c for c in columns if sizes[c] > broadcast_rows]
+    for c in columns:
+        if c not in long:
+            df = attach(df, c, index.where(F.col("feature") == c), {"slot": f"{c}_index"}, sizes[c], broadcast_rows)
+    if long:
+        df = attach_many(df, long, index, "slot", "_index", sum(sizes[c] for c in long))
+    # The encoder takes the number of slots from the column's metadata; the place after the last is that of unknown values.
+    for c in columns:
+        nominal = {"ml_attr": {"type": "nominal", "name": f"{c}_index", "num_vals": sizes[c] + 1}}
+        place = F.coalesce(F.col(f"{c}_index"), F.lit(sizes[c])).cast("double")
+        df = df.withColumn(f"{c}_index", place.alias(f"{c}_index", metadata=nominal))
+    vectors = [f"{c}_vec" for c in columns]
+    encoder = OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=vectors, dropLast=True)
+    return encoder.fit(df.limit(0)).transform(df).drop(*[f"{c}_index" for c in columns]), vectors
+
+
 def category_order(counts: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Categories of each column by falling count, ties by value: the order of a string index.
 
@@ -274,3 +306,57 @@ def select_by_chi_square(table: DataFrame, top: int = 50) -> DataFrame:
     best = table.select("feature", strength.alias("strength")).orderBy(F.desc("strength"), "feature").limit(top)
     # One row per column of the data.
     return best.select("feature", F.row_number().over(Window.orderBy(F.desc("strength"), "feature")).alias("rank"))
+
+
+# -- chi-square of vector slots -------------------------------------------------------------------------------------
+
+
+def quantile_cuts(df: DataFrame, numeric: list[str], bins: int = 4) -> dict[str, list[float]]:
+    """The inner borders of ``bins`` equally full bins of each column, exact; equal ones once."""
+    counts = stage(melt(df, [], numeric, "feature", "value").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    points = {f"q{i}": i / bins for i in range(1, bins)}
+    found = exact_quantiles(bucketed(counts, "value"), ["feature"], "value", points).collect()
+    return {r["feature"]: sorted({r[q] for q in points}) for r in found}
+
+
+def chi_square_slots(df: DataFrame, order: dict[str, list[str]], numeric: list[str], label: str = LABEL, bins: int = 4) -> DataFrame:
+    """Pearson chi-square of each slot of the one-hot features against the label: ``slot, name, statistic, dof``.
+
+    A category's slot is there or not; a numeric slot is cut into equally full bins, its highest border belonging to the bin above. The cells
+    come from one sum of sparse indicator vectors for each label, so no row is multiplied. ``df`` has cleaned, folded rows.
+    """
+    encode, vectors = one_hot_from_order(df, order)
+    cuts = quantile_cuts(df, numeric, bins)
+    stages = [Bucketizer(splits=[float("-inf"), *cuts[c], float("inf")], inputCol=c, outputCol=f"{c}_bin") for c in numeric if cuts.get(c)]
+    binned = [s.getOutputCol() for s in stages]
+    spread = OneHotEncoder(inputCols=binned, outputCols=[f"{c}_ind" for c in binned], dropLast=False)
+    rows = PipelineModel(stages).transform(encode.transform(df))
+    made = assembler(vectors + [f"{c}_ind" for c in binned], "_cells").transform(spread.fit(rows.limit(0)).transform(rows))
+    sums = made.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("rows"), Summarizer.sum(F.col("_cells")).alias("v"))
+    cells = stage(sums.select("label", "rows", F.posexplode(vector_to_array("v")).alias("cell", "n")), "slot-cells")
+
+    # Which slot a cell belongs to: one row for each slot and bin.
+    names = [f"{c}={v}" for c, values in order.items() for v in values]
+    places = [(i, i, n, True) for i, n in enumerate(names)]
+    for k, c in enumerate(numeric):
+        for _ in range(len(cuts[c]) + 1 if cuts.get(c) else 0):
+            places.append((len(places), len(names) + k, c, False))
+    table = df.sparkSession.createDataFrame(places, "cell int, slot int, name string, alone boolean")
+    known = cells.join(F.broadcast(table), "cell")
+    # The other side of a category's slot: the label's rows without it.
+    absent = known.where("alone").withColumn("n", F.col("rows") - F.col("n")).withColumn("cell", F.lit(-1))
+    both = known.unionByName(absent)
+    bin_, slot, of_label = Window.partitionBy("slot", "cell"), Window.partitionBy("slot"), Window.partitionBy("slot", "label")
+    expected = F.sum("n").over(bin_) * F.sum("n").over(of_label) / F.sum("n").over(slot)
+    part = both.withColumn("e", expected).withColumn("x", F.when(F.col("e") > 0, (F.col("n") - F.col("e")) ** 2 / F.col("e")).otherwise(0.0))
+    full = F.count_distinct(F.when(F.col("e") > 0, F.col("cell")))
+    labels = F.count_distinct(F.when(F.col("e") > 0, F.col("label")))
+    return part.groupBy("slot", "name").agg(F.sum("x").alias("statistic"), ((full - 1) * (labels - 1)).alias("dof"))
+
+
+def select_slots(table: DataFrame, top: int = 50) -> DataFrame:
+    """The ``top`` slots of :func:`chi_square_slots`, by statistic per degree of freedom (ties by slot): ``slot, name, rank``."""
+    strength = F.coalesce(F.try_divide("statistic", "dof"), F.lit(0.0))
+    best = table.select("slot", "name", strength.alias("strength")).orderBy(F.desc("strength"), "slot").limit(top)
+    # At most ``top`` rows.
+    return best.select("slot", "name", F.row_number().over(Window.orderBy(F.desc("strength"), "slot")).alias("rank"))

@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.sources.tables import stage
+
 MAX_SLICES = 1000
 
 
@@ -86,3 +88,19 @@ def exact_quantiles(counts: DataFrame, keys: list[str], value: str, points: Mapp
             (F.col(f"{name}_lo") + weight * (F.col(f"{name}_hi") - F.col(f"{name}_lo"))).alias(name)
         )
     return found.select(*keys, *columns)
+
+
+def numbered_within(df: DataFrame, group: str, order: list[Column], output: str = "number") -> DataFrame:
+    """``df`` with the place of each row in its group, from 0. ``df`` is a stored table, and the order has no ties.
+
+    The rows are sorted across all tasks. A row's place in its task comes from the numbering of rows there, and what lies before
+    it in other tasks from one count for each task and group, so a group of any size is never in one task. For few groups.
+    """
+    by = [F.col(group), *order]
+    placed = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    placed = stage(placed.withColumn("_part", F.shiftrightunsigned("_at", 33)), "ordered-rows")
+    counts = placed.groupBy(group, "_part").agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(group, "_part", "_from", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    joined = placed.join(F.broadcast(starts), [group, "_part"])
+    return joined.select(*df.columns, (F.col("_at") - F.col("_from") + F.col("_before")).alias(output))

@@ -6,6 +6,7 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,17 +20,20 @@ from clickloom.operators.cleaning import (
     impute_blank,
     log_transform,
 )
+from clickloom.operators.descent import vector_score
 from clickloom.operators.encoding import (
     MEAN_SUFFIX,
     SELECTED,
     FeaturePipeline,
     TargetMeanEncoder,
     category_order,
+    chi_square_slots,
     encoder_from_counts,
     encoder_of,
     fit_mean_features,
     fit_onehot_features,
     fit_target_means,
+    select_slots,
     slicer,
 )
 from clickloom.operators.evaluate import evaluation_report
@@ -163,6 +167,57 @@ def sliced(prepared: Prepared, slots: list[int]) -> Prepared:
     return Prepared(rows.withColumnRenamed("_sliced", SELECTED), features, prepared.folding, prepared.encoder, prepared.categorical, prepared.numeric)
 
 
+@dataclass
+class ScoringChain:
+    """A preparation and a classifier as one object that is stored, loaded elsewhere and applied to raw rows.
+
+    The classifier is a Spark ML model, or fixed logistic weights with the bias first. ``slots`` are those that it takes, if not all.
+    """
+
+    prepared: Prepared
+    model: Model | None = None
+    weights: list[float] | None = None
+    slots: list[int] | None = None
+
+    def score(self, new_rows: DataFrame, keep: list[str]) -> DataFrame:
+        """Raw rows in; the columns ``keep``, ``probability`` (where the model has one) and ``prediction`` out."""
+        ready = self.prepared.apply(new_rows, keep)
+        if self.slots is not None:
+            ready = slicer(self.slots, SELECTED, "_sliced").transform(ready).drop(SELECTED).withColumnRenamed("_sliced", SELECTED)
+        scored = score_batch(self.model, ready) if self.weights is None else vector_score(ready, self.weights, SELECTED)
+        return scored.select(*[c for c in scored.columns if c in (*keep, "probability", "prediction")])
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.getActiveSession()
+        self.prepared.save(f"{path}/preparation")
+        if self.model is not None:
+            self.model.write().save(f"{path}/classifier")
+        settings = json.dumps({"weights": self.weights, "slots": self.slots})
+        write_parquet(spark.createDataFrame([(settings,)], "settings string"), f"{path}/chain")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ScoringChain:
+        settings = json.loads(read_parquet(spark, f"{path}/chain").first()["settings"])
+        model = DefaultParamsReader.loadParamsInstance(f"{path}/classifier", spark.sparkContext) if settings["weights"] is None else None
+        return ScoringChain(Prepared.load(spark, f"{path}/preparation"), model, settings["weights"], settings["slots"])
+
+
+def slot_table(df: DataFrame, key: str = "rk", min_fraction: float = MIN_FRACTION, bins: int = 4) -> DataFrame:
+    """Chi-square of every slot of :func:`prepare_onehot` against the label, on the training part of a stored table."""
+    categorical, numeric = categorical_columns(df, exclude=(key,)), numeric_columns(df)
+    rows = assign_split(df, key, column=PART).where(F.col(PART) == "Train")
+    rows = log_transform(impute_blank(rows, categorical), numeric)
+    counts = stage(frequent_counts(rows, categorical, LABEL, min_fraction), "category-counts")
+    folding = fit_folding(counts, categorical, min_fraction)
+    return chi_square_slots(folding.apply(rows), category_order(fold_counts(counts, folding.threshold), categorical), numeric, LABEL, bins)
+
+
+def prepare_selected(df: DataFrame, key: str = "rk", top: int = 50, **options) -> Prepared:
+    """One-hot features with only the ``top`` slots by chi-square."""
+    chosen = [r["slot"] for r in select_slots(slot_table(df, key), top).collect()]
+    return sliced(prepare_onehot(df, key, **options), sorted(chosen))
+
+
 def report(model: Model, prepared: Prepared, name: str) -> DataFrame:
     """Train and test metrics of a fitted model, from one scoring pass."""
     return evaluation_report(score_batch(model, prepared.rows), name, PART)

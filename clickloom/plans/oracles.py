@@ -5,6 +5,7 @@ from __future__ import annotations
 from clickloom.operators.cleaning import RARE_TOKEN, blank_token
 from clickloom.operators.descent import EPSILON, GRADIENT_FACTOR, LEARNING_RATE
 from clickloom.plans.queries import (
+    CHAIN_WEIGHTS,
     DESCRIBE_DIGITS,
     SAMPLE_SHARE,
     SCORE_DIGITS,
@@ -13,6 +14,7 @@ from clickloom.plans.queries import (
     TOY_FEATURES,
     TOY_WEIGHTS,
     TRACE_STEPS,
+    UNSEEN,
 )
 from clickloom.sources.training_view import CATEGORICAL, NUMERIC
 
@@ -247,6 +249,56 @@ def score_new_rows() -> str:
       SELECT rk, data, {z} FROM every, stats"""
 
 
+def score_batch_weights() -> str:
+    parts = [(c, LOG.format(c)) for c in [f"{c}_bm" for c in CATEGORICAL] + NUMERIC]
+    stats = ", ".join(f"avg({x}) AS m_{n}, stddev_samp({x}) AS s_{n}" for n, x in parts)
+    margin = " + ".join(
+        [num(CHAIN_WEIGHTS[0])]
+        + [f"{num(w)} * (CASE WHEN s_{n} = 0 THEN 0e0 ELSE (({x}) - m_{n}) / s_{n} END)" for w, (n, x) in zip(CHAIN_WEIGHTS[1:], parts)]
+    )
+    return f"""WITH {TV}, {CLEAN_TRAIN}, {mean_tables('trained')}, enc AS ({encoded('clean', 'true')}),
+      every AS (SELECT *, {SPLIT} AS data FROM enc),
+      stats AS (SELECT {stats} FROM every WHERE data = 'Train')
+      SELECT rk, data, label, {R.format(f'1e0 / (1e0 + exp(-({margin})))')} AS probability FROM every, stats"""
+
+
+def unseen_third() -> str:
+    third = h("'u|' || rk")
+    return encode_query(
+        f"""{SPLIT_TV}, trained AS (SELECT * FROM sv WHERE data = 'Train'), other AS (SELECT * REPLACE (
+          CASE WHEN {third} % 3 = 0 THEN '{UNSEEN}' ELSE b08 END AS b08, CASE WHEN {third} % 3 = 1 THEN '{UNSEEN}' ELSE b07 END AS b07) FROM sv)""",
+        "trained", "other", "true",
+    ).replace("SELECT rk, label, round", "SELECT rk, round", 1)
+
+
+def slot_cells() -> str:
+    """Contingency cells of one-hot slots and binned numbers of the training part: ``slot, name, cell, label, n``."""
+    logged = ", ".join(f"{LOG.format(c)} AS {c}" for c in NUMERIC)
+    binned = " UNION ALL ".join(
+        f"""SELECT {i} AS k, '{c}' AS name, CASE WHEN {c} >= q1 THEN 1 ELSE 0 END + CASE WHEN {c} >= q2 THEN 1 ELSE 0 END
+          + CASE WHEN {c} >= q3 THEN 1 ELSE 0 END AS cell, label, count(*) * 1e0 AS n
+          FROM logged, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM logged)
+          GROUP BY ALL"""
+        for i, c in enumerate(NUMERIC)
+    )
+    return f"""logged AS (SELECT label, {logged} FROM trained),
+      freq AS (SELECT feature, value, count(*) AS n FROM ({long_rows('trained')}) GROUP BY feature, value),
+      slots AS (SELECT row_number() OVER (ORDER BY feature, n DESC, value) - 1 AS slot, feature, value FROM freq),
+      by_label AS (SELECT feature, value, label, count(*) * 1e0 AS n FROM ({long_rows('trained')}) GROUP BY ALL),
+      rows_of AS (SELECT label, count(*) * 1e0 AS rows FROM trained GROUP BY label),
+      present AS (SELECT slot, s.feature || '=' || s.value AS name, r.label, rows, coalesce(b.n, 0e0) AS n
+        FROM slots s CROSS JOIN rows_of r LEFT JOIN by_label b ON b.feature = s.feature AND b.value = s.value AND b.label = r.label),
+      cells AS (SELECT slot, name, 1 AS cell, label, n FROM present UNION ALL SELECT slot, name, 0, label, rows - n FROM present
+        UNION ALL SELECT (SELECT count(*) FROM slots) + k, name, cell, label, n FROM ({binned})),
+      full_cells AS (SELECT g.slot, g.name, g.cell, r.label, coalesce(c.n, 0e0) AS n FROM (SELECT DISTINCT slot, name, cell FROM cells) g
+        CROSS JOIN rows_of r LEFT JOIN cells c ON c.slot = g.slot AND c.cell = g.cell AND c.label = r.label),
+      expected AS (SELECT *, sum(n) OVER (PARTITION BY slot, cell) * sum(n) OVER (PARTITION BY slot, label) / sum(n) OVER (PARTITION BY slot) AS e
+        FROM full_cells),
+      chi AS (SELECT slot, name, sum(CASE WHEN e > 0 THEN (n - e) * (n - e) / e ELSE 0e0 END) AS statistic,
+        (count(DISTINCT CASE WHEN e > 0 THEN cell END) - 1) * (count(DISTINCT CASE WHEN e > 0 THEN label END) - 1) AS dof
+        FROM expected GROUP BY slot, name)"""
+
+
 def correlations() -> str:
     names = [*NUMERIC, "label"]
     return f"WITH {TV} " + " UNION ALL ".join(
@@ -364,6 +416,21 @@ def oracle_sql() -> dict[str, str]:
         "target_mean_encode_test": encode_query(CLEAN_TRAIN, "trained", "clean", "t.data = 'Test'"),
         "target_mean_encode_raw": raw_means,
         "target_mean_encode_shuffled": raw_means,
+        "target_mean_encode_unseen": unseen_third(),
+        "string_index_long": f"""WITH {TV}, counts AS ({frequency('tv')}) SELECT feature, value, n,
+            row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) - 1 AS slot FROM counts""",
+        "one_hot_long": f"""WITH {TV}, counts AS ({frequency('tv')}) SELECT feature, value, n AS n_rows,
+            row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) - 1 AS slot FROM counts WHERE feature IN ('b07', 'b08')""",
+        "chi_square_slots": f"""WITH {TV}, {CLEAN_TRAIN}, {slot_cells()}
+            SELECT CAST(slot AS INTEGER) AS slot, name, {R.format('statistic')} AS statistic, dof FROM chi""",
+        "chi_square_select_slots": f"""WITH {TV}, {CLEAN_TRAIN}, {slot_cells()},
+            strong AS (SELECT slot, name, CASE WHEN dof = 0 THEN 0e0 ELSE statistic / dof END AS strength FROM chi)
+            SELECT CAST(slot AS INTEGER) AS slot, name, CAST(row_number() OVER (ORDER BY strength DESC, slot) AS INTEGER) AS rank
+            FROM strong ORDER BY strength DESC, slot LIMIT 50""",
+        "score_batch_weights": score_batch_weights(),
+        "report_runs": f"""WITH {TV}, {a}, {b} SELECT *, 'run-A' AS run_id FROM ({report('A', 'a')})
+            UNION ALL SELECT *, 'run-B' FROM ({report('B', 'b')})""",
+        "gd_trace_vectors": trace(),
         "chi_square_select": f"""WITH {TV}, {CLEAN_ALL}, c AS (SELECT feature, value, count(*) * 1e0 AS n,
               sum(label) * 1e0 AS pos FROM ({long_rows('clean')}) GROUP BY feature, value),
             t AS (SELECT feature, sum(n) AS rows, sum(pos) AS p FROM c GROUP BY feature),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schema
-from clickloom.functions import round6, z_score
+from clickloom.functions import hash_bucket, round6, z_score
 from clickloom.operators import cleaning, descent, encoding, evaluate, explain, models, profile, sampling, tuning
 from clickloom.plans import flows
 from clickloom.sources import click_log, tables
@@ -30,6 +30,9 @@ SCORE_DIGITS = 9
 DESCRIBE_DIGITS = 4
 SMALL_BROADCAST = 50
 DEFAULT_THRESHOLD = 0.5
+UNSEEN = "never seen"
+# Bias, then one weight for each mean and number.
+CHAIN_WEIGHTS = [-1.1] + [round(0.05 * (i % 5) - 0.1, 2) for i in range(len(CATEGORICAL) + len(NUMERIC))]
 
 
 def query(fn: Query) -> Query:
@@ -401,6 +404,38 @@ def target_mean_encode_shuffled(spark, sf_dir):
     return _encoded(spark, sf_dir, None, fold=False, broadcast_rows=SMALL_BROADCAST)
 
 
+def unseen_third(rows: DataFrame) -> DataFrame:
+    """Rows of which a third have one value of b08 that no training row has, and another third of b07."""
+    third = hash_bucket(KEY, 3, salt="u|")
+    return rows.withColumns({"b08": F.when(third == 0, UNSEEN).otherwise(F.col("b08")), "b07": F.when(third == 1, UNSEEN).otherwise(F.col("b07"))})
+
+
+@query
+def target_mean_encode_unseen(spark, sf_dir):
+    """Raw means of the training part on rows whose most frequent value is not in it, through the shuffle."""
+    rows = sampling.assign_split(stored_view(spark, sf_dir), KEY, column=flows.PART)
+    encoder = encoding.fit_target_means(rows.where(F.col(flows.PART) == "Train"), CATEGORICAL)
+    columns = [c + encoding.MEAN_SUFFIX for c in CATEGORICAL]
+    return rounded(encoder.apply(unseen_third(rows), broadcast_rows=SMALL_BROADCAST).select(KEY, *columns), *columns)
+
+
+@query
+def string_index_long(spark, sf_dir):
+    """The index of all categories as they are, no list of them on the driver."""
+    return encoding.long_index(raw_counts(spark, sf_dir)).select("feature", "value", "n", "slot")
+
+
+@query
+def one_hot_long(spark, sf_dir):
+    """Rows in each slot of sparse vectors of two unfolded columns."""
+    columns = ["b07", "b08"]
+    index = tables.stage(encoding.long_index(raw_counts(spark, sf_dir)), "long-index")
+    rows, vectors = encoding.one_hot_long(stored_view(spark, sf_dir).select(KEY, *columns), columns, index, broadcast_rows=SMALL_BROADCAST)
+    sums = [encoding.slot_sums(rows, v).withColumn("feature", F.lit(c)) for c, v in zip(columns, vectors)]
+    totals = sums[0].unionByName(sums[1]).withColumn("slot", F.col("slot").cast("bigint"))
+    return totals.join(index.drop("n"), ["feature", "slot"]).select("feature", "slot", "value", F.col("total").cast("bigint").alias("n_rows"))
+
+
 @query
 def target_mean_encode_loo(spark, sf_dir):
     """Training rows with the mean of the other rows of their category; the mean of all rows where there is no other."""
@@ -421,6 +456,17 @@ def chi_square_select(spark, sf_dir):
     return encoding.select_by_chi_square(encoding.chi_square_table(folded_counts(spark, sf_dir)), top=4)
 
 
+@query
+def chi_square_slots(spark, sf_dir):
+    return rounded(flows.slot_table(stored_view(spark, sf_dir), KEY), "statistic")
+
+
+@query
+def chi_square_select_slots(spark, sf_dir):
+    """The 50 slots of the one-hot features that the label depends on most."""
+    return encoding.select_slots(flows.slot_table(stored_view(spark, sf_dir), KEY), top=50)
+
+
 @query
 def slice_features(spark, sf_dir):
     prepared = onehot(spark, sf_dir)
@@ -449,6 +495,24 @@ def gd_trace(spark, sf_dir):
     return rounded(descent.trace_table(rows, trace), "loss", "w0", "w1", "w2")
 
 
+@query
+def gd_trace_vectors(spark, sf_dir):
+    """The trace of ``gd_trace`` by sums of weighted vectors."""
+    rows = encoding.assembler(TOY_FEATURES).transform(toy(spark, sf_dir))
+    _, trace = descent.descend_vectors(rows, encoding.FEATURES, len(TOY_FEATURES), steps=TRACE_STEPS)
+    return rounded(descent.trace_table(rows, trace), "loss", "w0", "w1", "w2")
+
+
+@query
+def descent_onehot(spark, sf_dir):
+    """Own descent, all steps, on the sparse one-hot vectors, next to a logistic regression without penalty."""
+    prepared = onehot(spark, sf_dir)
+    weights, _ = descent.descend_vectors(prepared.train, encoding.SELECTED, prepared.features.size, centre=True)
+    model = models.train("logistic", prepared.train, maxIter=100)
+    own = descent.vector_score(prepared.rows, weights, encoding.SELECTED)
+    return evaluate.prediction_agreement(own, models.score_batch(model, prepared.rows), KEY)
+
+
 @query
 def logistic_score(spark, sf_dir):
     return scored(spark, sf_dir).select(KEY, "probability", "prediction")
@@ -590,6 +654,12 @@ def train_gbt_onehot(spark, sf_dir):
     return flows.train_and_report("gbt", onehot(spark, sf_dir), "GBT", **models.FULL_GBT)[1]
 
 
+@query
+def train_selected(spark, sf_dir):
+    """A logistic model on the 50 one-hot slots chosen by chi-square."""
+    return flows.train_and_report("logistic", flows.prepare_selected(stored_view(spark, sf_dir), KEY), "LR+Chi2")[1]
+
+
 @query
 def train_sliced(spark, sf_dir):
     """Tree and logistic model on the vector slots that a first tree uses."""
@@ -605,12 +675,40 @@ def train_sliced(spark, sf_dir):
     )
 
 
+def stored_chain(spark, chain: flows.ScoringChain) -> flows.ScoringChain:
+    """The chain as it comes back from its folder."""
+    path = tables.stage_path(spark, "scoring-chain")
+    chain.save(path)
+    return flows.ScoringChain.load(spark, path)
+
+
 @query
 def score_batch(spark, sf_dir):
+    """All rows, scored raw by a stored and loaded preparation and model."""
     prepared = means(spark, sf_dir)
-    model = models.train("logistic", prepared.train)
-    rows = models.score_batch(model, prepared.test)
-    return rows.select(KEY, "label", round6(vector_to_array("probability")[1]).alias("probability"), "prediction")
+    chain = stored_chain(spark, flows.ScoringChain(prepared, models.train("logistic", prepared.train)))
+    rows = sampling.assign_split(training_view(spark, sf_dir), KEY, column=flows.PART)
+    scores = chain.score(rows, [KEY, flows.PART, "label"])
+    return scores.select(KEY, flows.PART, "label", round6(vector_to_array("probability")[1]).alias("probability"), "prediction")
+
+
+@query
+def score_batch_weights(spark, sf_dir):
+    """The same with fixed weights on the standardised means and numbers."""
+    prepared = means(spark, sf_dir)
+    chain = stored_chain(spark, flows.ScoringChain(prepared, weights=CHAIN_WEIGHTS))
+    rows = sampling.assign_split(training_view(spark, sf_dir), KEY, column=flows.PART)
+    return rounded(chain.score(rows, [KEY, flows.PART, "label"]), "probability").select(KEY, flows.PART, "label", "probability")
+
+
+@query
+def report_runs(spark, sf_dir):
+    """Reports of two scorers added to one folder as runs, the first one twice."""
+    path = tables.stage_path(spark, "reports")
+    for name, scorer in (("A", SCORER_A), ("B", SCORER_B), ("A", SCORER_A)):
+        made = evaluate.evaluation_report(scored(spark, sf_dir, scorer), name)
+        tables.append_run(made, path, f"run-{name}")
+    return tables.read_runs(spark, path, made.schema)
 
 
 @query
@@ -677,6 +775,14 @@ def cross_validate_gbt(spark, sf_dir):
     return flows.grid_search("gbt", prepared, "GBT+CV", fold_col="fold")[2]
 
 
+@query
+def cross_validate_gbt_batch(spark, sf_dir):
+    """The search of the batch script: 12 points around boosted trees of 20 steps, on one-hot features."""
+    prepared = onehot(spark, sf_dir)
+    prepared.rows = sampling.assign_fold(prepared.rows, KEY)
+    return flows.grid_search("gbt", prepared, "GBT+CV", grid="gbt_batch", fold_col="fold")[2]
+
+
 @query
 def cross_validate_logistic(spark, sf_dir):
     prepared = means(spark, sf_dir)
@@ -687,4 +793,4 @@ def cross_validate_logistic(spark, sf_dir):
 @query
 def cv_results(spark, sf_dir):
     prepared, found, _, _ = _tree_search(spark, sf_dir)
-    return tuning.cv_results(found, tuning.GRIDS["decision_tree"], prepared.rows)
+    return tuning.cv_results(found, tuning.GRIDS["decision_tree"])

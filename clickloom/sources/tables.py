@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -39,6 +40,18 @@ def write_parquet(df: DataFrame, path: str, mode: str = "error", partition_by: t
     writer.parquet(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Adds the rows as one run to a Parquet folder partitioned by ``run_id``. A run written again, as by a retried driver, replaces
+    itself and leaves the other runs alone."""
+    rows = df.withColumn("run_id", F.lit(run_id))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All runs, or some by a filter on ``run_id``, which reads only theirs. ``schema`` is that of the rows."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "append", single_file: bool = False) -> None:
     """CSV with a header. ``single_file`` sends all rows through one task: meant for reports and small samples."""
     out = df.coalesce(1) if single_file else df

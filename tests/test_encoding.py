@@ -45,9 +45,9 @@ def test_shuffled_lookup_equals_broadcast_lookup(spark):
     encoder = encoding.fit_target_means(df.where("b02 % 3 > 0"), ["b01", "b02"])
     rows = df.unionByName(df.limit(5).withColumn("b01", F.lit("never seen")))
     wide = sorted(map(tuple, encoder.apply(rows).collect()), key=str)
-    for stage_every in (None, 1):
-        tight = encoder.apply(rows, broadcast_rows=10, stage_every=stage_every)
-        assert sorted(map(tuple, tight.collect()), key=str) == wide
+    tight = encoder.apply(rows, broadcast_rows=10)
+    assert tight.columns == encoder.apply(rows).columns
+    assert sorted(map(tuple, tight.collect()), key=str) == wide
 
 
 def test_hot_and_null_keys_are_spread_over_tasks(spark):

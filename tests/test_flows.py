@@ -1,12 +1,15 @@
 """The flows on the smallest tables: invariants of features, models, tuning and explanation."""
 
+import subprocess
+import sys
 import tempfile
+from pathlib import Path
 
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from clickloom.operators import explain, models, sampling, tuning
+from clickloom.operators import descent, encoding, evaluate, explain, models, sampling, tuning
 from clickloom.plans import flows
 from clickloom.sources.tables import stage
 from clickloom.sources.training_view import CATEGORICAL, KEY, NUMERIC, training_view
@@ -136,11 +139,15 @@ def test_cross_validation_by_key_hash(means):
     grid = {"maxDepth": [1, 3], "maxBins": [16]}
     found = tuning.cross_validate(models.classifier("decision_tree"), grid, rows, fold_col="fold")
     best = tuning.best_params(found, grid)
-    table = tuning.cv_results(found, grid, rows).collect()
-    assert len(table) == 2 and {r["rank"] for r in table} == {1, 2}
+    table = tuning.cv_results(found, grid).collect()
+    assert len(table) == 2 and {r["rank"] for r in table} == {1, 2} and [r["best"] for r in sorted(table, key=lambda r: r["rank"])] == [True, False]
     first = next(r for r in table if r["rank"] == 1)
     assert first["params"] == f"maxDepth={best['maxDepth']}; maxBins={best['maxBins']}"
-    assert first["auc"] == pytest.approx(max(found.avgMetrics))
+    # Each area is that of a model fitted on the other folds, by the exact operator.
+    for k in range(3):
+        model = models.train("decision_tree", rows.where(F.col("fold") != k), maxDepth=best["maxDepth"], maxBins=16)
+        exact = evaluate.auc_roc(model.transform(rows.where(F.col("fold") == k))).first()["auc"]
+        assert found.scores.where((F.col("fold") == k) & (F.col("point") == found.best)).first()["auc"] == pytest.approx(exact, abs=1e-12)
 
 
 def test_feature_pipeline_survives_save_and_load(spark, means, tmp_path):
@@ -154,6 +161,79 @@ def test_feature_pipeline_survives_save_and_load(spark, means, tmp_path):
     assert PipelineModel.load(path).transform(row).first()["selected_features"] == want
 
 
+def test_selection_of_a_model_without_probabilities(means):
+    rows = sampling.assign_fold(means.train, KEY)
+    found = tuning.cross_validate(models.classifier("linear_svc"), {"regParam": [0.1, 1.0]}, rows, fold_col="fold")
+    assert found.scores.count() == 6 and found.scores.where("auc between 0.5 and 1").count() == 6
+
+
+def test_batch_grid_is_the_published_one():
+    assert tuning.grid_size(tuning.GRIDS["gbt_batch"]) == 12
+
+
+FRESH = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.ml.functions import vector_to_array
+from tests.conftest import make_session
+from clickloom.plans import flows
+from clickloom.sources.training_view import training_view
+spark = make_session()
+chain = flows.ScoringChain.load(spark, {path!r})
+rows = chain.score(training_view(spark, {sf!r}), ["rk"])
+rows.select("rk", vector_to_array("probability")[1].alias("p"), "prediction").write.parquet({out!r})
+"""
+
+
+def test_chain_scores_raw_rows_in_another_session(spark, view, tmp_path):
+    """The process that scores has neither the training rows nor the model object, only the folder."""
+    prepared = flows.prepare_selected(view, top=5)
+    assert prepared.features.size == 5
+    model = models.train("logistic", prepared.train)
+    slots = [i for i, n in enumerate(flows.prepare_onehot(view).features.names) if n in prepared.features.names]
+    path, out = f"{tmp_path}/chain", f"{tmp_path}/scores"
+    flows.ScoringChain(prepared, model, slots=slots).save(path)
+    repo = str(Path(__file__).resolve().parent.parent)
+    code = FRESH.format(repo=repo, path=path, sf=SF_DIR, out=out)
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=repo, timeout=300)
+    here = model.transform(prepared.rows).select("rk", vector_to_array("probability")[1].alias("q"), F.col("prediction").alias("c"))
+    both = spark.read.parquet(out).join(here, "rk")
+    assert both.count() == view.count() and both.where("abs(p - q) > 1e-12 or prediction <> c").count() == 0
+
+
+def test_scoring_a_chain_does_not_shuffle(spark, view, means):
+    chain = flows.ScoringChain(means, models.train("logistic", means.train))
+    plan = chain.score(view, ["rk"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
+def test_descent_on_vectors_is_descent_on_columns(view):
+    rows = view.select("label", F.log1p("c01").alias("x"), (F.col("b03") == "O").cast("double").alias("y"))
+    vectors = encoding.assembler(["x", "y"]).transform(rows)
+    plain, vector = descent.descend(rows, ["x", "y"], steps=4)[1], descent.descend_vectors(vectors, "features", 2, steps=4)[1]
+    for a, b in zip(plain, vector):
+        assert a == pytest.approx(b, rel=1e-9, abs=1e-12)
+
+
+def test_centred_descent_is_descent_on_centred_vectors(view):
+    rows = view.select("label", F.log1p("c02").alias("x"))
+    mean = rows.agg(F.avg("x")).first()[0]
+    there = descent.descend(rows.withColumn("x", F.col("x") - mean), ["x"], steps=3)
+    weights, trace = descent.descend_vectors(encoding.assembler(["x"]).transform(rows), "features", 1, steps=3, centre=True)
+    assert [t[1] for t in trace] == pytest.approx([t[1] for t in there[1]], rel=1e-9)
+    assert weights == pytest.approx([there[0][0] - there[0][1] * mean, there[0][1]], rel=1e-8)
+
+
+def test_descent_on_onehot_vectors_falls_and_nears_logistic(onehot):
+    weights, trace = descent.descend_vectors(onehot.train, "selected_features", onehot.features.size, steps=30, centre=True)
+    losses = [t[1] for t in trace]
+    assert len(weights) == onehot.features.size + 1 and all(b < a for a, b in zip(losses, losses[1:]))
+    model = models.train("logistic", onehot.train, maxIter=100)
+    assert losses[-1] >= model.summary.objectiveHistory[-1] - 1e-9
+    corr = descent.vector_score(onehot.train, weights, "selected_features").withColumnRenamed("probability", "own").drop("prediction")
+    assert model.transform(corr).select("own", vector_to_array("probability")[1].alias("p")).corr("own", "p") > 0.9
+
+
 def test_whole_flows(view):
     for flow, name in ((flows.onehot_logistic, "LR"), (flows.mean_logistic, "LR+BM")):
         _, report = flow(view)

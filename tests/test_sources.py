@@ -110,3 +110,12 @@ def test_staged_tables_of_a_flow_can_be_deleted(spark):
         files = [f.removeprefix("file://").removeprefix("file:") for f in inner.inputFiles()]
         assert inner.count() == 5 and all(Path(f).exists() for f in files)
     assert files and not any(Path(f).exists() for f in files)
+
+
+def test_a_run_written_again_replaces_itself(spark, tmp_path):
+    path = f"{tmp_path}/runs"
+    for run, n in (("a", 3), ("b", 2), ("a", 3), ("c/1", 1)):
+        tables.append_run(spark.range(n), path, run)
+    runs = tables.read_runs(spark, path, spark.range(1).schema)
+    assert {r["run_id"]: r["count"] for r in runs.groupBy("run_id").count().collect()} == {"a": 3, "b": 2, "c/1": 1}
+    assert "PartitionFilters: [isnotnull(run_id" in runs.where("run_id = 'b'")._jdf.queryExecution().executedPlan().toString()
