@@ -90,7 +90,7 @@ def pack(
     counts = rows.groupBy("bucket", "slice").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("bucket", "slice").orderBy("doc_id", "piece")) - 1)
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("bucket", "slice").orderBy("doc_id", "piece", "start", "length")) - 1)
     place = F.col("offset") + F.col("rank")
     return (
         ranked.join(offsets, ["bucket", "slice"])

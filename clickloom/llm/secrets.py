@@ -2,12 +2,15 @@
 
 Candidates are long runs of key-like characters and values after words such as ``password=``. The forest sees a candidate's
 length, its transitions between digits, capitals and small letters, how much of it frequent corpus words cover, the path that
-the document comes from and the words beside it. It is trained from labelled findings; ``labelled_by_format`` makes such
-labels from well-known key formats where no reviewed ones are at hand.
+the document comes from and the words beside it. It is trained from labelled findings; ``labelled_by_evidence`` makes
+such labels where no reviewed ones are at hand.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,7 +21,7 @@ from clickloom.llm.common import SPACE, bounded_sample, documents_of, staged, wo
 
 KEY_WORDS = "password|passwd|pwd|secret|token|api_?key|access_?key|credential"
 CHARS = "A-Za-z0-9_+/=.\\-"
-#: A value after a key word, or a run of at least 16 key characters. Runs without a digit are dropped afterwards.
+#: A value after a key word, or a run of at least 16 key characters. Of the runs, those without a digit are dropped afterwards.
 CANDIDATE = f"(?:(?i:{KEY_WORDS})[ ]?[=:][ ]?[\"']?[^{SPACE}\"']{{6,}}|(?<![{CHARS}])[{CHARS}]{{16,}})"
 # Formats of well-known keys, for labels where no reviewed findings are given.
 FORMATS = (
@@ -29,6 +32,20 @@ FORMATS = (
     r"^xox[abprs]-[A-Za-z0-9-]{10,}$",
     r"^sk_live_[A-Za-z0-9]{16,}$",
 )
+#: The key word and what stands between it and the value.
+ASSIGNED = f"(?i:{KEY_WORDS})[A-Za-z0-9_]*[ ]?[=:][ ]?[\"']?"
+# What a secret is not, by the value after any key word: numbers, dates, versions and addresses in digits; host names and mail
+# domains; paths; words; stand-ins for a value.
+REFUTED = (
+    r"^[0-9][0-9.:/_+=\-]*$",
+    r"^(?:[A-Za-z]+://)?[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}(?:[/:].*)?[.]*$",
+    r"^[.~]?/?(?:[A-Za-z0-9_.\-]*/){2,}[A-Za-z0-9_.\-]*$",
+    r"^[A-Za-z]?[a-z]+(?:[_./=+\-]+[A-Za-z]?[a-z]+)*[0-9]{0,4}[.]*$",
+    r"(?i)(?:example|placeholder|change.?me|your|redacted|dummy|sample|x{4,}|\*{4,}|<|\$\{)",
+)
+PASS_PHRASE = "(?i:password|passwd|pwd|secret)[ ]?[=:][ ]?[\"']?[A-Za-z]+(?:[-_.!#%&*+]+[A-Za-z]+){2,}"
+#: Words before a run of hexadecimal digits that say that it is a checksum.
+CHECKSUM_WORDS = r"(?i)(?:commit|revision|sha-?[0-9]*|md5|checksum|digest|hash)[^A-Za-z0-9]*$"
 REDACTED = "[SECRET]"
 WORD_BUCKETS = 24
 PATH_BUCKETS = 8
@@ -65,7 +82,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     to_here = Window.partitionBy("doc_id", "text_hash").orderBy("pos")
     end = F.sum(F.col("gap") + F.length("value")).over(to_here)
     rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("value")).drop("gap")
-    return rows.where(F.col("value").rlike("[0-9]"))
+    return rows.where(F.col("value").rlike(f"[0-9]|{ASSIGNED}"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY_WORDS) -> list[str]:
@@ -108,13 +125,24 @@ def features(found: DataFrame, known_words: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features").transform(found).drop(*names)
 
 
-def labelled_by_format(found: DataFrame) -> DataFrame:
-    """Adds ``label``: 1.0 for a candidate in a well-known key format, else 0.0."""
-    value, hit = F.col("value"), F.lit(False)
-    in_context = F.concat(F.right(F.col("before"), F.lit(12)), value)
+def labelled_by_evidence(found: DataFrame) -> DataFrame:
+    """Adds ``label``. 1.0: a well-known key format; a password of three words or more; a value with letters and digits after a key word,
+    or a long run of small letters, capitals and digits, that nothing refutes. 0.0: something refutes it (``REFUTED``; hexadecimal
+    digits after a word such as commit). NULL: neither; these are not learned from, and the forest judges them by what it knows.
+    """
+    value, before, known = F.col("value"), F.col("before"), F.lit(False)
+    in_context = F.concat(F.right(before, F.lit(12)), value)
     for f in FORMATS:
-        hit = hit | value.rlike(f) | in_context.rlike(f)
-    return found.withColumn("label", hit.cast("double"))
+        known = known | value.rlike(f) | in_context.rlike(f)
+    body = F.regexp_replace(value, f"^.*{ASSIGNED}", "")
+    keyed = value.rlike(ASSIGNED) | before.rlike(f"{ASSIGNED}$")
+    refuted = reduce(or_, [body.rlike(f) for f in REFUTED]) | (body.rlike("^[0-9a-fA-F]+$") & before.rlike(CHECKSUM_WORDS))
+    varied = F.size(F.array_distinct(F.split(body, "")))
+    mixed = body.rlike("[0-9]") & body.rlike("[A-Za-z]")
+    likely = (keyed & mixed & (F.length(body) >= 10)) | (mixed & body.rlike("[a-z]") & body.rlike("[A-Z]") & (F.length(body) >= 20) & (varied >= 10))
+    plain_word = keyed & ~body.rlike("[0-9]") & ~body.rlike(REFUTED[-1])
+    phrase = plain_word & value.rlike(PASS_PHRASE)
+    return found.withColumn("label", F.when(known | phrase | (likely & ~refuted), 1.0).when(refuted & ~plain_word, 0.0))
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS, trees: int = 20, depth: int = 8, seed: int = 7) -> RandomForestClassificationModel | None:
@@ -130,12 +158,12 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS, trees: int = 20, depth: int =
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """The candidates with ``probability`` and ``is_secret``.
 
-    ``labelled`` has the columns of ``candidates`` and ``label``; without it, formats give the labels. Without both labels all
+    ``labelled`` has the columns of ``candidates`` and ``label``; without it, evidence gives the labels. Without both labels all
     candidates stay, with a NULL probability.
     """
     known = dictionary(docs, text_col)
     found = staged(features(candidates(docs, id_col, text_col, path_col), known), "secret-candidates")
-    model = fit(labelled_by_format(found) if labelled is None else features(labelled, known))
+    model = fit((labelled_by_evidence(found) if labelled is None else features(labelled, known)).where("label is not null"))
     if model is None:
         return found.drop("features").withColumn("probability", F.lit(None).cast("double")).withColumn("is_secret", F.lit(True))
     scored = model.transform(found).withColumn("p", vector_to_array("probability")[1]).drop("features", "rawPrediction", "prediction", "probability")
@@ -146,14 +174,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     """A row for each row of ``docs``: ``doc_id``, ``n_candidates``, ``n_secrets``, ``positions`` (numbers of the secrets among all
     matches of ``CANDIDATE``, ascending) and ``spans`` (``start:end`` of the secrets in code points, comma-joined).
 
-    NULL or empty texts have none. Rows with the same id and text are alike; rows with the same id and different texts share
-    the sums of both, and so do all rows without an id. Empty table: no rows. Other columns are left out.
+    NULL or empty texts have none. Each row has the findings of its own text, whether ids are repeated or missing. Empty table: no
+    rows. Other columns are left out.
     """
     found = findings(docs, id_col, text_col, path_col, labelled, threshold)
     secret = F.col("is_secret")
     places = F.sort_array(F.collect_list(F.when(secret, F.struct("start", "end", "pos"))))
-    by_doc = found.groupBy(F.col("doc_id").alias("_doc")).agg(F.count(F.lit(1)).alias("n_candidates"), F.count_if(secret).alias("n_secrets"), places.alias("places"))
-    rows = docs.select(F.col(id_col).alias("doc_id")).join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    # Findings are gathered for one text at most.
+    by_text = found.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).agg(F.count(F.lit(1)).alias("n_candidates"), F.count_if(secret).alias("n_secrets"), places.alias("places"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
+    rows = rows.join(by_text, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
     return rows.select(
         "doc_id",
         F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"),

@@ -102,7 +102,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "y", "size", "f"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    sample = staged(texts.mapInArrow(run, f"doc_id {kind}, y int, size int, f array<bigint>"), "toxic-sample")
+    # Rows are told apart by number: several may have one labelled id.
+    sample = texts.mapInArrow(run, f"doc_id {kind}, y int, size int, f array<bigint>").withColumn("row", F.monotonically_increasing_id())
+    sample = staged(sample, "toxic-sample")
     total = sample.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") > 0).alias("bad")).first()
     n, bad = total["n"], total["bad"]
     if not 0 < bad < n:
@@ -115,9 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     best = counts.where((F.col("b") >= 3) & (surplus > 0)).withColumn("chi", chi).orderBy(F.desc("chi"), "f").limit(n_features).where("chi > 6")
     best = staged(best, "toxic-features")
     numbers = {r["f"]: k for k, r in enumerate(best.orderBy(F.desc("chi"), "f").collect())}
-    kept = sample.select("doc_id", "y", "size", F.explode("f").alias("f")).join(F.broadcast(best.select("f")), "f")
-    kept = kept.groupBy("doc_id", "y", "size").agg(F.sort_array(F.collect_list("f")).alias("f"))
-    table = sample.select("doc_id", "y", "size").join(kept.select("doc_id", "f"), "doc_id", "left").orderBy("doc_id").collect()  # at most ``rows`` rows of ``n_features`` numbers
+    kept = sample.select("row", F.explode("f").alias("f")).join(F.broadcast(best.select("f")), "f")
+    kept = kept.groupBy("row").agg(F.sort_array(F.collect_list("f")).alias("f"))
+    table = sample.select("row", "doc_id", "y", "size").join(kept, "row", "left").orderBy("doc_id", "size", "f").collect()  # at most ``rows`` rows of ``n_features`` numbers
     found = [np.array([numbers[f] for f in r["f"] or []], dtype=np.int64) for r in table]
     y, size = np.array([r["y"] for r in table]), np.array([r["size"] for r in table])
     grades = np.minimum(y, GRADES - 1) if y.max() > 1 else grades_from(y, np.array([len(f) for f in found]), size)

@@ -133,3 +133,14 @@ def test_labels_go_before_words_in_hosts(spark):
     assert {tuple(r) for r in got} == {("antispam.example", 50, 0), ("spam.example", 50, 0), ("best-pills.test", url_filter.WORD_OUTCOMES, url_filter.WORD_OUTCOMES)}
     verdicts = {r["host"]: r["verdict"] for r in url_filter.judge(pages, url_filter.outcomes(pages, labels)).collect()}
     assert verdicts == {"antispam.example": "allow", "spam.example": "allow", "spills.example": "allow", "best-pills.test": "block"}
+
+
+def test_toxicity_learns_each_row_of_a_repeated_id(spark):
+    """Many rows with one labelled id stay as many rows, each with its own features."""
+    clean, bad = "the river runs along the old wall ", "you worthless miserable fool be silent "
+    rows = [(1, clean * (1 + i % 3)) for i in range(150)] + [(2, bad * (1 + i % 3)) for i in range(150)]
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(docs, labels)
+    got = {(r["doc_id"], r["toxic"]) for r in toxicity.predict(docs, model).collect()}
+    assert len(model.weights) > 0 and {bool(t) for d, t in got if d == 1} == {False} and {bool(t) for d, t in got if d == 2} == {True}

@@ -1,7 +1,9 @@
 """Secrets, personal data, packing and the pipeline."""
 
 import itertools
+import random
 import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +35,55 @@ def test_forest_learns_from_labelled_findings(spark):
     assert all((r["n_secrets"] == 1) == (r["doc_id"] >= 100) for r in got)
 
 
+def other_formats(i: int) -> str:
+    """Keys in formats that ``FORMATS`` does not list."""
+    rnd = random.Random(i)
+    run = lambda n, pool=string.ascii_letters + string.digits: "".join(rnd.choice(pool) for _ in range(n))
+    return [
+        f"api_key={run(24)}", f"secret: S3cr3t!{run(9)}", f"aws_secret_access_key = {run(40, string.ascii_letters + string.digits + '+/')}", f"AIza{run(35)}",
+        f"password=correct-horse-battery-{rnd.choice(['staple', 'candle', 'engine'])}", f"glpat-{run(20)}", f"client_secret='{run(30)}'", f"SG.{run(22)}.{run(43)}",
+    ][i % 8]
+
+
+def harmless(i: int) -> str:
+    rnd = random.Random(i)
+    return [
+        f"call +44 20 7946 {rnd.randrange(1000, 9999)}", f"commit {rnd.randrange(16**40):040x}", f"see https://www.site{i}.example/guide/page{i}.html", f"on 2024-05-{10 + i % 20}T10:00:00",
+        f"card {rnd.randrange(10**15, 10**16)}", f"/usr/lib/python3.{i % 9}/site-packages/module", f"version 1.{i}.0.20240101", f"mail person{i}@department{i % 7}.example.org",
+    ][i % 8]
+
+
+def test_secrets_of_unlisted_formats(spark):
+    """Recall on formats outside the list and on passwords of words, and precision beside what only looks like keys."""
+    rows = [(i, f"The old wall and {harmless(i)} there.") for i in range(400)] + [(1000 + i, f"The old wall and {other_formats(i)} there.") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["n_secrets"] for r in secrets.scan(docs).collect()}
+    found, wrong = sum(got[1000 + i] > 0 for i in range(400)), sum(got[i] > 0 for i in range(400))
+    missed = [other_formats(i) for i in range(400) if not got[1000 + i]]
+    assert found >= 0.9 * 400, missed
+    assert found / (found + wrong) >= 0.95
+
+
+def test_rows_without_an_id_have_their_own_secrets(spark):
+    key = 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"'
+    rows = [(None, f"a {key}"), (None, "nothing here"), (6, "nothing here"), (6, f"in the end {key}"), (7, "mail person12345@site.example now")]
+    got = [(r["doc_id"], r["n_secrets"], r["spans"]) for r in secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    expected = [(None, 1, "2:51"), (None, 0, ""), (6, 0, ""), (6, 1, "11:60"), (7, 0, "")]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_numbers_of_thousands_of_digits(spark):
+    rows = [(1, "0" * 5000 + ".1.1.1"), (2, "9" * 5000 + ".1.1.1"), (3, "1.2.3." + "0" * 4999 + "4"), (4, "7 " * 6000), (5, "1" * 9000 + ". " + "2" * 5000)]
+    got = {r["doc_id"]: r["n_ip"] for r in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: 1, 2: 0, 3: 1, 4: 0, 5: 0}
+
+
+def test_pieces_that_tie_in_id_and_number_pack_alike(spark):
+    rows = [(None, "a " * n) for n in (5, 9, 7, 9, 6, 8)] * 30
+    one, two = (sorted(map(tuple, packing.pack(spark.createDataFrame(r, "doc_id bigint, text string").repartition(k), buckets=1).collect()), key=str) for r, k in ((rows, 1), (rows[::-1], 7)))
+    assert one == two
+
+
 def test_redaction_replaces_only_the_named_candidates(spark):
     df = spark.createDataFrame([('a token = "24be64439e3e49cf46b2d7c90f" b 4785380592391139 c', [0]), ("x", []), (None, None)], "t string, p array<int>")
     got = [r[0] for r in df.select(secrets.redacted(F.col("t"), F.col("p"))).collect()]
