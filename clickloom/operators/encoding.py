@@ -94,7 +94,7 @@ class TargetMeanEncoder:
 def encoder_from_counts(counts: DataFrame, columns: list[str], fill: float | str = 0.0) -> TargetMeanEncoder:
     """An encoder from counts per category (``feature, value, n, n_positive``), stored and counted per column."""
     means = counts.withColumn("mean", F.col("n_positive") / F.col("n")).sortWithinPartitions("feature")
-    return encoder_of(stage(means, "target-means"), columns, fill)
+    return encoder_of(stage(means, "target-means", keep=True), columns, fill)
 
 
 def encoder_of(means: DataFrame, columns: list[str], fill: float | str = 0.0) -> TargetMeanEncoder:

@@ -38,10 +38,10 @@ from clickloom.operators.encoding import (
 )
 from clickloom.operators.evaluate import evaluation_report
 from clickloom.operators.models import FULL_GBT, FULL_LOGISTIC, classifier, score_batch, train
-from clickloom.operators.sampling import assign_split
+from clickloom.operators.sampling import assign_fold, assign_split
 from clickloom.operators.tuning import GRIDS, best_params, cross_validate
 from clickloom.schema import LABEL, categorical_columns, numeric_columns
-from clickloom.sources.tables import read_parquet, stage, write_parquet
+from clickloom.sources.tables import read_parquet, stage, staging, write_parquet
 
 PART = "data"
 
@@ -117,12 +117,13 @@ def prepare_onehot(
     """
     categorical, numeric = categorical_columns(df, exclude=(key,)), numeric_columns(df)
     df = log_transform(impute_blank(assign_split(df, key, column=PART), categorical), numeric)
-    counts = stage(frequent_counts(_fit_rows(df, fit_on), categorical, LABEL, min_fraction), "category-counts")
-    folding = fit_folding(counts, categorical, min_fraction)
-    order = category_order(fold_counts(counts, folding.threshold), categorical)
-    df = folding.apply(df)
-    features = fit_onehot_features(_fit_rows(df, fit_on), order, numeric, drop_last, with_mean)
-    rows = stage(features.apply(df, [key, LABEL, PART]), "onehot-features", partition_by=(PART,))
+    with staging(df.sparkSession):
+        counts = stage(frequent_counts(_fit_rows(df, fit_on), categorical, LABEL, min_fraction), "category-counts", keep=True)
+        folding = fit_folding(counts, categorical, min_fraction)
+        order = category_order(fold_counts(counts, folding.threshold), categorical)
+        df = folding.apply(df)
+        features = fit_onehot_features(_fit_rows(df, fit_on), order, numeric, drop_last, with_mean)
+        rows = stage(features.apply(df, [key, LABEL, PART]), "onehot-features", (PART,), keep=True)
     return Prepared(rows, features, folding, None, categorical, numeric)
 
 
@@ -141,22 +142,26 @@ def encode_means(
         return encoder.apply(df, **options), None, encoder
     df = impute_blank(df, categorical)
     train_rows = df.where(F.col(PART) == "Train")
-    counts = stage(frequent_counts(train_rows, categorical, LABEL, min_fraction), "category-counts")
+    counts = stage(frequent_counts(train_rows, categorical, LABEL, min_fraction), "category-counts", keep=True)
     folding = fit_folding(counts, categorical, min_fraction)
     encoder = encoder_from_counts(fold_counts(counts, folding.threshold), categorical)
     return encoder.apply(folding.apply(df), **options), folding, encoder
 
 
 def prepare_means(
-    df: DataFrame, key: str = "rk", fold: bool = True, min_fraction: float = MIN_FRACTION, with_mean: bool = True
+    df: DataFrame, key: str = "rk", fold: bool = True, min_fraction: float = MIN_FRACTION, with_mean: bool = True, **options
 ) -> Prepared:
-    """Target-mean flow over a stored table: fold (optional), encode, log, assemble, standardise on the training part."""
+    """Target-mean flow over a stored table: fold (optional), encode, log, assemble, standardise on the training part.
+
+    Of what it stores on the way, only the feature rows, the counts and the means stay.
+    """
     numeric = numeric_columns(df)
-    encoded, folding, encoder = encode_means(df, key, fold, min_fraction)
-    columns = [c + MEAN_SUFFIX for c in encoder.columns]
-    logged = encoded.withColumns({c: signed_log(c) for c in columns + numeric})
-    features = fit_mean_features(logged.where(F.col(PART) == "Train"), columns, numeric, with_mean)
-    rows = stage(features.apply(logged, [key, LABEL, PART]), "mean-features", partition_by=(PART,))
+    with staging(df.sparkSession):
+        encoded, folding, encoder = encode_means(df, key, fold, min_fraction, **options)
+        columns = [c + MEAN_SUFFIX for c in encoder.columns]
+        logged = encoded.withColumns({c: signed_log(c) for c in columns + numeric})
+        features = fit_mean_features(logged.where(F.col(PART) == "Train"), columns, numeric, with_mean)
+        rows = stage(features.apply(logged, [key, LABEL, PART]), "mean-features", (PART,), keep=True)
     return Prepared(rows, features, folding, encoder, encoder.columns, numeric)
 
 
@@ -245,3 +250,10 @@ def grid_search(kind: str, prepared: Prepared, name: str, grid: str | None = Non
     points = GRIDS[grid or kind]
     found = cross_validate(classifier(kind, features), points, prepared.train, **options)
     return found, best_params(found, points), report(found.bestModel, prepared, name)
+
+
+def gbt_batch_search(df: DataFrame, key: str = "rk", grid: str = "gbt_batch", **options):
+    """The search of the published batch script: boosted trees on one-hot features, 12 grid points on 3 folds by key hash."""
+    prepared = prepare_onehot(df, key, **options)
+    prepared.rows = assign_fold(prepared.rows, key)
+    return grid_search("gbt", prepared, "GBT+CV", grid=grid, fold_col="fold")

@@ -385,6 +385,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT (SELECT count(*) FROM counts) AS n_categories, {len(NUMERIC)} AS n_numeric,
               CAST((SELECT count(*) FROM counts) + {len(NUMERIC)} AS INTEGER) AS vector_size""",
         "numeric_describe": f"WITH {TV} {describe(NUMERIC)}",
+        "merged_numeric_profile": f"""WITH {TV} {" UNION ALL ".join(
+            f"SELECT '{c}' AS feature, count({c}) AS n, count(*) - count({c}) AS n_missing, round(avg({c}), {DESCRIBE_DIGITS}) + 0e0 AS mean, "
+            f"round(stddev_samp({c}), {DESCRIBE_DIGITS}) + 0e0 AS stddev, min({c}) AS min, max({c}) AS max FROM tv" for c in NUMERIC)}""",
         "null_audit": f"WITH {TV} {audit}",
         "null_audit_encoded": f"""WITH {TV}, {CLEAN_TRAIN}, {mean_tables('trained')},
             enc AS (SELECT *, {SPLIT} AS data FROM ({encoded('clean', 'true')})) {audit_encoded}""",

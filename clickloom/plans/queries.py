@@ -76,11 +76,27 @@ def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.stage(counts, "category-counts")
 
 
+def frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact counts of the filled categories that folding keeps, the others summed: long columns are not counted in full."""
+    rows = cleaning.impute_blank(stored_view(spark, sf_dir), CATEGORICAL)
+    return tables.stage(cleaning.frequent_counts(rows, CATEGORICAL), "category-counts")
+
+
 def folded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = cleaning.fill_counts(raw_counts(spark, sf_dir), CATEGORICAL)
+    counts = frequent(spark, sf_dir)
     return cleaning.fold_counts(counts, cleaning.count_threshold(counts))
 
 
+def merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile states of three parts of the rows, each stored for itself, merged."""
+    path = tables.stage_path(spark, "profile-states")
+    rows = sampling.assign_fold(stored_view(spark, sf_dir), KEY)
+    for k in range(3):
+        part = rows.where(F.col("fold") == k)
+        tables.write_parquet(profile.profile_state(part, NUMERIC, CATEGORICAL), path, mode="append")
+    return profile.merge_states(tables.read_parquet(spark, path))
+
+
 def toy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log1p and z-score of c01, and one category of b03 by equality."""
     rows = training_view(spark, sf_dir).select(KEY, "c01", "b03", "label").withColumn("c01_t", F.log1p("c01"))
@@ -213,8 +229,9 @@ def categorical_profile(spark, sf_dir):
 
 @query
 def kept_categories(spark, sf_dir):
-    counts = cleaning.fill_counts(raw_counts(spark, sf_dir), CATEGORICAL)
-    return cleaning.kept_categories(counts, cleaning.count_threshold(counts)).select("feature", "value", "n")
+    counts = frequent(spark, sf_dir)
+    kept = cleaning.kept_categories(counts, cleaning.count_threshold(counts)).where(F.col("value") != cleaning.RARE_TOKEN)
+    return kept.select("feature", "value", "n")
 
 
 @query
@@ -246,6 +263,25 @@ def numeric_describe(spark, sf_dir):
     return described.withColumns({c: F.round(c, DESCRIBE_DIGITS) for c in ("mean", "stddev")})
 
 
+@query
+def merged_numeric_profile(spark, sf_dir):
+    """Exact columns of the merged numeric profile."""
+    found = profile.numeric_from_state(merged_state(spark, sf_dir), NUMERIC)
+    return found.select("feature", "n", "n_missing", *[F.round(c, DESCRIBE_DIGITS).alias(c) for c in ("mean", "stddev")], "min", "max")
+
+
+@query
+def merged_quantiles(spark, sf_dir):
+    """Quartiles from merged sketches, within ``profile.QUANTILE_ERROR`` of their rank."""
+    return profile.numeric_from_state(merged_state(spark, sf_dir), NUMERIC).select("feature", "q1", "median", "q3")
+
+
+@query
+def merged_categorical_profile(spark, sf_dir):
+    """Blank rows (exact), distinct values (estimated) and the most frequent values, from merged states."""
+    return profile.categorical_from_state(merged_state(spark, sf_dir), CATEGORICAL)
+
+
 @query
 def null_audit(spark, sf_dir):
     return profile.null_audit(training_view(spark, sf_dir))
@@ -775,14 +811,6 @@ def cross_validate_gbt(spark, sf_dir):
     return flows.grid_search("gbt", prepared, "GBT+CV", fold_col="fold")[2]
 
 
-@query
-def cross_validate_gbt_batch(spark, sf_dir):
-    """The search of the batch script: 12 points around boosted trees of 20 steps, on one-hot features."""
-    prepared = onehot(spark, sf_dir)
-    prepared.rows = sampling.assign_fold(prepared.rows, KEY)
-    return flows.grid_search("gbt", prepared, "GBT+CV", grid="gbt_batch", fold_col="fold")[2]
-
-
 @query
 def cross_validate_logistic(spark, sf_dir):
     prepared = means(spark, sf_dir)

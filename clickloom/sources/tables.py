@@ -102,10 +102,14 @@ def staging(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(conf).delete(folder, True)
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor re-reads a file."""
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor re-reads a file.
+
+    With ``keep`` it outlives the innermost ``staging``, as a part of its result, and belongs to the one around it.
+    """
     path = stage_path(df.sparkSession, name)
-    for paths in _staged[-1:]:
+    owners = _staged[:-1] if keep else _staged
+    for paths in owners[-1:]:
         paths.append(path)
     write_parquet(df, path, partition_by=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
