@@ -9,13 +9,16 @@ Within a group the tokens whose bytes overlap are linked; how often two ids are
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,11 @@ TOKENIZERS = "/opt/tokenizers"
 BATCH_BYTES = 1 << 20
 #: At most so many id pairs, the most frequent ones, are broadcast (three numbers each); the others are joined by a shuffle.
 BROADCAST_PAIRS = 1_000_000
+#: Fixed value: how byte-level vocabularies of this kind cut a text into words before they encode each.
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts of these characters alone, whose classes are the same in every Unicode version, and without very long words or gaps.
+PLAIN = regex.compile(r"[\t\n\r\x20-\x7E\xA1-\u024F]*")
+LONG = re.compile(r"\S{1000}|\s{1000}")
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -56,7 +64,30 @@ def open_coder(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[
     table = [b""] * model.get_vocab_size()
     for entry, i in model.get_vocab().items():
         table[i] = bytes(byte_of[c] for c in entry)
-    return (lambda texts: [e.ids for e in model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]), table
+    fast = _by_rank(path, table)
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        spaced = [" " + t for t in texts]
+        plain = [fast is not None and bool(PLAIN.fullmatch(t)) and not LONG.search(t) for t in spaced]
+        whole = iter(model.encode_batch_fast([t for t, p in zip(spaced, plain) if not p], add_special_tokens=False))
+        return [fast.encode_ordinary(t) if p else next(whole).ids for t, p in zip(spaced, plain)]
+
+    return encode, table
+
+
+def _by_rank(path: str, table: list[bytes]):
+    """The same vocabulary for a faster encoder, which merges the pair with the smallest id first. That is the order of the file's
+    merges if the k-th one makes the id 256 + k; if it does not, or words are cut otherwise, there is no such encoder."""
+    with open(path, encoding="utf-8") as f:
+        stored = json.load(f)
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in stored["model"].get("merges", [])]
+    vocab, cut = stored["model"]["vocab"], stored.get("pre_tokenizer") or {}
+    in_order = all(vocab.get(x + y) == 256 + k for k, (x, y) in enumerate(merges))
+    if stored["model"]["type"] != "BPE" or stored.get("normalizer") or not in_order or (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) != ("ByteLevel", False, True):
+        return None
+    import tiktoken
+
+    return tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks={table[i]: i for i in range(256 + len(merges))}, special_tokens={})
 
 
 def _ranges(lengths: np.ndarray) -> np.ndarray:
@@ -101,6 +132,11 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, a_lo: np.ndarray, a_hi:
     return np.sort(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
 
 
+@lru_cache(maxsize=4)
+def _lengths(path: str) -> np.ndarray:
+    return np.array([len(x) for x in open_coder(path)[1]])
+
+
 @lru_cache(maxsize=4)
 def _written(n_a: int, n_b: int) -> np.ndarray:
     """Ids as they are written: of A inside and at the end of a group's part, then of B."""
@@ -117,14 +153,14 @@ def align_texts(texts: list[str | None], path_a: str, path_b: str) -> dict[str,
     good = []
     for k, i in enumerate(some):
         whole = b" " + texts[i].encode()
-        if b"".join([bytes_a[x] for x in ids_a[k]]) == whole and b"".join([bytes_b[x] for x in ids_b[k]]) == whole:
+        if b"".join(map(bytes_a.__getitem__, ids_a[k])) == whole and b"".join(map(bytes_b.__getitem__, ids_b[k])) == whole:
             good.append(k)
     out = {c: [0] * len(texts) for c in ("n_a", "n_b", "n_groups", "n_links")} | {"groups": [""] * len(texts), "pairs": [[]] * len(texts), "times": [[]] * len(texts)}
     if not good:
         return out
     n_a, n_b = (np.array([len(ids[k]) for k in good]) for ids in (ids_a, ids_b))
     a, b = (np.concatenate([np.array(ids[k], dtype=np.int64) for k in good]) for ids in (ids_a, ids_b))
-    ends_a, ends_b = (np.cumsum(np.array([len(x) for x in table])[ids]) for table, ids in ((bytes_a, a), (bytes_b, b)))
+    ends_a, ends_b = np.cumsum(_lengths(path_a)[a]), np.cumsum(_lengths(path_b)[b])
     last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
     inner = shared_cuts(ends_a, ends_b, last_a - n_a, last_a)
     cut_a, cut_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)

@@ -88,6 +88,22 @@ def test_texts_against_brute_force():
     assert some > 40
 
 
+def test_fast_encoding_is_the_same():
+    """On plain texts the encoder by rank, on others the whole one: always the ids of the file's own tokenizer."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(A)
+    tok.encode_special_tokens = True
+    encode, table = al.open_coder(A)
+    assert al._by_rank(A, table) is not None
+    rnd, pool = random.Random(1), " \t\n\r'¡²¼ª×ǅŉsdtmlvre019aZ.,-_<|>é \x85\x1c\u00a0北🙂\u0301"
+    texts = ["".join(rnd.choice(pool[: rnd.choice([20, 34, len(pool)])]) for _ in range(rnd.randrange(1, 60))) for _ in range(20000)]
+    texts += [table[i].decode("utf-8", "ignore") for i in range(len(table))] + ["a" * 3000 + " " * 3000, "don't we'll  <|endoftext|>"]
+    plain = sum(al.PLAIN.fullmatch(t) is not None for t in texts)
+    assert 10000 < plain < len(texts)
+    assert encode(texts) == [e.ids for e in tok.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+
+
 def rows_of(texts):
     return [(i % 13 if i % 5 else None, t, "x", 1) for i, t in enumerate(texts)]
 
