@@ -37,6 +37,8 @@ RUN_BYTES = 12_000_000
 PIECE = 2_000_000
 #: Bytes of text for each part.
 PART_BYTES = 8_000_000
+#: At most so many tasks merge the parts; with more parts than that a task merges several, one after the other. It changes the plan only.
+MOST_TASKS = 50_000
 #: Merged suffixes that are settled together.
 BLOCK = 40_000
 NO_ID = -(1 << 63)
@@ -340,7 +342,10 @@ def repeated(docs: DataFrame, n_parts: int) -> DataFrame:
             yield from part(payloads)
 
     sent = docs.mapInArrow(send, SENT)
-    dealt = sent.repartition(F.when(F.col("part") >= 0, F.col("part")).otherwise(-F.pmod(F.xxhash64("payload"), F.lit(n_parts)).cast("int")))
+    # Each part has its own task, whatever the session's number of shuffle partitions; what is settled within a run goes anywhere.
+    task = F.when(F.col("part") >= 0, F.col("part").cast("bigint")).otherwise(F.xxhash64("payload"))
+    n_tasks = min(n_parts, MOST_TASKS)
+    dealt = sent.repartitionById(n_tasks, F.pmod(task, F.lit(n_tasks)).cast("int"))
     return dealt.sortWithinPartitions("part").mapInArrow(receive, MARKS)
 
 
