@@ -6,6 +6,9 @@ a benchmark item has the same number, unit or name must have one and the same va
 So a question is found again with other names and numbers, but only if they are exchanged consistently. Each occurrence in a
 document is checked by itself, so variants of a question that stand beside it do not hide it.
 
+Items that have no such window, as they are shorter or have placeholders only, have nothing that a template could hold on to.
+They are looked for with their real words and numbers: a shorter one as a whole text, a longer one by its windows.
+
 A capitalised word counts as a name if its lower-cased form is no word of the benchmark. Whether a word or a window can occur
 in the benchmark is asked of two bitmaps of a fixed size, made from all of it; the join then decides.
 """
@@ -114,6 +117,18 @@ class Templates:
             h ^= h >> np.uint64(31)
         return at, h
 
+    def plain(self, words: list[str], ids: np.ndarray) -> list[tuple[int, int]]:
+        """Positions and hashes of what has no template: a whole text shorter than a window, or windows of placeholders only, with their real values."""
+        if len(words) < self.size:
+            return [(0, self.real_hash(words))] if words else []
+        other = np.r_[0, np.cumsum((ids == 0) | (ids > NAME))]
+        at = np.flatnonzero(other[self.size :] == other[: len(words) - self.size + 1])
+        return [(p, self.real_hash(words[p : p + self.size])) for p in at.tolist()]
+
+    @staticmethod
+    def real_hash(words: list[str]) -> int:
+        return xxhash.xxh64_intdigest("\n".join(words).lower().encode("utf-8", "surrogatepass"))
+
     def slots(self, words: list[str], ids: np.ndarray, at: int) -> list[str]:
         return [words[k].lower() for k in range(at, at + self.size) if ids[k] <= NAME]
 
@@ -122,7 +137,10 @@ WINDOW_SCHEMA = "part bigint, h bigint, at array<int>, slots array<string>"
 
 
 def _windows(rows: DataFrame, templates: Templates, wanted: Bitmap | None) -> DataFrame:
-    """``doc_id``, the hash ``part`` of the text, and the windows of each row that ``wanted`` may have. Repeats within a row come once, with all their positions."""
+    """``doc_id``, the hash ``part`` of the text, and the windows of each row that ``wanted`` may have. Repeats within a row come once, with all their positions.
+
+    Without ``wanted`` the rows are items: those that have a window are found by these alone, the others by their real words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,10 +148,16 @@ def _windows(rows: DataFrame, templates: Templates, wanted: Bitmap | None) -> Da
             for name, text in zip(batch.column(0), batch.column(1).to_pylist()):
                 words, tokens = templates.tokens(text)
                 at, h = templates.windows(tokens)
+                plain = templates.plain(words, tokens) if wanted is not None or not len(at) else []
                 if wanted is not None:
                     keep = wanted.has(h)
                     at, h = at[keep], h[keep]
+                    if plain:
+                        has = wanted.has(np.array([x for _, x in plain], dtype=np.uint64)).tolist()
+                        plain = [x for x, y in zip(plain, has) if y]
                 seen: dict[tuple, list[int]] = {}
+                for p, x in plain:
+                    seen.setdefault((x - (1 << 64) if x >> 63 else x,), []).append(p)
                 for p, x in zip(at.tolist(), h.view(np.int64).tolist()):
                     seen.setdefault((x, *templates.slots(words, tokens, p)), []).append(p)
                 part = _word_hash(text) if seen else 0
@@ -166,8 +190,9 @@ def matches(
     Windows are taken together that stand in one text at the same distance from their place in the item, or at nearly the same
     one (words may be put in or left out: within half of the item's windows), or anywhere in the document. In each such group a
     window is found if its slots agree with the group's value that is most frequent for the item's value (ties: the smallest);
-    the group with the most windows counts. Items shorter than a window cannot match, nor can empty or NULL texts. Rows with
-    the same id count as one document, and so do rows without an id, which appear with a NULL id. Empty tables: no rows.
+    the group with the most windows counts. An item of fewer words than a window matches a text that has the same words, upper or
+    lower case, and no others; an item of placeholders only is found by its windows with their real values. Empty or NULL texts
+    cannot match. Rows with the same id count as one document, and so do rows without an id, which appear with a NULL id. Empty tables: no rows.
     """
     items = documents_of(benchmark, item_col, item_text_col)
 

@@ -185,3 +185,53 @@ def test_question_beside_its_variants(spark):
     found = decontamination.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()
     assert {r["doc_id"] for r in found} == {1, 2, 3, 5}
     assert all(r["coverage"] == 1.0 for r in found if r["doc_id"] != 2)
+
+
+def test_items_without_a_template_window(spark):
+    """Items of fewer than five words, and of numbers, units and names only, are found by their real words."""
+    items = spark.createDataFrame([(1, "What is gravity?"), (2, "12, 15 and 9"), (3, "3 7 11 15 19 23 27"), (4, "Paris"), (5, "...")], "item_id bigint, text string")
+    table = " ".join(str(k * 17 % 1009) for k in range(5000))
+    rows = [
+        (1, "what is  GRAVITY"), (2, "12, 15 and 9"), (3, "The sequence goes on as 3 7 11 15 19 23 27 and so on for ever."), (4, "paris."),
+        (5, "12, 15 and 8"), (6, "What is gravity? Nobody in the town knows it."), (7, "3 7 11 15 19 24 28 here"), (8, "London"), (9, "..."), (10, None), (11, table), (11, table), (12, "4 8 12 16 20 24 28"),
+    ]
+    got = decontamination.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 1), (2, 2), (3, 3), (4, 4)}
+    assert {r["item_id"]: (r["n_windows"], r["n_found"]) for r in got} == {1: (1, 1), 2: (1, 1), 3: (3, 3), 4: (1, 1)}
+
+
+def test_reparameterised_items_by_the_hundred(spark):
+    """Every third item is planted with other names and numbers, exchanged consistently; as many copies mix theirs and must not match."""
+    rng = np.random.default_rng(11)
+    verbs, things = "carries sells paints counts repairs borrows".split(), "apples lamps chairs ropes stones bottles".split()
+    names = ["Anna", "Boris", "Clara", "Dmitri", "Elena", "Farid", "Greta", "Hugo"]
+
+    def question(k, name, a, b, wrong=None):
+        verb, thing, other = verbs[k % 6], things[k // 6 % 6], things[k // 36 % 6]
+        end, last, rest = wrong or (name, a, b)
+        return f"{name} {verb} {a} {thing} near the market of row{chr(97 + k % 26)} and {b} {other} on each visit. How many {thing} has {end} left when {last} {thing} and {rest} {other} are gone from place{chr(97 + k // 26)}?"
+
+    items = [(k, question(k, names[k % 8], 10 + k, 400 + k)) for k in range(300)]
+    vocabulary = " ".join([*verbs, *things])
+    docs, want = [], set()
+    for k in range(0, 300, 3):
+        a, b = (int(x) for x in rng.choice(np.arange(1000, 9999), 2, replace=False))
+        docs.append((k, f"Before it {vocabulary}. {question(k, names[(k + 3) % 8], a, b)} After it."))
+        want.add((k, k))
+        docs.append((1000 + k, f"Before it. {question(k, names[(k + 3) % 8], a, b, (names[(k + 5) % 8], a + 1, b + 1))} After it."))
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.matches(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert len(want & got) >= 0.95 * len(want)
+    assert not any(d >= 1000 for d, _ in got)
+
+
+def test_parts_have_their_own_tasks(spark, monkeypatch):
+    """Results do not depend on the number of parts or tasks, and parts are dealt by number, not by the session's shuffle partitions."""
+    monkeypatch.setattr(repeats, "PART_BYTES", 20_000)
+    docs = read_table(spark, SF, "documents").where("doc_id < 300")
+    want = {(r["doc_id"], r["n_removed"], r["n_spans"]) for r in repeats.remove(docs).collect()}
+    sent = repeats.repeated(docs.selectExpr("doc_id as id", "xxhash64(text) as text_hash", "cast(text as binary) as text").where("text is not null"), 97)
+    assert sent.rdd.getNumPartitions() == 97
+    monkeypatch.setattr(repeats, "MOST_TASKS", 5)
+    assert {(r["doc_id"], r["n_removed"], r["n_spans"]) for r in repeats.remove(docs).collect()} == want
+    monkeypatch.setattr(repeats, "PART_BYTES", 8_000_000)
+    assert {(r["doc_id"], r["n_removed"], r["n_spans"]) for r in repeats.remove(docs).collect()} == want
