@@ -41,9 +41,8 @@ URL_RULES = (
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    labelled = url_filter.outcomes(pages, read_table(spark, sf_dir, "labels"))
-    return url_filter.judge(pages, labelled, URL_RULES)
+    pages = read_table(spark, sf_dir, "pages")  # `labels` is about documents, no page of the tables has a reviewed outcome
+    return url_filter.judge(pages, url_filter.content_outcomes(pages), URL_RULES)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,12 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm import quality_rules
 from clickloom.llm.common import salted_lookup, staged
 
 # Second-level names under which a two-letter country suffix is registered one level deeper.
 SECOND_LEVEL = ("co", "com", "org", "net", "ac", "gov", "edu")
 #: Parts of a host, between dots and hyphens, that make weak bad outcomes where no page of the host has a reviewed label.
-BAD_HOST_WORDS = ("spam", "casino", "pills", "warez", "porn")
+BAD_HOST_WORDS = ("spam", "casino", "gambling", "pills", "warez", "porn", "adult", "xxx", "phishing", "malware")
 #: A host without labels counts at most so many of its pages as bad for its name.
 WORD_OUTCOMES = 20
 MOST_RULES = 1000
@@ -125,6 +126,27 @@ def outcomes(pages: DataFrame, labels: DataFrame, page_col: str = "page_id", url
     return by_label.unionByName(weak)
 
 
+def text_of(html: Column) -> Column:
+    """Text of a raw page: without scripts, styles, comments and tags; blocks and breaks end lines, a blank line never remains."""
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    text = F.regexp_replace(text, r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|title|body)\b[^>]*>", "\n")
+    text = F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", ""), r"[ \t]*\n\s*", "\n")
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def content_outcomes(pages: DataFrame, url_col: str = "url", html_col: str = "html", threshold: float = 0.5) -> DataFrame:
+    """``host`` and ``bad`` (0 or 1), a row for each page: what can be said of a page where nobody reviewed it.
+
+    A page is bad if the quality rules reject its text (a posterior below ``threshold``, estimated over all pages; being short
+    alone is no fault of a page) or if a whole part of its host is one of ``BAD_HOST_WORDS``. NULL and empty pages have no text
+    to judge and count by their host's name alone: bad, or no outcome.
+    """
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.coalesce(text_of(F.col(html_col)), F.lit("")).alias("text"))
+    judged = quality_rules.judge(rows, "host", "text").select(F.col("doc_id").alias("host"), (F.col("quality") < threshold).alias("poor"), "n_words")
+    named = F.col("host").rlike(rf"(?:^|[.-])(?:{'|'.join(BAD_HOST_WORDS)})(?:[.-]|$)")
+    return judged.where(named | (F.col("n_words") > 0)).select("host", (named | F.col("poor")).cast("int").alias("bad"))
+
+
 def judge(
     pages: DataFrame,
     labelled: DataFrame,
