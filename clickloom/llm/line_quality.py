@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import bounded_sample, documents_of, staged
@@ -24,6 +24,10 @@ from clickloom.llm.common import bounded_sample, documents_of, staged
 SYMBOLS = re.compile(r"[#*$%&|<>{}\\^~_=]")
 #: The field is fitted on at most so many labelled documents, those with the smallest hash of their id.
 FIT_DOCUMENTS = 4000
+#: And on at most so many of their lines, where 200 characters count as one more line: documents are taken in the order of that
+#: hash while the sum lasts, and those with more than ``FIT_LONGEST`` are left out of the fit. Scoring knows no such bound.
+FIT_SIZE = 400_000
+FIT_LONGEST = 4000
 #: In fitting, longer documents count as several of at most so many lines. Scoring takes them whole.
 FIT_LINES = 60
 OWN = 16
@@ -192,12 +196,17 @@ def held_out(doc_id: str) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", documents: int = FIT_DOCUMENTS) -> LineField:
     """Fits on a bounded sample of the labelled rows that are not held out. NULL labels are left out; of repeated ones the least counts.
 
-    No labels: every document scores one half.
+    Of rows with the same id, the text with the least hash counts. No labels: every document scores one half.
     """
     marked = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     marked = marked.groupBy(F.col("doc_id").alias("_id")).agg(F.min(label_col).cast("int").alias("y"))
     marked = staged(bounded_sample(marked, "_id", documents), "quality-labels")
     texts = documents_of(docs, id_col, text_col).join(F.broadcast(marked), F.col("doc_id") == F.col("_id")).select("doc_id", "y", "text")
+    texts = staged(texts.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")), "quality-texts")
+    sizes = texts.select(F.col("doc_id").alias("_id"), (F.size(F.split("text", "\n")) + F.floor(F.length("text") / 200)).alias("n")).where(F.col("n") <= FIT_LONGEST)
+    # At most ``documents`` pairs of id and size, without their texts.
+    taken = sizes.withColumn("sum", F.sum("n").over(Window.orderBy(F.xxhash64("_id", F.lit("sample")), "_id"))).where(F.col("sum") <= FIT_SIZE)
+    texts = texts.join(F.broadcast(taken), F.col("doc_id") == F.col("_id"), "left_semi")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((i, y, t) for b in batches for i, y, t in zip(*(c.to_pylist() for c in b.columns)))

@@ -144,3 +144,83 @@ def test_toxicity_learns_each_row_of_a_repeated_id(spark):
     model = toxicity.fit(docs, labels)
     got = {(r["doc_id"], r["toxic"]) for r in toxicity.predict(docs, model).collect()}
     assert len(model.weights) > 0 and {bool(t) for d, t in got if d == 1} == {False} and {bool(t) for d, t in got if d == 2} == {True}
+
+
+JUNK_PAGE = "<html><body><!-- a --><p>" + "BUY | NOW | $$$ | CLICK | ### | WIN | %% | FREE | " * 12 + "</p></body></html>"
+
+
+def test_bad_hosts_are_blocked_by_what_their_pages_say(spark):
+    """Planted hosts: one of junk pages, one with a few of them, one named for what it sells, a new one beside each, and a NULL page."""
+    rows, n = [], 0
+    for host, pages, junk in [("a.junk-farm.test", 60, 57), ("b.fine.example", 200, 6), ("www.best-pills.test", 40, 0), ("c.fine.example", 3, 1), ("xpills.example", 30, 0)]:
+        for k in range(pages):
+            text = "".join(f"<p>The wall number {n} stands by the river, and the people of town {k} walk there in the evening of every day.</p>" for n in range(k, k + 6))
+            rows.append((n, f"https://{host}/{n}", JUNK_PAGE if k < junk else f"<html><style>p{{}}</style>{text}</html>"))
+            n += 1
+    rows += [(n, "https://empty.example/1", None), (None, None, None), (n + 1, "https://empty.example/2", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    outcomes = url_filter.content_outcomes(pages)
+    counts = {r["host"]: (r["n"], r["bad"]) for r in outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad")).collect()}
+    assert counts == {"a.junk-farm.test": (60, 57), "b.fine.example": (200, 6), "www.best-pills.test": (40, 40), "c.fine.example": (3, 1), "xpills.example": (30, 0)}
+    verdicts = {r["host"]: r["verdict"] for r in url_filter.judge(pages, outcomes).collect()}
+    assert {h for h, v in verdicts.items() if v == "block"} == {"a.junk-farm.test", "www.best-pills.test"}
+    assert url_filter.content_outcomes(pages.limit(0)).count() == 0
+
+
+def test_text_of_a_raw_page(spark):
+    html = "<HTML><Title>One</title><script>a<b</SCRIPT ><p class='x'>two <b>three</b><br/>\n\n four<!-- <p>no --></p><style>p{}</style>"
+    row = spark.createDataFrame([(html,), (None,)], "html string").select(url_filter.text_of(F.col("html")).alias("t")).collect()
+    assert [x["t"] for x in row] == ["One\ntwo three\nfour", None]
+
+
+def test_url_verdicts_equal_plain_python(spark):
+    """The whole of op7 on sf0.01, from its own outcomes: three levels of shrinkage and the bound, written out plainly."""
+    pages = read_table(spark, SF, "pages")
+    outcomes = [(r["host"], r["bad"]) for r in url_filter.content_outcomes(pages).collect()]
+    hosts = {url_filter_host(r["url"]) for r in pages.collect()}
+    n, bad = Counter(h for h, _ in outcomes), Counter(h for h, b in outcomes if b)
+    levels = [lambda h: "", lambda h: ".".join(h.split(".")[-2:]).split(".", 1)[-1], lambda h: ".".join(h.split(".")[-2:]), lambda h: h]
+    sums = [{key(h): (sum(n[x] for x in hosts if key(x) == key(h)), sum(bad[x] for x in hosts if key(x) == key(h))) for h in hosts} for key in levels]
+
+    def strength(groups):
+        seen = [(a, b) for a, b in groups.values() if a]
+        k, total, wrong = len(seen), sum(a for a, _ in seen), sum(b for _, b in seen)
+        if k < 2 or total <= k or not 0 < wrong < total:
+            return 1000.0
+        rates, squares, mean = sum(b * b / a for a, b in seen), sum(a * a for a, _ in seen), wrong / total
+        between, within = max(0.0, rates - total * mean * mean) / (k - 1), max(1e-9, (wrong - rates) / (total - k))
+        size = (total - squares / total) / (k - 1)
+        rho = (between - within) / (between + (size - 1) * within)
+        return min(1000.0, max(1.0, 1 / rho - 1)) if rho > 0 else 1000.0
+
+    powers = [strength(s) for s in sums[1:]]
+    for r in url_filter.judge(pages, spark.createDataFrame(outcomes, "host string, bad int"), URL_RULES).collect():
+        total, wrong = sums[0][""]
+        rate = (wrong + 0.5) / (total + 1)
+        for key, s, power in zip(levels[1:], sums[1:], powers):
+            a, b = s[key(r["host"])]
+            rate = (b + power * rate) / (a + power)
+        low = rate - 1.2816 * (rate * (1 - rate) / (n[r["host"]] + powers[2] + 1)) ** 0.5
+        assert r["rate"] == pytest.approx(rate) and r["low"] == pytest.approx(low)
+        if r["rule"] is None:
+            assert r["verdict"] == ("block" if low > 0.5 else "allow")
+
+
+def url_filter_host(url):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), re.match(r"[^/?#]*", url.split("://", 1)[1])[0])
+
+
+def test_line_quality_fit_is_bounded_by_lines(spark):
+    """Repeated ids count once, and a document of very many lines, or of one very long line, is left out of the fit and scored whole."""
+    good = "\n".join(f"The river runs along the old wall, and town {k} lies beside it." for k in range(8))
+    bad = "\n".join("| | ## $$ BUY NOW %% ** <<" for _ in range(8))
+    rows = [(i, good if i % 2 else bad) for i in range(1, 60)] + [(1, good + "\nMore of the river.")] * 50
+    rows += [(1001, "## $$\n" * 300_000), (1002, "word " * 400_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in [*range(1, 60), 1001, 1002]], "doc_id bigint, quality int, toxic int")
+    field = line_quality.fit(docs, labels)
+    plain = line_quality.fit(docs.where("doc_id < 1000"), labels)
+    assert np.array_equal(field.weights, plain.weights) and np.array_equal(field.moves, plain.moves)
+    got = {r["doc_id"]: r["score"] for r in line_quality.predict(docs, field).collect()}
+    assert min(s for i, s in got.items() if i < 60 and i % 2) > 0.7 > 0.3 > max(s for i, s in got.items() if i < 60 and not i % 2)
+    assert len(got) == 61
