@@ -5,34 +5,43 @@ the leftmost of its 16-byte strings with the least hash. Equal windows have the
 suffixes that begin at anchors, each cut where its last window ends and with the bytes before it that its windows have
 (about one suffix for 40 bytes of text). A window that occurs twice is found at both anchors, with nothing left out.
 
-* A task takes its documents in runs, sorts the anchor suffixes of a run, settles suffixes that are wholly the same within
-  the run (all but the earliest are repeats), and cuts the others by the hash of their first 16 bytes into parts.
+* Documents are dealt to buckets by a hash of id and text, once; that exchange is read again by each later step.
+* The anchors' hashes of each bucket are counted over the corpus. An anchor that occurs once has no repeated window, so its
+  suffix goes no further. One that occurs very often is hot.
+* The suffixes left of a bucket are a run: sorted, with suffixes that are wholly the same within the run settled
+  (all but the earliest are repeats), and the others cut by the hash of their first 16 bytes into parts.
 * Each part of a run is sent front-coded: of a suffix only what differs from the one before it.
 * A task merges the runs of a part with a loser tree that knows the common prefix of each suffix with the last one given out:
   the one with the longer prefix is the smaller, and only where they are the same are bytes compared, from there on.
 * In the merged order, suffixes with a common prefix of length t stand together, so windows that begin o bytes before their
   anchor are equal if they are in one such group for t = 100 - o and have the same o bytes before.
 
-Suffixes of one 16-byte string meet in one task, once for each run and each different surrounding; a text that is copied
-whole reaches it at most once for each run.
+Suffixes of one 16-byte string meet in one task, once for each run and each different surrounding, up to ``HOT_SUFFIXES``
+occurrences. Beyond that their windows are settled one by one: each run sends the earliest place of each window under the
+window's 128-bit hash, and windows are dealt to all parts, so one that is in every run has one entry a run.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import HOT_ROWS, MOST_HOT
+
 WINDOW = 100
 GRAM = 16
 LEFT = WINDOW - GRAM
-#: Bytes of text in a run.
+#: Bytes of text in a bucket, on average; a bucket of more than twice as much is sent as several runs.
 RUN_BYTES = 12_000_000
+#: An anchor string that occurs more often is hot: its windows go by their hashes. It changes the plan only.
+HOT_SUFFIXES = 100_000
 #: Longer documents are taken in pieces of this many window starts, and anchors are found in about as much text at a time.
 PIECE = 2_000_000
 #: Bytes of text for each part.
@@ -71,7 +80,8 @@ def common_prefix(a: bytes, b: bytes, known: int) -> int:
     return n - (differ.bit_length() + 7) // 8
 
 
-Suffix = tuple[bytes, bytes, int, int]  # from the anchor on, before the anchor, number of the document in the run, anchor's position
+#: From the anchor on, before the anchor, number of the document in the run, anchor's position, whether its anchor string is hot.
+Suffix = tuple[bytes, bytes, int, int, bool]
 
 
 class Run:
@@ -213,7 +223,10 @@ def settle(block: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 SENT = "part int, payload binary"
+COUNTED = "part int, bucket int, payload binary"
+REPEATED = "bucket int, hot boolean, payload binary"
 MARKS = "id bigint, text_hash bigint, begin int, stop int"
+PLACE = np.dtype([("window", "<u8", 2), ("id", "<i8"), ("text_hash", "<i8"), ("at", "<i8")])
 
 
 def _marks(ids: list, hashes: list, begins: list, stops: list) -> pa.RecordBatch:
@@ -237,79 +250,228 @@ def _anchored(pieces: list[tuple[int, int, int, bytes]]) -> list[np.ndarray]:
     return [d, low - begins[d], high - begins[d], a - begins[d], h[a]]
 
 
-def make_runs(pieces: list[tuple[int, int, int, bytes]], n_parts: int) -> Iterator[tuple[int, bytes]]:
-    """Pieces (id, text hash, offset in the document, bytes) as front-coded parts. Part -1 has repeats within the run.
+def _stretches(pieces: Iterable[tuple[int, int, int, bytes]]) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """The pieces in lists of about ``PIECE`` bytes."""
+    waiting, size = [], 0
+    for p in pieces:
+        waiting.append(p)
+        size += len(p[3])
+        if size >= PIECE:
+            yield waiting
+            waiting, size = [], 0
+    if waiting:
+        yield waiting
+
+
+def _pieces(i: int, text_hash: int, text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
+    """Id, text hash, offset in the document and bytes; each window start is in one piece."""
+    for offset in range(0, max(0, len(text) - WINDOW + 1), PIECE):
+        yield i, text_hash, offset, text[offset : offset + PIECE + WINDOW - 1]
+
+
+def _by_part(values: np.ndarray, n_parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Parts that have values, and the numbers of theirs."""
+    part = (values % np.uint64(n_parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(part[order]) > 0][: len(order)])
+    for rows in np.split(order, starts[1:]) if len(order) else ():
+        yield int(part[rows[0]]), rows
+
+
+def _merged(of: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks sorted by document and begin, those that touch as one: document, begin and stop."""
+    if not len(of):
+        return of, begin, stop
+    _, number = np.unique(of, return_inverse=True)
+    far = number.astype(np.int64) << 40  # documents apart, so that one running maximum serves all
+    reach = np.maximum.accumulate(far + stop)
+    starts = np.flatnonzero(np.r_[True, far[1:] + begin[1:] > reach[:-1]])
+    return of[starts], begin[starts], np.r_[reach[starts[1:] - 1], reach[-1]] - far[starts]
+
+
+def _windows(suffixes: list[Suffix], ids: np.ndarray, hashes: np.ndarray, again: list[tuple[int, int, int]]) -> np.ndarray:
+    """Earliest place in the run of each window of hot suffixes, as ``PLACE``; the windows' other places are added to ``again``."""
+    places = sorted((i, q - len(left) + o, xxhash.xxh3_128_digest(whole[o : o + WINDOW])) for right, left, i, q, _ in suffixes for whole in (left + right,) for o in range(len(whole) - WINDOW + 1))
+    earliest: dict[bytes, tuple[int, int]] = {}
+    for i, at, digest in places:
+        if earliest.setdefault(digest, (i, at)) != (i, at):
+            again.append((i, at, at + WINDOW))
+    out = np.empty(len(earliest), PLACE)
+    out["window"] = np.frombuffer(b"".join(earliest), "<u8").reshape(-1, 2)
+    of = np.array([i for i, _ in earliest.values()], dtype=np.int64)
+    out["id"], out["text_hash"], out["at"] = ids[of], hashes[of], [at for _, at in earliest.values()]
+    return out
+
+
+def settle_windows(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Marks of all places of a window but the earliest. A place that is there twice is one."""
+    window = places["window"]
+    p = places[np.lexsort((places["at"], places["text_hash"], places["id"], window[:, 1], window[:, 0]))]
+    first = np.r_[True, (p["window"][1:] != p["window"][:-1]).any(axis=1)][: len(p)]
+    source = p[np.maximum.accumulate(np.where(first, np.arange(len(p)), 0))]
+    p = p[(p["id"] != source["id"]) | (p["text_hash"] != source["text_hash"]) | (p["at"] != source["at"])]
+    p = p[np.lexsort((p["at"], p["text_hash"], p["id"]))]
+    document = np.cumsum(np.r_[True, (p["id"][1:] != p["id"][:-1]) | (p["text_hash"][1:] != p["text_hash"][:-1])][: len(p)])
+    of, begin, stop = _merged(document, p["at"], p["at"] + WINDOW)
+    some = p[np.searchsorted(document, of)]
+    return some["id"], some["text_hash"], begin, stop
+
+
+def make_runs(pieces: list[tuple[int, int, int, bytes]], n_parts: int, often: np.ndarray, hot: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Pieces as front-coded parts of those suffixes whose anchor's hash is in ``often`` (sorted); parts from ``n_parts`` on have
+    windows of those whose hash is also in ``hot`` (sorted). Part -1 has repeats within the run.
 
     Anchors are found in a bounded stretch of text at a time, and suffixes are cut out for one part at a time.
     """
     ordered = sorted(pieces)
     pieces = [p for p, before in zip(ordered, [None, *ordered]) if before is None or p[:3] != before[:3]]  # a repeated row is one document
     ids, hashes = (np.array([p[k] for p in pieces], dtype=np.int64) for k in range(2))
-    found, first, size = [], 0, 0
-    for k, p in enumerate(pieces):
-        size += len(p[3])
-        if size >= PIECE or k == len(pieces) - 1:
-            d, *rest = _anchored(pieces[first : k + 1])
-            found.append([d + first, *rest])
-            first, size = k + 1, 0
+    found, first = [], 0
+    for stretch in _stretches(pieces):
+        d, *rest = _anchored(stretch)
+        wanted = _among(rest[-1], often)
+        found.append([(d + first)[wanted], *(x[wanted] for x in rest)])
+        first += len(stretch)
     d, low, high, at, h = (np.concatenate(x) for x in zip(*found))
-    part = (h % np.uint64(n_parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    bounds = np.searchsorted(part[order], np.arange(n_parts + 1))
+    is_hot = _among(h, hot)
     again: list[tuple[int, int, int]] = []
-    for p in range(n_parts):
-        rows = order[bounds[p] : bounds[p + 1]]
+    hot_kept: list[Suffix] = []
+    for p, rows in _by_part(h, n_parts):
         suffixes = []
-        for i, lo, hi, q in zip(d[rows].tolist(), low[rows].tolist(), high[rows].tolist(), at[rows].tolist()):
+        for i, lo, hi, q, busy in zip(d[rows].tolist(), low[rows].tolist(), high[rows].tolist(), at[rows].tolist(), is_hot[rows].tolist()):
             text = pieces[i][3]
-            suffixes.append((text[q : hi + WINDOW], text[lo:q], i, q + pieces[i][2]))
+            suffixes.append((text[q : hi + WINDOW], text[lo:q], i, q + pieces[i][2], busy))
         suffixes.sort()  # of equal ones, the earliest comes first
         kept: list[Suffix] = []
+        before: Suffix | None = None
         for s in suffixes:
-            if kept and s[0] == kept[-1][0] and s[1] == kept[-1][1]:
+            if before and s[0] == before[0] and s[1] == before[1]:
                 again.append((s[2], s[3] - len(s[1]), s[3] + len(s[0])))
             else:
-                kept.append(s)
+                (hot_kept if s[4] else kept).append(s)
+                before = s
         if kept:
             yield p, Run.write(kept, ids, hashes)
+    if hot_kept:
+        places = _windows(hot_kept, ids, hashes, again)
+        for p, rows in _by_part(places["window"][:, 0], n_parts):
+            yield n_parts + p, zstandard.compress(places[rows].tobytes())
     if again:
         again.sort()
-        of, begin, stop = (np.array(x, dtype=np.int64) for x in zip(*again))
-        starts = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (begin[1:] > stop[:-1])])
-        last = np.r_[starts[1:], len(of)] - 1
-        yield -1, np.stack([ids[of[starts]], hashes[of[starts]], begin[starts], stop[last]]).astype("<i8").tobytes()
+        of, begin, stop = _merged(*(np.array(x, dtype=np.int64) for x in zip(*again)))
+        yield -1, np.stack([ids[of], hashes[of], begin, stop]).astype("<i8").tobytes()
 
 
-def repeated(docs: DataFrame, n_parts: int) -> DataFrame:
-    """``MARKS`` of bytes that are in a repeated window, from ``id``, ``text_hash`` and binary ``text``. They may overlap."""
+def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted table."""
+    if not len(table):
+        return np.zeros(len(values), bool)
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[int, int, int, bytes]] = []
-        size = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for p, payload in make_runs(waiting, n_parts):
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([payload], pa.binary())], names=["part", "payload"])
+def dealt_by_part(sent: DataFrame, n_parts: int) -> DataFrame:
+    """Each part has its own task, whatever the session's number of shuffle partitions; what is settled already goes anywhere."""
+    task = F.when(F.col("part") >= 0, F.col("part").cast("bigint")).otherwise(F.xxhash64("payload"))
+    n_tasks = min(n_parts, MOST_TASKS)
+    return sent.repartitionById(n_tasks, F.pmod(task, F.lit(n_tasks)).cast("int")).sortWithinPartitions("part")
+
 
+def occurring_often(texts: DataFrame, n_parts: int) -> DataFrame:
+    """``REPEATED``: for each bucket, hashes of its anchors that occur more than once in the corpus, and those of hot ones."""
+
+    def census(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[np.ndarray]] = {}
+        waiting: dict[int, list] = {}
+        size: dict[int, int] = {}
+
+        def look(bucket: int) -> None:
+            for stretch in _stretches(waiting.pop(bucket, [])):
+                found.setdefault(bucket, []).append(_anchored(stretch)[4])
+            size[bucket] = 0
+
+        for batch in batches:
+            for i, h, text, bucket in zip(*(batch[c].to_pylist() for c in ("id", "text_hash")), batch["text"], batch["bucket"].to_pylist()):
+                for piece in _pieces(i, h, text.as_py()):
+                    waiting.setdefault(bucket, []).append(piece)
+                    size[bucket] = size.get(bucket, 0) + len(piece[3])
+                    if size[bucket] >= PIECE:
+                        look(bucket)
+        for bucket in list(waiting):
+            look(bucket)
+        for bucket in list(found):
+            value, times = np.unique(np.concatenate(found.pop(bucket)), return_counts=True)
+            parts = [(p, zstandard.compress(value[rows].tobytes() + times[rows].astype("<u4").tobytes(), 1)) for p, rows in _by_part(value, n_parts)]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([bucket] * len(parts), pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["part", "bucket", "payload"])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def part(messages: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+            values, times, ends = [], [], []
+            for _, payload in messages:
+                body = zstandard.decompress(payload)
+                n = len(body) // 12
+                values.append(np.frombuffer(body, "<u8", n))
+                times.append(np.frombuffer(body, "<u4", n, 8 * n))
+                ends.append(n)
+            value = np.concatenate(values)
+            _, which = np.unique(value, return_inverse=True)
+            total = np.bincount(which, np.concatenate(times))[which]
+            buckets, hot, out = [], [], []
+            at = 0
+            for (bucket, _), n in zip(messages, ends):
+                v, t = value[at : at + n], total[at : at + n]
+                at += n
+                for busy, some in ((False, v[t > 1]), (True, v[t > HOT_SUFFIXES])):
+                    if len(some):
+                        buckets.append(bucket)
+                        hot.append(busy)
+                        out.append(some.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(hot, pa.bool_()), pa.array(out, pa.binary())], names=["bucket", "hot", "payload"])
+
+        now, messages = None, []
         for batch in batches:
-            for i, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                text = text.as_py()
-                for offset in range(0, max(0, len(text) - WINDOW + 1), PIECE):
-                    piece = text[offset : offset + PIECE + WINDOW - 1]
-                    if waiting and size + len(piece) > RUN_BYTES:
-                        yield from flush()
+            for p, bucket, payload in zip(batch["part"].to_pylist(), batch["bucket"].to_pylist(), batch["payload"]):
+                if p != now and messages:
+                    yield from part(messages)
+                    messages = []
+                now = p
+                messages.append((bucket, payload.as_py()))
+        if messages:
+            yield from part(messages)
+
+    return dealt_by_part(texts.mapInArrow(census, COUNTED), n_parts).mapInArrow(weigh, REPEATED)
+
+
+def repeated(texts: DataFrame, n_parts: int, n_buckets: int) -> DataFrame:
+    """``MARKS`` of bytes that are in a repeated window, from ``by_bucket``'s rows. They may overlap."""
+
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
+        flags = np.array(right["hot"].to_pylist(), bool)
+        payloads = right["payload"].to_pylist()
+        often, hot = (np.sort(np.frombuffer(b"".join(x for x, f in zip(payloads, flags) if f == wanted), "<u8")) for wanted in (False, True))
+        parts: list[tuple[int, bytes]] = []
+        waiting: list[tuple[int, int, int, bytes]] = []
+        size = 0
+        if len(often):
+            for i, h, text in zip(left["id"].to_pylist(), left["text_hash"].to_pylist(), left["text"]):
+                for piece in _pieces(i, h, text.as_py()):
+                    if waiting and size + len(piece[3]) > 2 * RUN_BYTES:
+                        parts += make_runs(waiting, n_parts, often, hot)
                         waiting, size = [], 0
-                    waiting.append((i, h, offset, piece))
-                    size += len(piece)
-        if waiting:
-            yield from flush()
+                    waiting.append(piece)
+                    size += len(piece[3])
+            if waiting:
+                parts += make_runs(waiting, n_parts, often, hot)
+        return pa.table({"part": pa.array([p for p, _ in parts], pa.int32()), "payload": pa.array([x for _, x in parts], pa.binary())})
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settled(block: list[tuple]) -> pa.RecordBatch:
             row, begin, stop = settle(block)
             return _marks([block[r][3] for r in row.tolist()], [block[r][4] for r in row.tolist()], begin, stop)
 
-        def part(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
+        def part(number: int, payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
+            if number >= n_parts:
+                yield _marks(*settle_windows(np.frombuffer(b"".join(map(zstandard.decompress, payloads)), PLACE)))
+                return
             block: list[tuple] = []
             group: list[tuple] = []
             for entry in merge([iter(Run(p)) for p in payloads]):
@@ -334,19 +496,34 @@ def repeated(docs: DataFrame, n_parts: int) -> DataFrame:
                     yield _marks(*rows)
                     continue
                 if p != now and payloads:
-                    yield from part(payloads)
+                    yield from part(now, payloads)
                     payloads = []
                 now = p
                 payloads.append(payload.as_py())
         if payloads:
-            yield from part(payloads)
+            yield from part(now, payloads)
 
-    sent = docs.mapInArrow(send, SENT)
-    # Each part has its own task, whatever the session's number of shuffle partitions; what is settled within a run goes anywhere.
-    task = F.when(F.col("part") >= 0, F.col("part").cast("bigint")).otherwise(F.xxhash64("payload"))
-    n_tasks = min(n_parts, MOST_TASKS)
-    dealt = sent.repartitionById(n_tasks, F.pmod(task, F.lit(n_tasks)).cast("int"))
-    return dealt.sortWithinPartitions("part").mapInArrow(receive, MARKS)
+    often = occurring_often(texts, n_parts).repartition(min(n_buckets, MOST_TASKS), "bucket")
+    sent = texts.groupBy("bucket").cogroup(often.groupBy("bucket")).applyInArrow(send, SENT)
+    return dealt_by_part(sent, n_parts).mapInArrow(receive, MARKS)
+
+
+def copied_rows(rows: DataFrame, n_rows: int) -> DataFrame:
+    """``id``, ``text_hash`` and number of buckets (``salts``) of documents that are there as very many equal rows, at most ``MOST_HOT``."""
+    limit = max(HOT_ROWS, math.ceil(n_rows / MOST_HOT))
+    counts = rows.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > limit).select("id", "text_hash", F.ceil(F.col("n") / limit).cast("int").alias("salts"))
+
+
+def bucket_of(salt: str, n_buckets: int) -> Column:
+    return F.pmod(F.xxhash64("id", "text_hash", F.col(salt).cast("int")), F.lit(n_buckets)).cast("int").alias("bucket")
+
+
+def by_bucket(rows: DataFrame, copies: DataFrame, n_buckets: int) -> DataFrame:
+    """Rows dealt by ``bucket``, a hash of id and text. Very many equal rows are dealt to several; each has the document then."""
+    known = rows.withColumn("number", F.monotonically_increasing_id()).join(F.broadcast(copies), ["id", "text_hash"], "left")
+    salted = known.withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod("number", "salts")).cast("int"))
+    return salted.select("doc_id", "id", "text_hash", "text", bucket_of("salt", n_buckets)).repartition(min(n_buckets, MOST_TASKS), "bucket")
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -359,29 +536,37 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
-    marks = repeated(rows.select("id", "text_hash", "text"), n_parts)
-    marks = marks.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("begin", "stop"))).alias("marks"))
-    joined = rows.join(marks, ["id", "text_hash"], "left").select("doc_id", "text", "marks.begin", "marks.stop")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, removed, spans, kept = [], [], [], []
-            for value, begins, stops in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                whole = value.as_py()
-                out, last, n_spans = [], 0, 0
-                for b, e in zip(begins or (), stops or ()):
-                    if b > last or not n_spans:
-                        out.append(whole[last:b])
-                        n_spans += 1
-                    last = max(last, e)
-                out.append(whole[last:])
-                kept.append(b"".join(out))
-                size.append(len(whole))
-                removed.append(len(whole) - len(kept[-1]))
-                spans.append(n_spans)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (size, removed, spans)), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    n_rows, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = max(shuffle, math.ceil((size or 0) / PART_BYTES))
+    n_buckets = max(shuffle, math.ceil((size or 0) / RUN_BYTES))
+    copies = copied_rows(rows, n_rows)
+    texts = by_bucket(rows, copies, n_buckets)
+    found = repeated(texts, n_parts, n_buckets).join(F.broadcast(copies), ["id", "text_hash"], "left")
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)
+    marks = found.withColumn("salt", F.explode(salts)).select(bucket_of("salt", n_buckets), "id", "text_hash", "begin", "stop").repartition(min(n_buckets, MOST_TASKS), "bucket")
+
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        i, h, begin, stop = (right[c].to_numpy() for c in ("id", "text_hash", "begin", "stop"))
+        order = np.lexsort((begin, h, i))
+        i, h, begin, stop = i[order], h[order], begin[order], stop[order]
+        starts = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (h[1:] != h[:-1])][: len(i)])
+        document = {(a, b): (s, e) for a, b, s, e in zip(i[starts].tolist(), h[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(i)])}
+        size, removed, spans, kept = [], [], [], []
+        for key, value in zip(zip(left["id"].to_pylist(), left["text_hash"].to_pylist()), left["text"]):
+            whole = value.as_py()
+            s, e = document.get(key, (0, 0))
+            _, begins, stops = _merged(np.zeros(e - s), begin[s:e], stop[s:e])
+            out, last = [], 0
+            for b, t in zip(begins.tolist(), stops.tolist()):
+                out.append(whole[last:b])
+                last = t
+            out.append(whole[last:])
+            kept.append(b"".join(out))
+            size.append(len(whole))
+            removed.append(len(whole) - len(kept[-1]))
+            spans.append(len(begins))
+        return pa.table({"doc_id": left["doc_id"], **{c: pa.array(x, pa.int64()) for c, x in (("n_bytes", size), ("n_removed", removed), ("n_spans", spans))}, "kept": pa.array(kept, pa.binary())})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return texts.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

@@ -66,6 +66,43 @@ def test_repeated_rows_are_one_document(spark, monkeypatch):
     assert {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in out} == {(None, 150, 0), (1, n, 150), (2, 2 * n, second)}
 
 
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_hot_strings_go_by_window(spark, monkeypatch, hot):
+    """A line in every second document, each time with other words around it, and copied texts: the same result by window or by suffix."""
+    monkeypatch.setattr(repeats, "HOT_SUFFIXES", hot)
+    monkeypatch.setattr(repeats, "RUN_BYTES", 3000)
+    rng = random.Random(hot)
+    line = "this line is in every second text of the corpus, é and so on"
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 9)))
+    rows = []
+    for i in range(150):
+        around = [" ".join(word() for _ in range(rng.randint(0, 25))) for _ in range(2)]
+        rows.append((i, f"{around[0]} {line}{line[:rng.randint(0, 60)]} {around[1]}" if i % 2 else around[0] * rng.randint(1, 3)))
+    rows += [(200 + i, rows[2 * i + 1][1]) for i in range(40)] + [(300, line * 8), (301, "y" * 450)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    out = repeats.remove(df).selectExpr("doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) kept_sha256")
+    assert answers(out) == removed(rows)
+
+
+def test_many_equal_rows_are_dealt_to_several_buckets(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_ROWS", 5)
+    text = "".join(chr(97 + i * i % 26) + str(i) for i in range(200))
+    rows = [(2, text)] * 60 + [(1, text[100:400]), (3, "z" * 130)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = sorted((r["doc_id"], r["n_removed"], r["n_spans"]) for r in repeats.remove(df).collect())
+    want = removed([(1, text[100:400]), (2, text), (3, "z" * 130)])
+    assert got == sorted((i, want[i][1], want[i][2]) for i, _ in rows)
+
+
+def test_texts_are_dealt_once(spark):
+    """Census, runs and the last cut read one exchange of the texts."""
+    out = repeats.remove(read_table(spark, SF, "documents"))
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 2
+
+
 def test_merge_gives_sorted_suffixes_with_their_common_prefixes():
     rng = random.Random(2)
     for k in (1, 2, 5, 8):
@@ -229,7 +266,8 @@ def test_parts_have_their_own_tasks(spark, monkeypatch):
     monkeypatch.setattr(repeats, "PART_BYTES", 20_000)
     docs = read_table(spark, SF, "documents").where("doc_id < 300")
     want = {(r["doc_id"], r["n_removed"], r["n_spans"]) for r in repeats.remove(docs).collect()}
-    sent = repeats.repeated(docs.selectExpr("doc_id as id", "xxhash64(text) as text_hash", "cast(text as binary) as text").where("text is not null"), 97)
+    rows = docs.where("text is not null").selectExpr("doc_id", "doc_id as id", "xxhash64(text) as text_hash", "cast(text as binary) as text")
+    sent = repeats.repeated(repeats.by_bucket(rows, repeats.copied_rows(rows, 300), 11), 97, 11)
     assert sent.rdd.getNumPartitions() == 97
     monkeypatch.setattr(repeats, "MOST_TASKS", 5)
     assert {(r["doc_id"], r["n_removed"], r["n_spans"]) for r in repeats.remove(docs).collect()} == want
