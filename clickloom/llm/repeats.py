@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import HOT_ROWS, MOST_HOT
@@ -515,15 +515,30 @@ def copied_rows(rows: DataFrame, n_rows: int) -> DataFrame:
     return counts.where(F.col("n") > limit).select("id", "text_hash", F.ceil(F.col("n") / limit).cast("int").alias("salts"))
 
 
-def bucket_of(salt: str, n_buckets: int) -> Column:
-    return F.pmod(F.xxhash64("id", "text_hash", F.col(salt).cast("int")), F.lit(n_buckets)).cast("int").alias("bucket")
+def task_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` partitions a whole number that Spark's hash puts there, so that every bucket has a task for itself.
+
+    None beyond ``MOST_TASKS``, where each task has many buckets and their sizes even out.
+    """
+    if n > MOST_TASKS:
+        return []
+    numbers = spark.range(32 * n).select(F.col("id").cast("int").alias("key"))
+    found = {r["task"]: r["key"] for r in numbers.groupBy(F.pmod(F.hash("key"), F.lit(n)).alias("task")).agg(F.min("key").alias("key")).collect()}
+    return [found.get(k, -1 - k) for k in range(n)]
+
+
+def bucket_of(salt: str, n_buckets: int, keys: list[int]) -> Column:
+    number = F.pmod(F.xxhash64("id", "text_hash", F.col(salt).cast("int")), F.lit(n_buckets)).cast("int")
+    if keys:
+        number = F.element_at(F.split(F.lit(",".join(map(str, keys))), ",").cast("array<int>"), number + 1)
+    return number.alias("bucket")
 
 
-def by_bucket(rows: DataFrame, copies: DataFrame, n_buckets: int) -> DataFrame:
-    """Rows dealt by ``bucket``, a hash of id and text. Very many equal rows are dealt to several; each has the document then."""
+def by_bucket(rows: DataFrame, copies: DataFrame, n_buckets: int, keys: list[int]) -> DataFrame:
+    """Rows dealt by ``bucket``, which stands for a hash of id and text. Very many equal rows are dealt to several; each has the document then."""
     known = rows.withColumn("number", F.monotonically_increasing_id()).join(F.broadcast(copies), ["id", "text_hash"], "left")
     salted = known.withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod("number", "salts")).cast("int"))
-    return salted.select("doc_id", "id", "text_hash", "text", bucket_of("salt", n_buckets)).repartition(min(n_buckets, MOST_TASKS), "bucket")
+    return salted.select("doc_id", "id", "text_hash", "text", bucket_of("salt", n_buckets, keys)).repartition(min(n_buckets, MOST_TASKS), "bucket")
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -541,10 +556,11 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     n_parts = max(shuffle, math.ceil((size or 0) / PART_BYTES))
     n_buckets = max(shuffle, math.ceil((size or 0) / RUN_BYTES))
     copies = copied_rows(rows, n_rows)
-    texts = by_bucket(rows, copies, n_buckets)
+    keys = task_keys(docs.sparkSession, n_buckets)
+    texts = by_bucket(rows, copies, n_buckets, keys)
     found = repeated(texts, n_parts, n_buckets).join(F.broadcast(copies), ["id", "text_hash"], "left")
     salts = F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)
-    marks = found.withColumn("salt", F.explode(salts)).select(bucket_of("salt", n_buckets), "id", "text_hash", "begin", "stop").repartition(min(n_buckets, MOST_TASKS), "bucket")
+    marks = found.withColumn("salt", F.explode(salts)).select(bucket_of("salt", n_buckets, keys), "id", "text_hash", "begin", "stop").repartition(min(n_buckets, MOST_TASKS), "bucket")
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         i, h, begin, stop = (right[c].to_numpy() for c in ("id", "text_hash", "begin", "stop"))

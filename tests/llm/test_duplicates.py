@@ -94,6 +94,14 @@ def test_many_equal_rows_are_dealt_to_several_buckets(spark, monkeypatch):
     assert got == sorted((i, want[i][1], want[i][2]) for i, _ in rows)
 
 
+@pytest.mark.parametrize("n", [1, 13, 72])
+def test_each_bucket_has_its_own_task(spark, n):
+    keys = repeats.task_keys(spark, n)
+    rows = spark.createDataFrame([(i, i, 7 * i, b"x") for i in range(40 * n)], "doc_id bigint, id bigint, text_hash bigint, text binary")
+    dealt = repeats.by_bucket(rows, repeats.copied_rows(rows, 40 * n), n, keys).selectExpr("bucket", "spark_partition_id() task").distinct().collect()
+    assert sorted(r["bucket"] for r in dealt) == sorted(keys) and sorted(r["task"] for r in dealt) == list(range(n))
+
+
 def test_texts_are_dealt_once(spark):
     """Census, runs and the last cut read one exchange of the texts."""
     out = repeats.remove(read_table(spark, SF, "documents"))
@@ -267,7 +275,7 @@ def test_parts_have_their_own_tasks(spark, monkeypatch):
     docs = read_table(spark, SF, "documents").where("doc_id < 300")
     want = {(r["doc_id"], r["n_removed"], r["n_spans"]) for r in repeats.remove(docs).collect()}
     rows = docs.where("text is not null").selectExpr("doc_id", "doc_id as id", "xxhash64(text) as text_hash", "cast(text as binary) as text")
-    sent = repeats.repeated(repeats.by_bucket(rows, repeats.copied_rows(rows, 300), 11), 97, 11)
+    sent = repeats.repeated(repeats.by_bucket(rows, repeats.copied_rows(rows, 300), 11, []), 97, 11)
     assert sent.rdd.getNumPartitions() == 97
     monkeypatch.setattr(repeats, "MOST_TASKS", 5)
     assert {(r["doc_id"], r["n_removed"], r["n_spans"]) for r in repeats.remove(docs).collect()} == want
