@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Model
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,19 @@ def used_slots(model: Model) -> list[int]:
     return [i for i, v in enumerate(model.featureImportances.toArray()) if v > 0]
 
 
+def split_slots(model: Model, rows: DataFrame) -> list[int]:
+    """:func:`used_slots` of a tree with Gini impurity, fitted on ``rows``; of one that pruning cut to its root, the slots it split before.
+
+    Spark ML joins leaves that predict the same class, so where no leaf reaches half a tree's splits are all gone. A regression tree of
+    the labels 0 and 1 has the same splits, as their variance is half the Gini impurity, and keeps them. All slots if no split tells labels apart.
+    """
+    used = used_slots(model)
+    if not used:
+        shared = {n: model.getOrDefault(n) for n in ("featuresCol", "labelCol", "maxDepth", "maxBins", "minInfoGain", "minInstancesPerNode", "seed")}
+        used = used_slots(DecisionTreeRegressor(**shared).fit(rows))
+    return used or list(range(model.numFeatures))
+
+
 def coefficients(spark: SparkSession, model: Model, names: list[str]) -> DataFrame:
     """Intercept (slot -1) and coefficients of a linear model in feature order."""
     rows = [(-1, "(intercept)", float(model.intercept))]

@@ -507,7 +507,7 @@ def chi_square_select_slots(spark, sf_dir):
 def slice_features(spark, sf_dir):
     prepared = onehot(spark, sf_dir)
     tree = models.train("decision_tree", prepared.train)
-    sliced = encoding.slicer(explain.used_slots(tree)).transform(prepared.rows)
+    sliced = encoding.slicer(explain.split_slots(tree, prepared.train)).transform(prepared.rows)
     return sliced.select(KEY, "data", vector_to_array("sliced_features").alias("sliced_features"))
 
 
@@ -701,7 +701,7 @@ def train_sliced(spark, sf_dir):
     """Tree and logistic model on the vector slots that a first tree uses."""
     prepared = onehot(spark, sf_dir)
     tree = models.train("decision_tree", prepared.train)
-    narrow = flows.sliced(prepared, explain.used_slots(tree))
+    narrow = flows.sliced(prepared, explain.split_slots(tree, prepared.train))
     return evaluate.model_comparison(
         [
             flows.report(tree, prepared, "DT"),
@@ -799,7 +799,8 @@ def cross_validate(spark, sf_dir):
 def cross_validate_sliced(spark, sf_dir):
     """The tree grid on the vector slots that a first tree uses."""
     prepared = onehot(spark, sf_dir)
-    narrow = flows.sliced(prepared, explain.used_slots(models.train("decision_tree", prepared.train)))
+    tree = models.train("decision_tree", prepared.train)
+    narrow = flows.sliced(prepared, explain.split_slots(tree, prepared.train))
     narrow.rows = sampling.assign_fold(narrow.rows, KEY)
     return flows.grid_search("decision_tree", narrow, "DT+S+CV", grid="decision_tree_sliced", fold_col="fold")[2]
 

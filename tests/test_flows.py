@@ -119,6 +119,16 @@ def test_slicing_keeps_the_used_slots(spark, onehot):
     assert report.count() == 2
 
 
+def test_slots_of_a_tree_that_pruning_cut_to_its_root(spark):
+    rows = [(float(i % 2), float(i % 3), int(i % 10 < (4 if i % 2 else 1))) for i in range(600)]
+    df = encoding.assembler(["x", "z"], "selected_features").transform(spark.createDataFrame(rows, "x double, z double, label int"))
+    tree = models.train("decision_tree", df, maxDepth=1)
+    assert explain.used_slots(tree) == []
+    assert explain.split_slots(tree, df) == [0]
+    same = df.withColumn("label", F.lit(0))
+    assert explain.split_slots(models.train("decision_tree", same), same) == [0, 1]
+
+
 def test_coefficients_and_history(spark, onehot):
     model = models.train("logistic", onehot.train)
     table = explain.coefficients(spark, model, onehot.features.names).orderBy("slot").collect()
