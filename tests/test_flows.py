@@ -5,8 +5,10 @@ import sys
 import tempfile
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from clickloom.operators import descent, encoding, evaluate, explain, models, sampling, tuning
@@ -225,6 +227,24 @@ def test_descent_on_vectors_is_descent_on_columns(view):
         assert a == pytest.approx(b, rel=1e-9, abs=1e-12)
 
 
+def test_gradient_of_mixed_vectors_is_one_pass_in_numpy(spark):
+    vectors = [Vectors.sparse(3, [0, 2], [1.0, -2.0]), Vectors.dense([0.5, 0.0, 3.0]), Vectors.sparse(3, [], []), Vectors.sparse(3, [1], [4.0])]
+    y, weights = np.array([1, 0, 1, 0]), np.array([0.1, -0.4, 0.3, 0.2])
+    df = spark.createDataFrame([(v, int(t)) for v, t in zip(vectors, y)], ["v", "label"]).repartition(3)
+    x = np.array([v.toArray() for v in vectors])
+    p = 1 / (1 + np.exp(-(weights[0] + x @ weights[1:])))
+    loss, slopes = descent.vector_gradient(df, weights.tolist(), "v")
+    assert loss == pytest.approx(-np.log(np.where(y == 1, p, 1 - p)).mean())
+    assert slopes == pytest.approx([2 * (p - y).mean(), *(2 * ((p - y) @ x) / 4)])
+
+
+def test_steps_on_vectors_do_not_go_through_the_summarizer(monkeypatch, spark):
+    """Its sums cost several times as much a row; a step must not ask for them."""
+    df = encoding.assembler(["x"]).transform(spark.createDataFrame([(1.0, 1), (2.0, 0)], "x double, label int"))
+    monkeypatch.setattr(descent, "Summarizer", None)
+    assert len(descent.descend_vectors(df, "features", 1, steps=2)[1]) == 3
+
+
 def test_centred_descent_is_descent_on_centred_vectors(view):
     rows = view.select("label", F.log1p("c02").alias("x"))
     mean = rows.agg(F.avg("x")).first()[0]
