@@ -53,11 +53,23 @@ def stored_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str, scorer=SCORER_A) -> DataFrame:
+    return _scored(sampling.assign_split(training_view(spark, sf_dir), KEY), scorer, [KEY, "data", "label"])
+
+
+def _scored(rows: DataFrame, scorer, keep: list[str]) -> DataFrame:
     features, weights = scorer
-    rows = sampling.assign_split(training_view(spark, sf_dir), KEY)
     rows = descent.logistic_score(rows, weights, features)
     # Engines differ in the last bit of exp, which would make and break ties between scores.
-    return rows.select(KEY, "data", "label", F.round("probability", SCORE_DIGITS).alias("probability"), "prediction")
+    return rows.select(*keep, F.round("probability", SCORE_DIGITS).alias("probability"), "prediction")
+
+
+def reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Reports of both scorers by name. The joins of the view run once: what the scorers take is stored, without the key."""
+    scorers = {"A": SCORER_A, "B": SCORER_B}
+    taken = sorted({c for features, _ in scorers.values() for c in features})
+    rows = sampling.assign_split(training_view(spark, sf_dir), KEY).select("data", "label", *taken)
+    rows = tables.stage(rows, "scorer-rows")
+    return {name: evaluate.evaluation_report(_scored(rows, s, ["data", "label"]), name) for name, s in scorers.items()}
 
 
 def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -625,10 +637,7 @@ def evaluation_report(spark, sf_dir):
 
 @query
 def model_comparison(spark, sf_dir):
-    reports = [
-        evaluate.evaluation_report(scored(spark, sf_dir, s), name) for name, s in (("A", SCORER_A), ("B", SCORER_B))
-    ]
-    return evaluate.model_comparison(reports)
+    return evaluate.model_comparison(list(reports(spark, sf_dir).values()))
 
 
 @query
@@ -741,10 +750,10 @@ def score_batch_weights(spark, sf_dir):
 def report_runs(spark, sf_dir):
     """Reports of two scorers added to one folder as runs, the first one twice."""
     path = tables.stage_path(spark, "reports")
-    for name, scorer in (("A", SCORER_A), ("B", SCORER_B), ("A", SCORER_A)):
-        made = evaluate.evaluation_report(scored(spark, sf_dir, scorer), name)
-        tables.append_run(made, path, f"run-{name}")
-    return tables.read_runs(spark, path, made.schema)
+    made = reports(spark, sf_dir)
+    for name in ("A", "B", "A"):
+        tables.append_run(made[name], path, f"run-{name}")
+    return tables.read_runs(spark, path, made["A"].schema)
 
 
 @query
