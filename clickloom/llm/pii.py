@@ -19,7 +19,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import bounded_sample, documents_of, staged
+from clickloom.llm.common import documents_of, staged
+from clickloom.operators.ordered import bucketed, with_running_totals
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -37,8 +38,6 @@ CONTEXT = tuple(re.compile(p, re.I) for p in (r"mail|contact|write", r"\bip\b|ho
 #: What stands before, or inside, a number of another kind.
 OTHER_NUMBER = re.compile(r"(?:\bv|version|isbn|issn|\bdate|\border|\binvoice|serial|\bpages?|\bpp|\bno|#)[ .:#]*$", re.I)
 DATE = re.compile(r"(?<![0-9])(?:(?:1[5-9]|20)[0-9]{2}[-./ ](?:0?[1-9]|1[0-2])[-./ ](?:0?[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])[-./](?:0?[1-9]|[12][0-9]|3[01])[-./](?:1[5-9]|20)[0-9]{2}|(?:1[5-9]|20)[0-9]{2}[- ]+(?:1[5-9]|20)[0-9]{2})(?![0-9])")
-#: Boosting is fitted and calibrated on at most so many candidates, those with the smallest hash of their place.
-FIT_ROWS = 20000
 N_FEATURES = 27
 
 
@@ -197,28 +196,22 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, kind int, start int, end int, base boolean, near boolean, right boolean, made boolean, features array<double>")
 
 
-def thresholds(scored: list[tuple[int, float, bool]], precision: float) -> list[float]:
-    """For each kind, the lowest score at which held-out candidates of that score or more are right in ``precision``; 2 (none) if there is no such score."""
-    out = []
-    for kind in range(4):
-        rows = sorted(((p, right) for k, p, right in scored if k == kind), reverse=True)
-        best, hits = 2.0, 0
-        for n, (p, right) in enumerate(rows, 1):
-            hits += right
-            if hits >= precision * n and (n == len(rows) or rows[n][0] < p):
-                best = max(p, 0.5)
-        out.append(best)
-    return out
+def thresholds(held: DataFrame, precision: float) -> list[float]:
+    """For each kind, the lowest score at which the candidates of that score or more in ``held`` (``kind, p, label``) are right in
+    ``precision``; 2 (none) if there is no such score. They are counted by score, and running totals go slice by slice."""
+    counts = staged(held.groupBy("kind", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits")), "pii-scores")
+    totals = with_running_totals(bucketed(counts, "p"), ["kind"], "p", ["n", "hits"], descending=True)
+    lowest = totals.where(F.col("hits_upto") >= F.lit(precision) * F.col("n_upto")).groupBy("kind").agg(F.min("p").alias("p"))
+    found = {r["kind"]: max(r["p"], 0.5) for r in lowest.collect()}  # one row a kind
+    return [found.get(kind, 2.0) for kind in range(4)]
 
 
-def score(found: DataFrame, rows: int = FIT_ROWS, precision: float = 0.98, seed: int = 5) -> tuple[DataFrame, list[float]]:
-    """``found``, a stored table, with the boosted probability ``p``, and the calibrated thresholds. Three quarters of a bounded
-    sample fit the trees, one quarter calibrates. Without both labels nothing is scored (``p`` NULL) and nothing selected."""
-    keyed = found.withColumn("key", F.xxhash64("text_hash", "kind", "start", "end", "made"))
-    keyed = keyed.select("key", "kind", F.col("right").cast("double").alias("label"), "features")
-    half = [bounded_sample(keyed.where(F.col("label") == y), "key", rows // 2) for y in (0.0, 1.0)]
-    sample = staged(half[0].unionByName(half[1]).withColumn("vector", array_to_vector("features")), "pii-sample")
-    train = sample.where("pmod(key, 4) <> 0")
+def score(found: DataFrame, precision: float = 0.98, seed: int = 5) -> tuple[DataFrame, list[float]]:
+    """``found``, a stored table, with the boosted probability ``p``, and the calibrated thresholds. Of all candidates with a label three
+    quarters, by a hash of their place, fit the trees, and one quarter calibrates. Without both labels nothing is scored (``p`` NULL) and nothing selected."""
+    keyed = found.where("right is not null").withColumn("key", F.xxhash64("text_hash", "kind", "start", "end", "made"))
+    labelled = keyed.select("key", "kind", F.col("right").cast("double").alias("label"), array_to_vector("features").alias("vector"))
+    train = labelled.where("pmod(key, 4) <> 0")
     if train.select("label").distinct().count() < 2:
         return found.withColumn("p", F.lit(None).cast("double")), [2.0] * 4
     model = GBTClassifier(maxIter=15, maxDepth=4, stepSize=0.3, seed=seed, featuresCol="vector", labelCol="label").fit(train)
@@ -226,8 +219,8 @@ def score(found: DataFrame, rows: int = FIT_ROWS, precision: float = 0.98, seed:
     def scored(df: DataFrame) -> DataFrame:
         return model.transform(df).withColumn("p", vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction", "vector")
 
-    held = scored(sample.where("pmod(key, 4) = 0")).select("kind", "p", "label").collect()  # at most FIT_ROWS rows
-    return scored(found.withColumn("vector", array_to_vector("features"))), thresholds([(r["kind"], r["p"], r["label"] == 1.0) for r in held], precision)
+    held = scored(labelled.where("pmod(key, 4) = 0"))
+    return scored(found.withColumn("vector", array_to_vector("features"))), thresholds(held, precision)
 
 
 RESULT = "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_spans string, spans string"

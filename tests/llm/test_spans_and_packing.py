@@ -141,6 +141,30 @@ def test_wide_spans_are_added(spark):
     assert got == {5000: "phone:12:26", 5001: "email:17:34", 5002: ""}
 
 
+def test_trees_and_thresholds_take_all_candidates(spark, monkeypatch):
+    docs = spark.range(10000).select(F.col("id").alias("doc_id"), F.format_string("Write to ann%d@site%d.org, or see 300.%d.1.1 there.", "id", F.col("id") % 97, "id").alias("text"))
+    found = pii.staged(pii.candidates(docs), "pii-candidates")
+    labelled = found.where("right is not null").count()
+    assert labelled > 25000
+    taken, fit, limits = [], pii.GBTClassifier.fit, pii.thresholds
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: taken.append(df.count()) or fit(self, df))
+    monkeypatch.setattr(pii, "thresholds", lambda held, precision: taken.append(held.count()) or limits(held, precision))
+    pii.score(found)
+    assert sum(taken) == labelled and abs(taken[1] / labelled - 0.25) < 0.02
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_thresholds_equal_a_sorted_list(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(3), p := round(rng.random(), 2 + seed), float(rng.random() < 0.7 + 0.35 * p)) for _ in range(3000)]
+    want = []
+    for kind in range(4):
+        mine = sorted((p, y) for k, p, y in rows if k == kind)
+        good = [p for p, _ in mine if (above := [y for q, y in mine if q >= p]) and sum(above) >= 0.95 * len(above)]
+        want.append(max(min(good), 0.5) if good else 2.0)
+    assert pii.thresholds(spark.createDataFrame(rows, "kind int, p double, label double"), 0.95) == want
+
+
 def test_boundaries_have_the_least_padding():
     histogram = {3: 5, 4: 1, 9: 7, 10: 2, 11: 9, 30: 1, 31: 4}
     for k in (1, 2, 3, 4, 7, 9):
