@@ -190,20 +190,28 @@ def threshold_effect(
 def evaluation_report(scored: DataFrame, name: str, part: str = "data", label: str = LABEL) -> DataFrame:
     """``Name, Data, ROC, LogLoss, F1-Score`` per part, rounded to 6 places.
 
-    The distinct scores are shuffled with two counts each and nothing else; loss and confusion cells are totals of a second,
-    map-side aggregate. Without probabilities the loss is NULL. Rows without a score count in neither the area nor the loss.
+    Rows are scored once: the distinct scores are shuffled with a few counts each, and loss, cells and area follow from that table.
+    Without probabilities the loss is NULL. Rows without a score count in neither the area nor the loss.
     """
     has_p = "probability" in scored.columns
-    loss = log_loss_of(positive_probability(scored), F.col(label)) if has_p else F.lit(None).cast("double")
-    rows = scored.select(
-        F.col(part).alias("Data"), F.col(label).alias("_y"), "prediction", ranking_score(scored).alias("score"), loss.alias("_loss")
-    )
-    counts = stage(score_counts(rows, ["Data"], F.col("score"), "_y"), "score-counts")
+    rows = scored.select(F.col(part).alias("Data"), F.col(label).alias("_y"), "prediction", ranking_score(scored).alias("score"))
     cells = confusion_columns(F.col("prediction"), F.col("_y"))
-    totals = rows.groupBy("Data").agg(
-        F.sum("_loss").alias("loss"), F.count("_loss").alias("rows"), *[cells[n].alias(n) for n in ("tp", "fp", "fn")]
+    counts = rows.groupBy("Data", "score").agg(
+        F.count_if(F.col("_y") == 1).alias("pos"),
+        F.count_if(F.col("_y") == 0).alias("neg"),
+        F.count(F.lit(1)).alias("n"),
+        *[cells[n].alias(n) for n in ("tp", "fp", "fn")],
+    )
+    counts = stage(counts, "score-counts")
+    # The losses of a score, for label 1 and for the other rows; NULL for a NULL score.
+    sides = [(F.col("pos"), log_loss_of(F.col("score"), F.lit(1))), (F.col("n") - F.col("pos"), log_loss_of(F.col("score"), F.lit(0)))]
+    none = F.lit(None).cast("double")
+    totals = counts.groupBy("Data").agg(
+        (F.sum(reduce(Column.__add__, [F.coalesce(n * x, F.lit(0.0)) for n, x in sides])) if has_p else F.first(none)).alias("loss"),
+        F.sum(reduce(Column.__add__, [F.when(x.isNotNull(), n).otherwise(0) for n, x in sides])).alias("rows"),
+        *[F.sum(n).alias(n) for n in ("tp", "fp", "fn")],
     )
-    auc = auc_from_counts(counts, ["Data"])
+    auc = auc_from_counts(counts.where(F.col("score").isNotNull() & ~F.isnan("score")).select("Data", "score", "pos", "neg"), ["Data"])
     # One row per part on both sides.
     return totals.join(F.broadcast(auc), "Data").select(
         F.lit(name).alias("Name"),
