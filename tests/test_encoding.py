@@ -1,9 +1,11 @@
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from clickloom.operators import cleaning, encoding, lookup, profile
+from clickloom.plans import queries
 from clickloom.sources.tables import stage
 
 
@@ -174,3 +176,18 @@ def test_slot_sums_count_categories(spark):
     model, columns = encoding.fit_one_hot(df, ["b01"])
     sums = encoding.slot_sums(encoding.assembler(columns).transform(model.transform(df)), "features")
     assert {r["slot"]: r["total"] for r in sums.collect()} == {0: 2.0, 1: 1.0}
+
+
+def test_sums_of_long_vectors_by_slot(spark):
+    rows = [(Vectors.sparse(5, [1, 4], [1.0, 2.0]), Vectors.dense(1.0, 0.5)), (Vectors.sparse(5, [4], [3.0]), Vectors.dense(0.0, 2.0)), (Vectors.sparse(5, [], []), Vectors.sparse(2, [1], [1.0]))]
+    df = spark.createDataFrame(rows, ["u", "v"])
+    got = {(r["vector"], r["slot"]): r["total"] for r in encoding.sparse_slot_sums(df, ["u", "v"]).collect()}
+    assert got == {("u", 1): 1.0, ("u", 4): 5.0, ("v", 0): 1.0, ("v", 1): 3.5}
+
+
+def test_long_one_hot_joins_the_view_once(spark, monkeypatch):
+    made, view = [], queries.training_view
+    monkeypatch.setattr(queries, "training_view", lambda *a: made.append(1) or view(*a))
+    for name in ("one_hot_long", "score_batch_weights"):
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(made) == 2
