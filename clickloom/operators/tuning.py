@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
 from pyspark.ml import Model
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
@@ -56,17 +58,116 @@ def _named(points: list[dict], grid: dict[str, list]) -> list[str]:
     return ["; ".join(f"{n}={point[p]}" for n in grid for p in point if p.name == n) for point in points]
 
 
-def _scores(models: list[Model], df: DataFrame, label: str) -> DataFrame:
-    """``point, score, label``: every model's score of every row, from one scan."""
-    kept = df
-    for i, model in enumerate(models):
-        named = model.copy()
-        for column in ("probabilityCol", "rawPredictionCol", "predictionCol"):
+@dataclass
+class _Fit:
+    """A fitted model and the grid points that it serves: by its own score (None), or by a score for each of its leaves."""
+
+    model: Model
+    points: dict[int, list[float] | None]
+
+
+def _alike(points: list[dict], name: str) -> list[list[tuple[int, int]]]:
+    """Points that differ in the integer parameter ``name`` only, as ``(value, point)``, the largest value first."""
+    groups: dict[tuple, list[tuple[int, int]]] = {}
+    for i, point in enumerate(points):
+        values = {p.name: v for p, v in point.items()}
+        groups.setdefault(tuple(sorted((n, v) for n, v in values.items() if n != name)), []).append((values[name], i))
+    return [sorted(g, key=lambda x: (-x[0], x[1])) for g in groups.values()]
+
+
+def _fit_logistic(estimator, points: list[dict], df: DataFrame) -> list[_Fit]:
+    """One fit for points that differ in ``maxIter`` only, if it ends by itself before the smaller limits; else one more for these."""
+    fits = []
+    for group in _alike(points, "maxIter"):
+        used = None
+        for limit, i in group:
+            if used is None or used > limit:
+                model = estimator.copy(points[i]).fit(df)
+                used = model.summary.totalIterations
+                fits.append(_Fit(model, {}))
+            fits[-1].points[i] = None
+    return fits
+
+
+def _tree_of(model: Model) -> list:
+    """The model's tree as nested pairs, with the numbers of its leaves from left to right, which are those of ``leafCol``."""
+    lines = [x for x in model.toDebugString.splitlines()[1:] if x.strip()]
+    leaves = iter(range(len(lines)))
+
+    def node(at: int) -> tuple[list | int, int]:
+        if lines[at].strip().startswith("Predict"):
+            return next(leaves), at + 1
+        left, at = node(at + 1)
+        right, at = node(at + 1)  # the line before it is the Else
+        return [left, right], at
+
+    return node(0)[0]
+
+
+def _leaf_scores(tree, counts: dict[int, tuple[int, int]], depth: int) -> list[float]:
+    """The score of each leaf if the tree had been grown to ``depth`` only: nodes there are leaves, and leaves that predict the same class
+    are joined as Spark ML does. ``counts`` has a leaf's rows of label 0 and 1."""
+    scores = [0.0] * len(counts)
+
+    def cut(node, depth: int) -> tuple[list[int], int, int, bool]:
+        """Leaves below, rows of label 0 and 1, and whether the node is a leaf now."""
+        if isinstance(node, int):
+            below, zeros, ones, leaf = [node], *counts[node], True
+        else:
+            (a, a0, a1, left), (b, b0, b1, right) = cut(node[0], depth - 1), cut(node[1], depth - 1)
+            below, zeros, ones = a + b, a0 + b0, a1 + b1
+            leaf = depth <= 0 or left and right and (a1 > a0) == (b1 > b0)
+        if leaf:
+            for i in below:
+                scores[i] = ones / (zeros + ones)
+        return below, zeros, ones, leaf
+
+    cut(tree, depth)
+    return scores
+
+
+def _fit_trees(estimator, points: list[dict], df: DataFrame, label: str) -> list[_Fit]:
+    """One fit, the deepest, for points that differ in ``maxDepth`` only: a tree's levels do not depend on those below. One more pass
+    counts the labels in its leaves."""
+    fits = []
+    for group in _alike(points, "maxDepth"):
+        model = estimator.copy(points[group[0][1]]).fit(df)
+        if len(group) == 1 or model.numClasses != 2:
+            fits += [_Fit(model, {group[0][1]: None}), *[_Fit(estimator.copy(points[i]).fit(df), {i: None}) for _, i in group[1:]]]
+            continue
+        leaves = model.copy().setLeafCol("_leaf").transform(df.select(model.getFeaturesCol(), label))
+        found = leaves.groupBy(F.col("_leaf").cast("int").alias("leaf")).agg(F.count_if(F.col(label) == 0).alias("zeros"), F.count_if(F.col(label) == 1).alias("ones"))
+        counts = {r["leaf"]: (r["zeros"], r["ones"]) for r in found.collect()}  # one row a leaf
+        fits.append(_Fit(model, {i: _leaf_scores(_tree_of(model), counts, depth) for depth, i in group}))
+    return fits
+
+
+def _fit_points(estimator, points: list[dict], df: DataFrame, label: str) -> list[_Fit]:
+    """The models of all points. Where one fit holds the result of several points it serves them all; every point keeps its own score."""
+    names = {p.name for p in points[0]} if points else set()
+    if isinstance(estimator, LogisticRegression) and "maxIter" in names:
+        return _fit_logistic(estimator, points, df)
+    if isinstance(estimator, DecisionTreeClassifier) and "maxDepth" in names:
+        return _fit_trees(estimator, points, df, label)
+    return [_Fit(estimator.copy(point).fit(df), {i: None}) for i, point in enumerate(points)]
+
+
+def _scores(fits: list[_Fit], df: DataFrame, label: str) -> DataFrame:
+    """``point, score, label``: every point's score of every row, from one scan."""
+    kept, each = df, []
+    for i, fit in enumerate(fits):
+        named = fit.model.copy()
+        by_leaf = any(fit.points.values())
+        for column in ("probabilityCol", "rawPredictionCol", "predictionCol", *(["leafCol"] if by_leaf else [])):
             if named.hasParam(column):
                 named.set(named.getParam(column), f"_{column}_{i}")
         kept = named.transform(kept)
-    by = "probabilityCol" if models[0].hasParam("probabilityCol") else "rawPredictionCol"
-    each = [F.struct(F.lit(i).alias("point"), vector_to_array(f"_{by}_{i}")[1].alias("score")) for i in range(len(models))]
+        by = "probabilityCol" if named.hasParam("probabilityCol") else "rawPredictionCol"
+        own = vector_to_array(f"_{by}_{i}")[1]
+        for point, table in fit.points.items():
+            literal = F.from_json(F.lit(json.dumps(table)), "array<double>")
+            score = own if table is None else F.get(literal, F.col(f"_leafCol_{i}").cast("int"))
+            each.append(F.struct(F.lit(point).alias("point"), score.alias("score")))
     return kept.select(F.col(label).alias(label), F.inline(F.array(*each)))
 
 
@@ -74,15 +175,15 @@ def cross_validate(estimator, grid: dict[str, list], df: DataFrame, fold_col: st
     """Exact AUC of every grid point on every fold, then the point with the best mean refitted on all rows (ties: the first point).
 
     Folds follow a column, such as a key hash, and do not depend on the partitioning. Each fit uses all cores, so fits run one after
-    another. All points of a fold are scored in one scan of it, and their areas come from one table of counts for each score.
+    another; one fit serves several points where it holds their results (see ``_fit_points``). All points of a fold are scored in one scan of it, and their areas come from one table of counts for each score.
     """
     points = param_grid(estimator, grid)
     counts = []
     for k in range(folds):
         seen = df.where(F.col(fold_col) != k).persist()
-        models = [estimator.copy(point).fit(seen) for point in points]
+        fits = _fit_points(estimator, points, seen, label)
         seen.unpersist()
-        scored = _scores(models, df.where(F.col(fold_col) == k), label)
+        scored = _scores(fits, df.where(F.col(fold_col) == k), label)
         counts.append(stage(score_counts(scored, ["point"], F.col("score"), label).withColumn("fold", F.lit(k)), "fold-scores"))
     scores = stage(auc_from_counts(reduce(DataFrame.unionByName, counts), ["fold", "point"]).select("point", "fold", "auc"), "fold-areas")
     means = {r["point"]: r["auc"] for r in scores.groupBy("point").agg(F.avg("auc").alias("auc")).collect()}

@@ -280,3 +280,22 @@ def test_stored_preparation_gives_the_same_features(spark, kind, request):
     again = loaded.apply(rows, ["rk"]).withColumnRenamed("selected_features", "f")
     differ = prepared.rows.join(again, "rk").where(F.col("f") != F.col("selected_features"))
     assert loaded.features.names == prepared.features.names and again.count() == rows.count() and differ.count() == 0
+
+
+@pytest.mark.parametrize("kind, grid", [("decision_tree", {"maxDepth": [1, 3, 7], "impurity": ["gini", "entropy"], "maxBins": [8, 32]}), ("logistic", {"elasticNetParam": [0.0, 1.0], "maxIter": [2, 60, 100], "regParam": [0.01]})])
+def test_points_that_share_a_fit_score_as_their_own(spark, kind, grid):
+    rows = spark.range(6000).select("id", *[(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(50)) / 50).alias(f"x{k}") for k in range(4)])
+    rows = rows.withColumn("label", (F.col("x0") * F.col("x1") + 0.4 * F.col("x2") + F.rand(3) * 0.5 > 0.75).cast("int"))
+    rows = stage(encoding.assembler(["x0", "x1", "x2", "x3"], encoding.SELECTED).transform(rows), "grid-rows")
+    seen, held = rows.where("id % 3 > 0"), rows.where("id % 3 = 0")
+    estimator = models.classifier(kind)
+    points = tuning.param_grid(estimator, grid)
+    fits = tuning._fit_points(estimator, points, seen, "label")
+    assert len(fits) < len(points) == sum(len(f.points) for f in fits)
+    own = [tuning._Fit(estimator.copy(p).fit(seen), {i: None}) for i, p in enumerate(points)]
+    scores = [
+        {(r["point"], r["id"]): r["score"] for r in tuning._scores(f, held, "id").select("point", "id", "score").collect()} for f in (fits, own)
+    ]
+    assert len(scores[0]) == len(scores[1]) == 2000 * len(points)
+    assert all(abs(scores[1][k] - v) < 1e-9 for k, v in scores[0].items())
+    assert len({round(v, 9) for (p, _), v in scores[0].items()}) > 10
