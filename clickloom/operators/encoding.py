@@ -19,7 +19,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.operators.lookup import BROADCAST_ROWS, attach, attach_many
+from clickloom.operators.lookup import BROADCAST_ROWS, HOT_SHARE, attach, attach_many
 from clickloom.operators.ordered import bucketed, exact_quantiles, numbered_within
 from clickloom.operators.profile import melt
 from clickloom.schema import LABEL
@@ -29,6 +29,8 @@ MEAN_SUFFIX = "_bm"
 GLOBAL_MEAN = "global_mean"
 # Most categories, over all columns, whose list is held on the driver.
 MAX_VOCABULARY = 1_000_000
+# From this number of columns on, long columns are looked up together.
+LONG_AT_ONCE = 4
 FEATURES = "features"
 SELECTED = "selected_features"
 
@@ -61,16 +63,19 @@ class TargetMeanEncoder:
     def apply(self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
         """Replaces each column ``c`` by ``c_bm``; categories without a mean get ``fill``.
 
-        Tables up to ``broadcast_rows`` are broadcast, so that the rows are not shuffled at all. All larger ones together cost one
-        shuffle of the rows (see ``attach_many``).
+        Tables up to ``broadcast_rows`` are broadcast, so that the rows are not shuffled at all. Few larger ones are looked up one after
+        another, each with a shuffle of the rows; from ``LONG_AT_ONCE`` of them on, all cost one shuffle of the rows and one of their
+        values together (see ``attach_many``). Next to these, a table of no more rows than may be hot is broadcast as a hot part is.
+        A category that has its mean travels no further.
         """
         long = [c for c in self.columns if self.sizes[c] > broadcast_rows]
-        for c in self.columns:
-            if c not in long or len(long) == 1:
-                table = self.means.where(F.col("feature") == c)
-                df = attach(df, c, table, {"mean": c + MEAN_SUFFIX}, self.sizes[c], broadcast_rows)
-        if len(long) > 1:
-            df = attach_many(df, long, self.means, "mean", MEAN_SUFFIX, sum(self.sizes[c] for c in long))
+        long = [c for c in long if self.sizes[c] * HOT_SHARE > 1] or long
+        for c in [c for c in self.columns if c not in long] + (long if len(long) < LONG_AT_ONCE else []):
+            table = self.means.where(F.col("feature") == c)
+            limit = broadcast_rows if c in long else max(broadcast_rows, self.sizes[c])
+            df = attach(df, c, table, {"mean": c + MEAN_SUFFIX}, self.sizes[c], limit).drop(c)
+        if len(long) >= LONG_AT_ONCE:
+            df = attach_many(df, long, self.means, "mean", MEAN_SUFFIX, sum(self.sizes[c] for c in long), drop=True)
         kept = [c for c in df.columns if c not in self.columns and c not in self._outputs]
         return df.select(*kept, *self._outputs).na.fill(self.fill, subset=self._outputs)
 

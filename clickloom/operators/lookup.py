@@ -114,7 +114,14 @@ def attach(
 
 
 def attach_many(
-    df: DataFrame, columns: list[str], table: DataFrame, output: str, suffix: str, table_rows: int, hot_share: float = HOT_SHARE
+    df: DataFrame,
+    columns: list[str],
+    table: DataFrame,
+    output: str,
+    suffix: str,
+    table_rows: int,
+    hot_share: float = HOT_SHARE,
+    drop: bool = False,
 ) -> DataFrame:
     """Adds ``<column><suffix>`` for all ``columns`` together: the ``output`` of the ``table`` row with that ``feature`` and ``value``,
     else NULL. The rows are shuffled once, whatever the number of columns.
@@ -123,7 +130,8 @@ def attach_many(
     :func:`attach`, for each column) are looked up by broadcast, those that a filter does not know are dropped, and only the rest go
     through a shuffle join. One aggregate by row number then brings each row and its answers together.
 
-    ``table`` has ``feature, value, n`` and ``output``, which is never NULL; ``table_rows`` is its counted size.
+    ``table`` has ``feature, value, n`` and ``output``, which is never NULL; ``table_rows`` is its counted size. With ``drop`` the
+    ``columns`` themselves are left out of the result, and of the last shuffle.
     """
     totals = table.groupBy("feature").agg(F.sum("n").alias("_total"))  # one row for each column of the data
     number = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)])
@@ -137,7 +145,8 @@ def attach_many(
     pairs = numbered.select("_row", F.inline(asked)).where("_v is not null").join(F.broadcast(hot), ["_f", "_v"], "left")
     maybe = may_hold(value_filter(cold, ["_f", "_v"], table_rows), [F.col("_f"), F.col("_v")])
     late = pairs.where(F.col("_x").isNull() & maybe).drop("_x").join(cold.hint("merge"), ["_f", "_v"])
-    answers = pairs.where("_x is not null").unionByName(late).select("_row", F.lit(None).cast(df.schema).alias("_p"), "_f", "_x")
-    whole = numbered.select("_row", F.struct(*df.columns).alias("_p"), F.lit(None).cast("int").alias("_f"), F.lit(None).cast(table.schema[output].dataType).alias("_x"))
+    kept = df.drop(*columns) if drop else df
+    answers = pairs.where("_x is not null").unionByName(late).select("_row", F.lit(None).cast(kept.schema).alias("_p"), "_f", "_x")
+    whole = numbered.select("_row", F.struct(*kept.columns).alias("_p"), F.lit(None).cast("int").alias("_f"), F.lit(None).cast(table.schema[output].dataType).alias("_x"))
     found = [F.max(F.when(F.col("_f") == i, F.col("_x"))).alias(c + suffix) for i, c in enumerate(columns)]
     return whole.unionByName(answers).groupBy("_row").agg(F.first("_p", ignorenulls=True).alias("_p"), *found).select("_p.*", *[c + suffix for c in columns])

@@ -47,9 +47,10 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 # -- shared inputs --------------------------------------------------------------------------------------------------
 
 
-def stored_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The training view written once, for flows that pass over it several times."""
-    return tables.stage(training_view(spark, sf_dir), "training-view")
+def stored_view(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """The training view, or some of its columns, written once, for flows that pass over it several times."""
+    view = training_view(spark, sf_dir)
+    return tables.stage(view.select(*columns) if columns else view, "training-view")
 
 
 def scored(spark: SparkSession, sf_dir: str, scorer=SCORER_A) -> DataFrame:
@@ -425,7 +426,7 @@ def target_means(spark, sf_dir):
 
 
 def _encoded(spark, sf_dir, part, fold=True, **options):
-    rows, _, encoder = flows.encode_means(stored_view(spark, sf_dir), KEY, fold=fold, **options)
+    rows, _, encoder = flows.encode_means(stored_view(spark, sf_dir, [KEY, "label", *CATEGORICAL]), KEY, fold=fold, **options)
     columns = [c + encoding.MEAN_SUFFIX for c in encoder.columns]
     rows = rows if part is None else rows.where(F.col(flows.PART) == part)
     return rounded(rows.select(KEY, "label", *columns), *columns)
@@ -461,10 +462,10 @@ def unseen_third(rows: DataFrame) -> DataFrame:
 @query
 def target_mean_encode_unseen(spark, sf_dir):
     """Raw means of the training part on rows whose most frequent value is not in it, through the shuffle."""
-    rows = sampling.assign_split(stored_view(spark, sf_dir), KEY, column=flows.PART)
+    rows = sampling.assign_split(stored_view(spark, sf_dir, [KEY, "label", *CATEGORICAL]), KEY, column=flows.PART)
     encoder = encoding.fit_target_means(rows.where(F.col(flows.PART) == "Train"), CATEGORICAL)
     columns = [c + encoding.MEAN_SUFFIX for c in CATEGORICAL]
-    return rounded(encoder.apply(unseen_third(rows), broadcast_rows=SMALL_BROADCAST).select(KEY, *columns), *columns)
+    return rounded(encoder.apply(unseen_third(rows).select(KEY, *CATEGORICAL), broadcast_rows=SMALL_BROADCAST).select(KEY, *columns), *columns)
 
 
 @query

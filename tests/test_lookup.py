@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import encoding, lookup
 from clickloom.sources.tables import stage
+from clickloom.sources.training_view import training_view
 
 
 def fitted(spark):
@@ -152,3 +153,46 @@ def test_sparse_and_dense_dot(spark):
     rows = spark.createDataFrame([(Vectors.dense([1.0, 2.0, 3.0]),), (Vectors.sparse(3, [2], [4.0]),), (Vectors.sparse(3, [], []),)], ["v"])
     assert [r[0] for r in rows.select(vector_dot("v", [0.5, -1.0, 0.25], 2.0)).collect()] == [1.25, 3.0, 2.0]
     assert rows.select(vector_to_array("v")).count() == 3
+
+
+def test_few_long_columns_move_the_rows_once_each(spark, monkeypatch, plain_shuffles):
+    """Rows are neither numbered nor brought back together, and a category that has its mean is not carried on."""
+    encoder = encoding.fit_target_means(fitted(spark), ["b01", "b03"])
+    one_by_one = encoder.apply(scored(spark), broadcast_rows=10)
+    plan = one_by_one._jdf.queryExecution().executedPlan().toString()
+    assert "_row" not in plan and plan.count("SortMergeJoin") == 2
+    monkeypatch.setattr(encoding, "LONG_AT_ONCE", 1)
+    together = encoder.apply(scored(spark), broadcast_rows=10)
+    assert "hashpartitioning(_row" in together._jdf.queryExecution().executedPlan().toString()
+    assert together.columns == one_by_one.columns
+    assert sorted(map(tuple, together.collect()), key=str) == sorted(map(tuple, one_by_one.collect()), key=str)
+
+
+def test_dropped_columns_are_not_shuffled(spark, plain_shuffles):
+    encoder = encoding.fit_target_means(fitted(spark), ["b01", "b02"])
+    whole = lookup.attach_many(scored(spark), ["b01", "b02"], encoder.means, "mean", "_m", 3500)
+    narrow = lookup.attach_many(scored(spark), ["b01", "b02"], encoder.means, "mean", "_m", 3500, drop=True)
+    assert narrow.columns == ["rk", "b03", "label", "b01_m", "b02_m"]
+    assert sorted(map(tuple, narrow.collect()), key=str) == sorted(map(tuple, whole.select(narrow.columns).collect()), key=str)
+    packed = re.findall(r"struct\(.*? AS _p#", narrow._jdf.queryExecution().analyzed().toString())
+    assert packed and not any("b01" in p for p in packed)
+
+
+def test_categories_that_may_all_be_hot_move_no_row(spark, plain_shuffles):
+    """Above the broadcast limit, but no more than may be hot: only the longer column shuffles the rows."""
+    rows = fitted(spark)
+    encoder = encoding.fit_target_means(rows, ["b01", "b02"])
+    found = encoder.apply(rows, broadcast_rows=10)
+    assert found._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, encoder.apply(rows).collect()))
+
+
+def test_no_line_moves_for_its_customer(spark, plain_shuffles):
+    """Customers meet the orders, not the lines."""
+    lines = training_view(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(o_custkey" in line)
+    depth = lines[at].index("Exchange")
+    below = [x for x in lines[at:]]
+    end = next((i for i, x in enumerate(below[1:], 1) if len(x) - len(x.lstrip(" :+-")) <= depth - 4), len(below))
+    scans = [x for x in below[:end] if "FileScan" in x]
+    assert scans and not any("l_orderkey" in x for x in scans)
