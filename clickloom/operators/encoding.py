@@ -23,6 +23,7 @@ from clickloom.operators.lookup import BROADCAST_ROWS, HOT_SHARE, attach, attach
 from clickloom.operators.ordered import bucketed, exact_quantiles, numbered_within
 from clickloom.operators.profile import melt
 from clickloom.schema import LABEL
+from clickloom.sources import tables
 from clickloom.sources.tables import stage
 
 MEAN_SUFFIX = "_bm"
@@ -298,7 +299,7 @@ def store_features(df: DataFrame, stages: list[Transformer], keep: list[str], fi
 
     The vectors are made once and stored. The standardiser learns from the stored ones where ``fit_on`` holds, and is applied as rows are read.
     """
-    vectors = stage(PipelineModel(stages).transform(df).select(*keep, FEATURES), name, partition_by, keep=True)
+    vectors = stage(PipelineModel(stages).transform(df).select(*keep, FEATURES), name, partition_by, keep=True, row_group=tables.FIT_SPLIT)
     scale = scaler(with_mean).fit(vectors.where(fit_on))
     return FeaturePipeline(PipelineModel([*stages, scale]), vector_names(vectors)), scale.transform(vectors).select(*keep, SELECTED)
 

@@ -7,6 +7,8 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.sources.tables import fine_splits
+
 TOP_FEATURES = 12  # fixed value: length of the published importance list
 
 
@@ -34,7 +36,8 @@ def split_slots(model: Model, rows: DataFrame) -> list[int]:
     used = used_slots(model)
     if not used:
         shared = {n: model.getOrDefault(n) for n in ("featuresCol", "labelCol", "maxDepth", "maxBins", "minInfoGain", "minInstancesPerNode", "seed")}
-        used = used_slots(DecisionTreeRegressor(**shared).fit(rows))
+        with fine_splits(rows.sparkSession):
+            used = used_slots(DecisionTreeRegressor(**shared).fit(rows))
     return used or list(range(model.numFeatures))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from clickloom.operators.encoding import SELECTED
 from clickloom.schema import LABEL
+from clickloom.sources.tables import fine_splits
 
 # Settings of the published models.
 MODEL_SEED = 8888
@@ -41,8 +42,9 @@ def classifier(kind: str, features: str = SELECTED, label: str = LABEL, **settin
 
 
 def train(kind: str, df: DataFrame, features: str = SELECTED, label: str = LABEL, **settings) -> Model:
-    """Fit on ``df``. Spark ML caches its own compact form of the rows for the passes of the fit."""
-    return classifier(kind, features, label, **settings).fit(df)
+    """Fit on ``df``. Spark ML caches its own form of the rows for the passes of the fit, in parts of bounded size."""
+    with fine_splits(df.sparkSession):
+        return classifier(kind, features, label, **settings).fit(df)
 
 
 def score_batch(model: Model, df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.evaluate import auc_from_counts, score_counts
 from clickloom.schema import LABEL
-from clickloom.sources.tables import stage
+from clickloom.sources.tables import fine_splits, stage
 
 # The published parameter grids and number of folds.
 GRIDS = {
@@ -180,15 +180,18 @@ def cross_validate(estimator, grid: dict[str, list], df: DataFrame, fold_col: st
     points = param_grid(estimator, grid)
     counts = []
     for k in range(folds):
-        seen = df.where(F.col(fold_col) != k).persist()
-        fits = _fit_points(estimator, points, seen, label)
-        seen.unpersist()
+        with fine_splits(df.sparkSession):
+            seen = df.where(F.col(fold_col) != k).persist()
+            fits = _fit_points(estimator, points, seen, label)
+            seen.unpersist()
         scored = _scores(fits, df.where(F.col(fold_col) == k), label)
         counts.append(stage(score_counts(scored, ["point"], F.col("score"), label).withColumn("fold", F.lit(k)), "fold-scores"))
     scores = stage(auc_from_counts(reduce(DataFrame.unionByName, counts), ["fold", "point"]).select("point", "fold", "auc"), "fold-areas")
     means = {r["point"]: r["auc"] for r in scores.groupBy("point").agg(F.avg("auc").alias("auc")).collect()}
     best = max(range(len(points)), key=lambda i: (means.get(i) or 0.0, -i))
-    return Selection(estimator.copy(points[best]).fit(df), points, scores, best)
+    with fine_splits(df.sparkSession):
+        model = estimator.copy(points[best]).fit(df)
+    return Selection(model, points, scores, best)
 
 
 def best_params(found: Selection, grid: dict[str, list]) -> dict:
