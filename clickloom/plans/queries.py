@@ -48,9 +48,9 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def stored_view(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
-    """The training view, or some of its columns, written once, for flows that pass over it several times."""
-    view = training_view(spark, sf_dir)
-    return tables.stage(view.select(*columns) if columns else view, "training-view")
+    """The training view, or some of its columns in any order of rows, written once, for flows that pass over it several times."""
+    view = training_view(spark, sf_dir, True).select(*columns) if columns else training_view(spark, sf_dir)
+    return tables.stage(view, "training-view")
 
 
 def scored(spark: SparkSession, sf_dir: str, scorer=SCORER_A) -> DataFrame:

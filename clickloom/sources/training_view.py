@@ -1,8 +1,7 @@
 """Binary-response view over the star-schema tables: ``rk, label, c01..c05, b01..b08``.
 
 Line items joined to their order, part, supplier and customer. The joins carry no hint: Catalyst broadcasts a side
-only if its file size is under the session's threshold, and uses a shuffle join beyond it. Customers are joined to the orders
-before the lines are, so that no line moves for them, and the widest side, the part, comes last.
+only if its file size is under the session's threshold, and uses a shuffle join beyond it.
 """
 
 from __future__ import annotations
@@ -28,7 +27,10 @@ LINE_COLUMNS = [
 ]
 
 
-def training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_view(spark: SparkSession, sf_dir: str, customers_first: bool = False) -> DataFrame:
+    """The view. With ``customers_first`` customers are joined to the orders before the lines are, so that no line moves for them, and the
+    widest side, the part, comes last. The rows are the same in another order; fits of trees, whose sample of candidate splits follows
+    the order, keep the other one."""
     line = deal_rows(read_table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), "l_orderkey", "l_linenumber")
     orders = read_table(spark, sf_dir, "orders")
     part = read_table(spark, sf_dir, "part")
@@ -36,12 +38,20 @@ def training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
 
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")  # order, line, part and supplier alone are not unique
-    joined = (
-        line.join(orders.join(customer, orders.o_custkey == customer.c_custkey), line.l_orderkey == orders.o_orderkey)
-        .join(supplier, line.l_suppkey == supplier.s_suppkey)
-        .join(part, line.l_partkey == part.p_partkey)
-        .withColumn(KEY, F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents.cast("string")))
-    )
+    if customers_first:
+        joined = (
+            line.join(orders.join(customer, orders.o_custkey == customer.c_custkey), line.l_orderkey == orders.o_orderkey)
+            .join(supplier, line.l_suppkey == supplier.s_suppkey)
+            .join(part, line.l_partkey == part.p_partkey)
+        )
+    else:
+        joined = (
+            line.join(orders, line.l_orderkey == orders.o_orderkey)
+            .join(part, line.l_partkey == part.p_partkey)
+            .join(supplier, line.l_suppkey == supplier.s_suppkey)
+            .join(customer, orders.o_custkey == customer.c_custkey)
+        )
+    joined = joined.withColumn(KEY, F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents.cast("string")))
     clicked = hash_bucket(KEY, 100, salt="y|") < F.lit(10) + F.lit(0.6) * F.col("l_quantity")
     return joined.select(
         KEY,

@@ -189,10 +189,12 @@ def test_categories_that_may_all_be_hot_move_no_row(spark, plain_shuffles):
 
 def test_no_line_moves_for_its_customer(spark, plain_shuffles):
     """Customers meet the orders, not the lines."""
-    lines = training_view(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().splitlines()
+    lines = training_view(spark, "/root/testdata/sf0.001", True)._jdf.queryExecution().executedPlan().toString().splitlines()
     at = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(o_custkey" in line)
     depth = lines[at].index("Exchange")
     below = [x for x in lines[at:]]
     end = next((i for i, x in enumerate(below[1:], 1) if len(x) - len(x.lstrip(" :+-")) <= depth - 4), len(below))
     scans = [x for x in below[:end] if "FileScan" in x]
     assert scans and not any("l_orderkey" in x for x in scans)
+    both = [training_view(spark, "/root/testdata/sf0.001", first) for first in (True, False)]
+    assert both[0].columns == both[1].columns and both[0].exceptAll(both[1]).isEmpty() and both[1].exceptAll(both[0]).isEmpty()
