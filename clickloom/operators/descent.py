@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import dot, sigmoid, vector_dot
+from clickloom.operators.vectors import entries, vector_parts
 from clickloom.schema import LABEL
 
 # Guard inside the logarithms, learning rate, gradient factor and number of steps.
@@ -106,21 +107,14 @@ def vector_gradient(df: DataFrame, weights: list[float], features: str, label: s
     Each task adds up the entries of its own rows, a batch of rows at a time, and gives one array of sums. These are merged slot by
     slot, so that no task takes an array from every other.
     """
-    parts = F.unwrap_udt(F.col(features))
-    rows = df.select(F.col(label).cast("double").alias("y"), parts["indices"].alias("i"), parts["values"].alias("x"))
+    rows = df.select(F.col(label).cast("double").alias("y"), *vector_parts(features))
     bias, table, epsilon = float(weights[0]), np.array(weights[1:], dtype=float), EPSILON
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(table) + 3)
         for batch in batches:
             y, i, x = batch.columns
-            y, lengths = y.to_numpy(zero_copy_only=False), np.diff(x.offsets.to_numpy())
-            row, dense = np.repeat(np.arange(len(y)), lengths), i.is_null().to_numpy(zero_copy_only=False)
-            x, at = x.flatten().to_numpy(zero_copy_only=False), i.flatten().to_numpy(zero_copy_only=False)
-            if dense.any():  # a dense vector has an entry for each slot, and no list of them
-                every = np.arange(len(x)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                every[~dense[row]] = at
-                at = every
+            y, (row, at, x) = y.to_numpy(zero_copy_only=False), entries(i, x)
             with np.errstate(over="ignore"):
                 p = 1.0 / (1.0 + np.exp(-(bias + np.bincount(row, x * table[at], len(y)))))
             error = np.where(np.isnan(y), 0.0, p - y)
