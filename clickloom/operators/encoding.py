@@ -15,9 +15,11 @@ from pyspark.ml.feature import (
     VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.operators.lookup import BROADCAST_ROWS, HOT_SHARE, attach, attach_many
 from clickloom.operators.ordered import bucketed, exact_quantiles, numbered_within
@@ -163,14 +165,17 @@ def one_hot_long(df: DataFrame, columns: list[str], index: DataFrame, broadcast_
             df = attach(df, c, index.where(F.col("feature") == c), {"slot": f"{c}_index"}, sizes[c], broadcast_rows)
     if long:
         df = attach_many(df, long, index, "slot", "_index", sum(sizes[c] for c in long))
-    # The encoder takes the number of slots from the column's metadata; the place after the last is that of unknown values.
-    for c in columns:
-        nominal = {"ml_attr": {"type": "nominal", "name": f"{c}_index", "num_vals": sizes[c] + 1}}
-        place = F.coalesce(F.col(f"{c}_index"), F.lit(sizes[c])).cast("double")
-        df = df.withColumn(f"{c}_index", place.alias(f"{c}_index", metadata=nominal))
     vectors = [f"{c}_vec" for c in columns]
-    encoder = OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=vectors, dropLast=True)
-    return encoder.fit(df.limit(0)).transform(df).drop(*[f"{c}_index" for c in columns]), vectors
+    encoded = df.withColumns({v: _unit_vector(F.col(f"{c}_index"), sizes[c]) for c, v in zip(columns, vectors)})
+    return encoded.drop(*[f"{c}_index" for c in columns]), vectors
+
+
+def _unit_vector(slot: Column, size: int) -> Column:
+    """A sparse vector of ``size`` slots with 1.0 in ``slot``; all-zero where that is NULL. ``OneHotEncoder`` would give each slot a name in the
+    column's metadata, which the driver holds."""
+    entry = F.when(slot.isNull(), ',"indices":[],"values":[]}}').otherwise(F.concat(F.lit(',"indices":['), slot.cast("string"), F.lit('],"values":[1.0]}}')))
+    text = F.concat(F.lit(f'{{"v":{{"type":0,"size":{size}'), entry)
+    return F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]))["v"]
 
 
 def category_order(counts: DataFrame, columns: list[str]) -> dict[str, list[str]]:

@@ -125,6 +125,17 @@ def test_long_one_hot_vectors(spark, limit):
     assert vectors == ["b01_vec", "b03_vec"] and kept.count() == 30000
     assert kept.where("v.size <> 3000 or size(v.indices) <> if(slot is null, 0, 1) or (slot is not null and v.indices[0] <> slot)").count() == 0
     assert kept.where("size(w.indices) <> 1").count() == 0
+    assert kept.where("v.type <> 0 or exists(v.values, x -> x <> 1.0) or size(v.values) <> size(v.indices)").count() == 0
+
+
+@pytest.mark.parametrize("limit", [10, 100_000])
+def test_long_one_hot_vectors_name_no_slot(spark, limit):
+    """Names in the metadata of a column are held by the driver, one for each category."""
+    counts = encoding.target_means(fitted(spark), ["b01"]).drop("mean")
+    index = stage(encoding.long_index(stage(counts, "counts")), "index")
+    rows, _ = encoding.one_hot_long(scored(spark).select("rk", "b01"), ["b01"], index, limit)
+    assert len(rows.schema.json()) < 2000
+    assert rows.first()["b01_vec"].size == 3000
 
 
 def test_chi_square_of_slots_matches_the_spark_test(spark):
