@@ -54,7 +54,23 @@ def test_small_blocks_add_up(rows, monkeypatch):
     assert text(trees.fit_together([estimator], rows)[0][0]) == whole
 
 
-def test_sparse_vectors_with_rare_slots(spark):
+def test_ties_of_opposite_slots_stay_spark_mls(spark, monkeypatch):
+    """A slot and its opposite split alike, and the last digit of a sum decides: few such rows are left to Spark ML, many are not."""
+    rng = np.random.default_rng(7)
+    a, b, x = rng.integers(0, 2, 3000), rng.integers(0, 3, 3000), rng.normal(size=3000).round(1)
+    y = rng.random(3000) < 0.2 + 0.2 * a + 0.1 * b + 0.05 * x
+    data = [(Vectors.sparse(9, [int(p), 2 + int(q), 8], [1.5, 2.5, float(v)]), int(t)) for p, q, v, t in zip(a, b, x, y)]
+    df = stage(spark.createDataFrame(data, [encoding.SELECTED, "label"]).coalesce(1), "opposite-slots")
+    estimator = models.classifier("gbt", maxIter=3)
+    monkeypatch.setattr(trees, "DENSE_SHARE", 0.6)
+    assert trees.fit_together([estimator], df) is None
+    assert text(models.train("gbt", df, maxIter=3)) == text(estimator.fit(df))
+    monkeypatch.setattr(trees, "DENSE_BINS", 0)
+    assert len(trees.fit_together([estimator], df)[0][0].trees) == 3
+
+
+def test_sparse_vectors_with_rare_slots(spark, monkeypatch):
+    monkeypatch.setattr(trees, "DENSE_BINS", 0)
     rng = np.random.default_rng(5)
     data = []
     for i in range(3000):
